@@ -13,12 +13,17 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the whitespace characters stripped from identifiers.
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def strip_ws(c: str | Column) -> Column:
-    """Strip leading/trailing whitespace (tab, newline, CR, FF, VT, space).
+    """Strip leading/trailing whitespace (space, tab, newline, CR, FF, VT).
 
-    Spark's ``trim`` removes only spaces, so a regex is used.
+    Spark's one-argument ``trim`` removes only spaces; ``btrim`` with an
+    explicit set stays a codegen'd string kernel (no regex).
     """
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def normalize_dea(c: str | Column) -> Column:

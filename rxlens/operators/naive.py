@@ -26,7 +26,7 @@ def naive_match(final: DataFrame, naive: DataFrame, cfg: ReportConfig) -> DataFr
     cands = point_in_interval_join(
         opi, n, on=[("disp_dob", "n_dob")], point="written_date",
         start=F.col("naive_filled_date"), end=F.col("naive_end"),
-        bucket_days=cfg.bucket_days, long_buckets=cfg.long_interval_buckets)
+        bucket_days=cfg.bucket_days)
     scored = score_candidates(cands, "naive_patient_name", "patient_name", F.lit(float(cfg.naive_ratio)))
     return scored.select(*NAIVE_KEY).distinct()
 

@@ -59,7 +59,7 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
     suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``."""
     b = benzo.select(*SIDE_COLUMNS)
     o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
-    common = dict(bucket_days=cfg.bucket_days, long_buckets=cfg.long_interval_buckets)
+    common = dict(bucket_days=cfg.bucket_days)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
     # branch 1: opioid written inside the benzo interval

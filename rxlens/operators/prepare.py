@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
 from rxlens.functions.strings import full_name, is_human, normalize_dea, strip_ws, valid_dea
-from rxlens.plans.strategy import join_small
+from rxlens.plans.strategy import small_side
 
 
 def filter_vets(df: DataFrame, enabled: bool = True) -> DataFrame:
@@ -30,8 +30,13 @@ def resolve_prescribers(users: DataFrame) -> DataFrame:
             .withColumn("dea_number", strip_ws("dea_number")))
 
 
-def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """M2: normalise DEA, build names, keep valid DEAs, attach owners, search window."""
+def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: ReportConfig,
+                          broadcast_owners: bool = False) -> DataFrame:
+    """M2: normalise DEA, build names, keep valid DEAs, attach owners, search window.
+
+    ``broadcast_owners``: the caller proved the identity table small (see
+    ``ReportPlan.owners_fit``); otherwise the owner join is a shuffle join.
+    """
     d = (disp
          .withColumns({
              "prescriber_dea": normalize_dea("prescriber_dea"),
@@ -40,8 +45,8 @@ def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: Report
          })
          .filter(valid_dea("prescriber_dea")))
     owners = users_explode.select("true_id", "dea_number").filter(F.col("dea_number").isNotNull())
-    d = (join_small(d, owners, d["prescriber_dea"] == owners["dea_number"], "left",
-                    cfg.max_broadcast_rows)
+    owners = small_side(owners, broadcast_owners)
+    d = (d.join(owners, d["prescriber_dea"] == owners["dea_number"], "left")
          .drop("dea_number")
          .withColumns({
              "start_date": shift_days("written_date", -cfg.days_before),
@@ -51,12 +56,14 @@ def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: Report
     return filter_vets(d, cfg.filter_vets)
 
 
-def prepare_searches(searches: DataFrame, dispensations: DataFrame, cfg: ReportConfig) -> DataFrame:
+def prepare_searches(searches: DataFrame, dispensations: DataFrame, cfg: ReportConfig,
+                     broadcast_owners: bool = False) -> DataFrame:
     """M3: searches by users that own a dispensation, inside the search window,
     with the per-row similarity threshold (partial search → lower bar; an
     unknown partial flag gives no threshold, so the row never matches)."""
+    # distinct owners are a subset of the identity table, so its size bound holds
     owners = dispensations.select("true_id").filter(F.col("true_id").isNotNull()).distinct()
-    s = join_small(searches, owners, "true_id", "left_semi", cfg.max_broadcast_rows)
+    s = searches.join(small_side(owners, broadcast_owners), "true_id", "left_semi")
     partial = F.col("partial_first") | F.col("partial_last")
     return (s
             .withColumns({
@@ -70,14 +77,16 @@ def prepare_searches(searches: DataFrame, dispensations: DataFrame, cfg: ReportC
             .drop("first_name", "last_name", "partial_first", "partial_last"))
 
 
-def prepare_active_rx(active: DataFrame, users_explode: DataFrame, cfg: ReportConfig) -> DataFrame:
+def prepare_active_rx(active: DataFrame, users_explode: DataFrame, cfg: ReportConfig,
+                      broadcast_owners: bool = False) -> DataFrame:
     """M8: attach owners to active prescriptions (DEA as given unless
     ``normalize_active_dea``), ``final_id`` = user id else DEA, patient name."""
     a = active
     if cfg.normalize_active_dea:
         a = a.withColumn("dea", normalize_dea("dea"))
     owners = users_explode.select("true_id", "dea_number").filter(F.col("dea_number").isNotNull())
-    a = (join_small(a, owners, a["dea"] == owners["dea_number"], "left", cfg.max_broadcast_rows)
+    owners = small_side(owners, broadcast_owners)
+    a = (a.join(owners, a["dea"] == owners["dea_number"], "left")
          .drop("dea_number")
          .withColumns({
              "final_id": F.coalesce(F.col("true_id").cast("string"), F.col("dea")),

@@ -39,13 +39,22 @@ class ReportPlan:
     def users_explode(self) -> DataFrame:
         return prepare.resolve_prescribers(self.users)
 
+    @cached_property
+    def owners_fit(self) -> bool:
+        """Size check, once per plan, of the (user, DEA) table: it bounds every
+        owner-side broadcast (the owner joins and the distinct-owner semi-join)."""
+        from rxlens.plans.strategy import fits
+        return fits(self.users_explode, self.cfg.max_broadcast_rows)
+
     @cached_property
     def dispensations(self) -> DataFrame:
-        return prepare.prepare_dispensations(self.inputs["dispensations"], self.users_explode, self.cfg)
+        return prepare.prepare_dispensations(self.inputs["dispensations"], self.users_explode, self.cfg,
+                                             self.owners_fit)
 
     @cached_property
     def searches(self) -> DataFrame:
-        return prepare.prepare_searches(self.inputs["searches"], self.dispensations, self.cfg)
+        return prepare.prepare_searches(self.inputs["searches"], self.dispensations, self.cfg,
+                                        self.owners_fit)
 
     @cached_property
     def matched(self) -> DataFrame:
@@ -59,7 +68,8 @@ class ReportPlan:
 
     @cached_property
     def active(self) -> DataFrame:
-        return prepare.prepare_active_rx(self.inputs["active_rx"], self.users_explode, self.cfg)
+        return prepare.prepare_active_rx(self.inputs["active_rx"], self.users_explode, self.cfg,
+                                         self.owners_fit)
 
     @cached_property
     def naive_rx(self) -> DataFrame:

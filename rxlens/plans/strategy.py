@@ -8,21 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a measured bound.
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Measured size bound: does ``df`` have at most ``max_rows`` rows?
 
-    The row count is one small distributed job on the (already small-looking)
-    side; above ``max_rows`` the join stays a shuffle join (and AQE may still
-    convert it at run time from measured shuffle sizes).
+    One small distributed job (``limit`` stops early on big inputs); the
+    caller runs it on the smallest frame that bounds the broadcast side.
     """
     if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str, max_rows: int) -> DataFrame:
-    return big.join(broadcast_if_small(small, max_rows), on, how)
+def small_side(df: DataFrame, proven_small: bool) -> DataFrame:
+    """Broadcast hint only when a size bound was proven; otherwise leave the
+    join to the planner (shuffle join, or AQE's run-time conversion from
+    measured shuffle sizes)."""
+    return F.broadcast(df) if proven_small else df
 
 
 def _c(name: str) -> Column:

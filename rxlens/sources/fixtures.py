@@ -32,21 +32,68 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def first_word(c: Column) -> Column:
+    """``split_part(c, ' ', 1)``."""
+    return F.substring_index(c, " ", 1)
+
+
+def second_word(c: Column) -> Column:
+    """``split_part(c, ' ', 2)`` ('' when there is no space)."""
+    return F.when(F.instr(c, " ") > 0, F.substring_index(F.substring_index(c, " ", 2), " ", -1)) \
+        .otherwise(F.lit(""))
+
+
 def pad(c: Column) -> Column:
     return F.lpad(c.cast("string"), 7, "0")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A large input already arrives in many splits and is left alone; a small
+    file stored as a single row group would otherwise keep every narrow step
+    after the scan on one thread.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = spread(_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"))
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("p_partkey") == F.col("o_custkey")))
 
 
+_LANDED: dict[tuple, str] = {}
+
+
 def base_prescriptions(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
-    """One row per dispensation with the extract extras (clean names, typed)."""
+    """One row per dispensation with the extract extras (clean names, typed).
+
+    The derivation (a three-table join) is landed once per application as
+    parquet in the shared checkpoint folder and read back, the way the
+    report reads landed extracts: later queries get column pruning and
+    pushed filters on it, and a lost executor re-reads files instead of
+    re-running the join.
+    """
+    from rxlens.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls)
+    path = _LANDED.get(key)
+    if path is None:
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        tag = "nulls" if with_nulls else "plain"
+        name = sf_dir.rstrip("/").replace("/", "_").strip("_")
+        path = f"{root}/rxlens-landed/{key[0]}/{name}-{tag}"
+        derive_prescriptions(spark, sf_dir, with_nulls).write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
+def derive_prescriptions(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
+    """The fixture recipe itself (lazy)."""
     b = base_rows(spark, sf_dir)
     sk, pk, ln, ok = (F.col("l_suppkey"), F.col("l_partkey"), F.col("l_linenumber"),
                       F.col("l_orderkey"))
@@ -70,8 +117,8 @@ def base_prescriptions(spark: SparkSession, sf_dir: str, with_nulls: bool = Fals
                        .otherwise(F.concat(F.lit("AB"), pad(sk))),
         "rx_number": rx_number,
         "ahfs": ahfs,
-        "patient_first_name": F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)),
-        "patient_last_name": F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)),
+        "patient_first_name": first_word(F.col("p_name")),
+        "patient_last_name": second_word(F.col("p_name")),
         "prescriber_first_name": F.lit("Doc"),
         "prescriber_last_name": F.concat(F.lit("S"), pad(sk)),
         "written_date": written,
