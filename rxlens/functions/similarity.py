@@ -124,24 +124,46 @@ def _jw_chunk(a_list: list[str], b_list: list[str]) -> np.ndarray:
 
 
 def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Vectorised score of aligned string Series; null in, null out."""
+    """Vectorised score of aligned string Series; null in, null out.
+
+    Pairs repeat heavily inside a batch (one patient, many prescriptions), so
+    each distinct (a, b) of the batch is scored once and fanned back out.
+    """
     out = np.full(len(a), np.nan)
     ok = (a.notna() & b.notna()).to_numpy()
     idx = np.flatnonzero(ok)
-    av = a.to_numpy(dtype=object)
-    bv = b.to_numpy(dtype=object)
-    for start in range(0, len(idx), _CHUNK):
-        sel = idx[start:start + _CHUNK]
-        out[sel] = _jw_chunk([str(x) for x in av[sel]], [str(x) for x in bv[sel]])
+    if len(idx) == 0:
+        return pd.Series(out, index=a.index)
+    av = a.to_numpy(dtype=object)[idx]
+    bv = b.to_numpy(dtype=object)[idx]
+    codes, _ = pd.factorize(pd.Series(av).str.cat(pd.Series(bv), sep="\x1f"))
+    _, first = np.unique(codes, return_index=True)
+    ua, ub = av[first], bv[first]
+    scores = np.empty(len(first))
+    for start in range(0, len(first), _CHUNK):
+        end = start + _CHUNK
+        scores[start:end] = _jw_chunk([str(x) for x in ua[start:end]], [str(x) for x in ub[start:end]])
+    out[idx] = scores[codes]
     return pd.Series(out, index=a.index)
 
 
 @pandas_udf(DoubleType())
-def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Spark column function: Jaro-Winkler similarity of ``a`` and ``b``."""
+def _jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return jaro_winkler_batch(a, b)
 
 
+def jaro_winkler(a: Column, b: Column) -> Column:
+    """Spark column function: Jaro-Winkler similarity of ``a`` and ``b``.
+
+    Identical non-empty strings score 1.0 natively; only the other pairs
+    are shipped to Python (the identical ones are sent as nulls, which the
+    UDF skips), since Spark evaluates a UDF on every row of its input.
+    """
+    same = (a == b) & (F.length(a) > 0)
+    raw = _jaro_winkler_udf(F.when(~same, a), F.when(~same, b))
+    return F.when(same, F.lit(1.0)).otherwise(raw)
+
+
 def required_jaro(threshold: float | Column) -> Column:
     """Smallest Jaro score that can still reach ``threshold`` after Winkler."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))

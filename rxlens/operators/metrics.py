@@ -18,27 +18,42 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
-def prescriber_counts(final: DataFrame, cfg: ReportConfig, with_drugs: bool = True) -> DataFrame:
-    """A1-A4 in ONE partial+final aggregation over the final dispensations:
-    rows, searched rows, opioid rows, benzodiazepine rows, rows at/over the
-    MME threshold.  Prescribers without a kind of row get 0 directly."""
+def prescriber_counts(final: DataFrame, cfg: ReportConfig, with_drugs: bool = True,
+                      naive_matched: DataFrame | None = None) -> DataFrame:
+    """A1-A4 (and A8) in ONE partial+final aggregation over the final
+    dispensations: rows, searched rows, opioid rows, benzodiazepine rows,
+    rows at/over the MME threshold and, given the naive matches, opioid (or
+    classless) rows to naive patients.  Prescribers without a kind of row get
+    0 directly, so no per-count join is needed."""
     aggs = [F.count(F.lit(1)).alias("dispensations"),
             F.sum(F.col("search").cast("bigint")).alias("searches")]
     if with_drugs:
         aggs += [F.count_if(F.col("ahfs").contains(cfg.opioid_pattern)).alias("opi_rx"),
                  F.count_if(F.col("ahfs").contains(cfg.benzo_pattern)).alias("benzo_rx"),
                  F.count_if(F.col("mme") >= F.lit(cfg.mme_threshold)).alias("rx_over_mme_threshold")]
+    if naive_matched is not None:
+        # (final_id, rx_number) is distinct on the right: the mark join never fans out
+        marks = naive_matched.select("final_id", "rx_number", F.lit(True).alias("_not_naive"))
+        final = final.join(marks, ["final_id", "rx_number"], "left")
+        to_naive = ((F.col("ahfs").isNull() | F.col("ahfs").contains(cfg.opioid_pattern))
+                    & F.col("_not_naive").isNull())
+        aggs.append(F.count_if(to_naive).alias("opi_to_opi_naive"))
     return final.groupBy("final_id").agg(*aggs)
 
 
-def describe_prescribers(counts: DataFrame, users: DataFrame, dispensations: DataFrame) -> DataFrame:
+def dea_names(dispensations: DataFrame) -> DataFrame:
+    """J7 right side: one name per DEA (the smallest), from every prepared row."""
+    return (dispensations.groupBy(F.col("prescriber_dea").alias("n_dea"))
+            .agg(F.min("prescriber_name").alias("dea_prescriber_name")))
+
+
+def describe_prescribers(counts: DataFrame, users: DataFrame, names: DataFrame) -> DataFrame:
     """M6 tail: rate, user details for registered ids, dispensation name and
-    DEA for unregistered ones, ``registered`` = the id parses as an integer."""
+    DEA for unregistered ones, ``registered`` = the id parses as an integer.
+    ``names`` is ``dea_names(...)``."""
     u = keep_first(users, ["true_id"], ["user_full_name"]).select(
         F.col("true_id").alias("u_true_id"), "user_full_name", _c("dea_number(s)"), "license_number",
         "specialty_1", "specialty_2", "specialty_3")
-    names = (dispensations.groupBy(F.col("prescriber_dea").alias("n_dea"))
-             .agg(F.min("prescriber_name").alias("dea_prescriber_name")))
     r = counts.withColumns({
         "rate": F.col("searches") / F.col("dispensations") * 100,
         "true_id": F.col("final_id").try_cast("bigint"),
@@ -53,19 +68,11 @@ def describe_prescribers(counts: DataFrame, users: DataFrame, dispensations: Dat
     })
 
 
-def prescriber_rates(final: DataFrame, users: DataFrame, dispensations: DataFrame,
+def prescriber_rates(final: DataFrame, users: DataFrame, names: DataFrame,
                      cfg: ReportConfig) -> DataFrame:
     """M6: one row per ``final_id`` with dispensations, searches and rate."""
     counts = prescriber_counts(final, cfg, with_drugs=False)
-    return describe_prescribers(counts, users, dispensations).select(*[_c(c) for c in RATE_COLUMNS])
-
-
-def report_base(final: DataFrame, users: DataFrame, dispensations: DataFrame,
-                cfg: ReportConfig) -> DataFrame:
-    """M6 + M7: the base report columns."""
-    counts = prescriber_counts(final, cfg, with_drugs=True)
-    return describe_prescribers(counts, users, dispensations).select(
-        *[_c(c) for c in RATE_COLUMNS + COUNT_COLUMNS])
+    return describe_prescribers(counts, users, names).select(*[_c(c) for c in RATE_COLUMNS])
 
 
 def class_count(final: DataFrame, pattern: str, name: str) -> DataFrame:

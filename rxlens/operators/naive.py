@@ -27,7 +27,8 @@ def naive_match(final: DataFrame, naive: DataFrame, cfg: ReportConfig) -> DataFr
         opi, n, on=[("disp_dob", "n_dob")], point="written_date",
         start=F.col("naive_filled_date"), end=F.col("naive_end"),
         bucket_days=cfg.bucket_days)
-    scored = score_candidates(cands, "naive_patient_name", "patient_name", F.lit(float(cfg.naive_ratio)))
+    scored = score_candidates(cands, "naive_patient_name", "patient_name", F.lit(float(cfg.naive_ratio)),
+                              keep=list(NAIVE_KEY))
     return scored.select(*NAIVE_KEY).distinct()
 
 

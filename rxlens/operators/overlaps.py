@@ -54,9 +54,14 @@ def last_rule(cfg: ReportConfig) -> Column:
             | _within("written_date", shift_days("create_date_opi", cfg.report_lag_days), "rx_end_opi"))
 
 
-def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
+CREDIT_COLUMNS = ("final_id", "final_id_opi", "written_date", "written_date_opi")
+
+
+def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str,
+                  keep: list[str] | None = None) -> DataFrame:
     """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
-    suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``."""
+    suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
+    ``keep`` limits the carried columns (the credit counts need four)."""
     b = benzo.select(*SIDE_COLUMNS)
     o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
     common = dict(bucket_days=cfg.bucket_days)
@@ -73,7 +78,10 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
     if kind == "both":
         cands = cands.withColumns({"is_part": F.coalesce(part_rule(), F.lit(False)),
                                    "is_last": F.coalesce(last_rule(cfg), F.lit(False))})
-    scored = score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)))
+    if keep is not None and kind == "both":
+        keep = list(keep) + ["is_part", "is_last"]
+    scored = score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)),
+                              keep=keep)
     return scored.drop("dob_opi")
 
 

@@ -56,14 +56,21 @@ def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: Report
     return filter_vets(d, cfg.filter_vets)
 
 
-def prepare_searches(searches: DataFrame, dispensations: DataFrame, cfg: ReportConfig,
+def prepare_searches(searches: DataFrame, dispensations: DataFrame | None, cfg: ReportConfig,
                      broadcast_owners: bool = False) -> DataFrame:
     """M3: searches by users that own a dispensation, inside the search window,
     with the per-row similarity threshold (partial search → lower bar; an
-    unknown partial flag gives no threshold, so the row never matches)."""
-    # distinct owners are a subset of the identity table, so its size bound holds
-    owners = dispensations.select("true_id").filter(F.col("true_id").isNotNull()).distinct()
-    s = searches.join(small_side(owners, broadcast_owners), "true_id", "left_semi")
+    unknown partial flag gives no threshold, so the row never matches).
+
+    ``dispensations=None`` skips the owner semi-join: the match joins on the
+    owner id anyway, so the match path does not pay for a distinct-owner
+    pass over the dispensations.
+    """
+    s = searches
+    if dispensations is not None:
+        # distinct owners are a subset of the identity table, so its size bound holds
+        owners = dispensations.select("true_id").filter(F.col("true_id").isNotNull()).distinct()
+        s = s.join(small_side(owners, broadcast_owners), "true_id", "left_semi")
     partial = F.col("partial_first") | F.col("partial_last")
     return (s
             .withColumns({
@@ -77,6 +84,18 @@ def prepare_searches(searches: DataFrame, dispensations: DataFrame, cfg: ReportC
             .drop("first_name", "last_name", "partial_first", "partial_last"))
 
 
+def prescriber_names(disp: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """(prescriber_dea, prescriber_name) of every valid, kept dispensation row.
+
+    Same rows as ``prepare_dispensations`` without the owner join: the owner
+    fan-out only repeats rows, which a per-DEA ``min`` ignores.
+    """
+    d = (disp.withColumns({"prescriber_dea": normalize_dea("prescriber_dea"),
+                           "prescriber_name": full_name("prescriber_first_name", "prescriber_last_name")})
+         .filter(valid_dea("prescriber_dea")))
+    return filter_vets(d, cfg.filter_vets).select("prescriber_dea", "prescriber_name")
+
+
 def prepare_active_rx(active: DataFrame, users_explode: DataFrame, cfg: ReportConfig,
                       broadcast_owners: bool = False) -> DataFrame:
     """M8: attach owners to active prescriptions (DEA as given unless

@@ -175,8 +175,8 @@ matched AS (
 ranked AS (
   SELECT disp.*, row_number() OVER (
     PARTITION BY rx_number, prescriber_dea, written_date
-    ORDER BY true_id NULLS LAST, patient_name NULLS LAST, ahfs NULLS LAST, mme NULLS LAST,
-             filled_date NULLS LAST, disp_created_date NULLS LAST, disp_dob NULLS LAST,
+    ORDER BY true_id NULLS LAST, patient_name NULLS LAST, disp_dob NULLS LAST, ahfs NULLS LAST,
+             mme NULLS LAST, filled_date NULLS LAST, disp_created_date NULLS LAST,
              days_supply NULLS LAST, prescriber_name NULLS LAST, start_date NULLS LAST,
              end_date NULLS LAST) AS rn
   FROM disp

@@ -115,17 +115,17 @@ def q_prescriber_rates(spark, sf_dir):
 
 def q_opi_rx(spark, sf_dir):
     p = plan(spark, sf_dir)
-    return metrics.class_count(p.final, p.cfg.opioid_pattern, "opi_rx")
+    return metrics.class_count(p.final_core, p.cfg.opioid_pattern, "opi_rx")
 
 
 def q_benzo_rx(spark, sf_dir):
     p = plan(spark, sf_dir)
-    return metrics.class_count(p.final, p.cfg.benzo_pattern, "benzo_rx")
+    return metrics.class_count(p.final_core, p.cfg.benzo_pattern, "benzo_rx")
 
 
 def q_rx_over_mme(spark, sf_dir):
     p = plan(spark, sf_dir)
-    return metrics.over_mme(p.final, p.cfg.mme_threshold)
+    return metrics.over_mme(p.final_core, p.cfg.mme_threshold)
 
 
 def q_report_base(spark, sf_dir):

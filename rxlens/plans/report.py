@@ -30,6 +30,7 @@ class ReportPlan:
     inputs: dict[str, DataFrame]
     cfg: ReportConfig
     final_override: DataFrame | None = field(default=None, repr=False)
+    land_stages: bool = True
 
     @cached_property
     def users(self) -> DataFrame:
@@ -46,26 +47,54 @@ class ReportPlan:
         from rxlens.plans.strategy import fits
         return fits(self.users_explode, self.cfg.max_broadcast_rows)
 
+    def _landed(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.land_stages:
+            return df
+        from rxlens.session import land
+        return land(df, name)
+
     @cached_property
     def dispensations(self) -> DataFrame:
+        """Prepared dispensations (M2)."""
         return prepare.prepare_dispensations(self.inputs["dispensations"], self.users_explode, self.cfg,
                                              self.owners_fit)
 
     @cached_property
     def searches(self) -> DataFrame:
+        """Prepared searches (M3, with the owner semi-join)."""
         return prepare.prepare_searches(self.inputs["searches"], self.dispensations, self.cfg,
                                         self.owners_fit)
 
     @cached_property
     def matched(self) -> DataFrame:
-        return match.match_searches(self.dispensations, self.searches, self.cfg)
+        """M4 keys; the searches skip the (redundant here) owner semi-join."""
+        s = prepare.prepare_searches(self.inputs["searches"], None, self.cfg)
+        return match.match_searches(self.dispensations, s, self.cfg)
 
     @cached_property
     def final(self) -> DataFrame:
+        """Final dispensations (M5), every column."""
         if self.final_override is not None:
             return self.final_override
         return match.finalize_dispensations(self.dispensations, self.matched)
 
+    @cached_property
+    def final_core(self) -> DataFrame:
+        """Final dispensations narrowed to the columns the report reads (same
+        survivors as ``final`` on those columns)."""
+        if self.final_override is not None:
+            return self.final_override
+        return match.finalize_dispensations(self.dispensations, self.matched, match.REPORT_COLUMNS)
+
+    @cached_property
+    def final_shared(self) -> DataFrame:
+        """``final_core`` landed once for plans with several consumers of it."""
+        return self._landed(self.final_core, "final")
+
+    @cached_property
+    def names(self) -> DataFrame:
+        return metrics.dea_names(prepare.prescriber_names(self.inputs["dispensations"], self.cfg))
+
     @cached_property
     def active(self) -> DataFrame:
         return prepare.prepare_active_rx(self.inputs["active_rx"], self.users_explode, self.cfg,
@@ -76,37 +105,43 @@ class ReportPlan:
         return prepare.prepare_naive_rx(self.inputs["naive_rx"], self.cfg)
 
     def rates(self) -> DataFrame:
-        return metrics.prescriber_rates(self.final, self.users, self.dispensations, self.cfg)
+        return metrics.prescriber_rates(self.final_core, self.users, self.names, self.cfg)
 
-    def base(self) -> DataFrame:
-        return metrics.report_base(self.final, self.users, self.dispensations, self.cfg)
+    def base(self, final: DataFrame | None = None, naive_matched: DataFrame | None = None) -> DataFrame:
+        counts = metrics.prescriber_counts(final if final is not None else self.final_core, self.cfg,
+                                           with_drugs=True, naive_matched=naive_matched)
+        return metrics.describe_prescribers(counts, self.users, self.names)
 
-    def pairs(self, kind: str) -> DataFrame:
+    def pairs(self, kind: str, keep: list[str] | None = None) -> DataFrame:
         benzo, opi = prepare.split_classes(self.active, self.cfg)
-        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind)
+        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep)
 
     def overlap_counts(self, kind: str) -> DataFrame:
-        return overlaps.overlap_counts(self.pairs(kind), self.cfg, kind)
+        pairs = self.pairs(kind, keep=list(overlaps.CREDIT_COLUMNS))
+        return overlaps.overlap_counts(pairs, self.cfg, kind)
 
-    def naive_matches(self) -> DataFrame:
-        return naive.naive_match(self.final, self.naive_rx, self.cfg)
+    def naive_matches(self, final: DataFrame | None = None) -> DataFrame:
+        return naive.naive_match(final if final is not None else self.final_core, self.naive_rx, self.cfg)
 
     def naive_counts(self) -> DataFrame:
-        return naive.opioid_to_naive(self.final, self.naive_matches(), self.cfg)
+        return naive.opioid_to_naive(self.final_core, self.naive_matches(), self.cfg)
 
     def report(self, full: bool | None = None, overlap_type: str | None = None,
                sort: bool = True) -> DataFrame:
         """Base report, plus overlap and naive counts when ``full``."""
         full = self.cfg.supplement if full is None else full
         kind = overlap_type or self.cfg.overlap_type
-        out = self.base()
         extra: list[str] = []
         if full:
+            # the final dispensations feed the naive match and the counts
+            final = self.final_shared
+            out = self.base(final, naive_matched=self.naive_matches(final))
             ocols = OVERLAP_COLUMNS[kind]
             out = out.join(self.overlap_counts(kind), "final_id", "left")
-            out = out.join(self.naive_counts(), "final_id", "left")
+            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in ocols})
             extra = list(ocols) + ["opi_to_opi_naive"]
-            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in extra})
+        else:
+            out = self.base()
         cols = list(metrics.RATE_COLUMNS + metrics.COUNT_COLUMNS) + extra
         out = out.select(*[F.col(f"`{c}`") for c in cols])
         if sort:
@@ -114,17 +149,14 @@ class ReportPlan:
         return out
 
     def totals(self, report: DataFrame | None = None) -> DataFrame:
-        return metrics.grand_totals(report if report is not None else self.base())
+        return metrics.grand_totals(report if report is not None else self.report(full=False, sort=False))
 
 
 def run_report(inputs: dict[str, DataFrame], cfg: ReportConfig, out_dir: str,
                testing: bool = False) -> DataFrame:
     """The batch job: write ``<out_dir>/<month...>_mandatory_use_<kind>.csv``
     (a directory with one CSV part) and return the 1-row grand totals."""
-    from rxlens.session import materialize
     plan = ReportPlan(inputs, cfg)
-    final = materialize(plan.final)
-    plan = ReportPlan(inputs, cfg, final_override=final)
     report = plan.report()
     name = report_file_name(cfg.first_date, cfg.last_date, cfg.supplement)
     base_dir = out_dir.rstrip("/")
@@ -135,7 +167,7 @@ def run_report(inputs: dict[str, DataFrame], cfg: ReportConfig, out_dir: str,
             for k in kinds:
                 plan.pairs(k).write.mode("overwrite").parquet(f"{base_dir}/overlaps_{k}")
         plan.report(sort=False).write.mode("overwrite").parquet(f"{base_dir}/search_results")
-        final.write.mode("overwrite").parquet(f"{base_dir}/dispensations_results")
+        plan.final.write.mode("overwrite").parquet(f"{base_dir}/dispensations_results")
     written = report.sparkSession.read.option("header", True).option("inferSchema", False) \
         .csv(f"{base_dir}/{name}")
     written = written.select(F.col("dispensations").cast("bigint"), F.col("searches").cast("bigint"))

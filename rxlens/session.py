@@ -21,13 +21,13 @@ ENGINE_CONF = {
 
 
 # Local-mode tuning for small test files: one core per few hundred KB instead
-# of packing a whole small table into one 4 MB split, and keep post-shuffle
-# parallelism for the CPU-bound scoring stages.  A cluster keeps its defaults.
+# of packing a whole small table into one 4 MB split, and keep every one of
+# the (few, core-sized) shuffle partitions for the CPU-bound scoring stages.
+# A cluster keeps the engine defaults (coalescing on, large splits).
 LOCAL_CONF = {
     "spark.sql.files.openCostInBytes": "262144",
     "spark.sql.files.maxPartitionBytes": "16MB",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4MB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 
 
@@ -80,3 +80,18 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` to the reliable checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used for stages with several consumers: they read files (with column
+    pruning and pushed filters) instead of each re-running the upstream plan,
+    and lineage is cut, so a lost executor re-reads instead of recomputing.
+    """
+    import uuid
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/rxlens-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

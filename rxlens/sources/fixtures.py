@@ -67,29 +67,9 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(part, F.col("p_partkey") == F.col("o_custkey")))
 
 
-_LANDED: dict[tuple, str] = {}
-
-
 def base_prescriptions(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
-    """One row per dispensation with the extract extras (clean names, typed).
-
-    The derivation (a three-table join) is landed once per application as
-    parquet in the shared checkpoint folder and read back, the way the
-    report reads landed extracts: later queries get column pruning and
-    pushed filters on it, and a lost executor re-reads files instead of
-    re-running the join.
-    """
-    from rxlens.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls)
-    path = _LANDED.get(key)
-    if path is None:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        tag = "nulls" if with_nulls else "plain"
-        name = sf_dir.rstrip("/").replace("/", "_").strip("_")
-        path = f"{root}/rxlens-landed/{key[0]}/{name}-{tag}"
-        derive_prescriptions(spark, sf_dir, with_nulls).write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(path)
+    """One row per dispensation with the extract extras (clean names, typed)."""
+    return derive_prescriptions(spark, sf_dir, with_nulls)
 
 
 def derive_prescriptions(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
@@ -208,12 +188,39 @@ def naive_rx(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bo
     return extracts.extract_naive_rx(base_prescriptions(spark, sf_dir, with_nulls), cfg)
 
 
-def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool = False) -> dict:
-    """The five extracts the report consumes."""
-    return {
-        "dispensations": dispensations(spark, sf_dir, with_nulls),
-        "searches": searches(spark, sf_dir, with_nulls),
-        "users": users(spark, sf_dir),
-        "active_rx": active_rx(spark, sf_dir, cfg, with_nulls),
-        "naive_rx": naive_rx(spark, sf_dir, cfg, with_nulls),
+_LANDED: dict[tuple, dict[str, str]] = {}
+
+
+def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool = False,
+                  land: bool = True) -> dict:
+    """The five extracts the report consumes.
+
+    Like the upstream extract pull, the derivation is landed once per
+    application as parquet under the shared checkpoint folder (keyed by data
+    folder, variant and period) and the report reads the landed files: every
+    later query gets column pruning and pushed filters on them, and a lost
+    executor re-reads files instead of re-running the derivation joins.
+    """
+    lazy = {
+        "dispensations": lambda: dispensations(spark, sf_dir, with_nulls),
+        "searches": lambda: searches(spark, sf_dir, with_nulls),
+        "users": lambda: users(spark, sf_dir),
+        "active_rx": lambda: active_rx(spark, sf_dir, cfg, with_nulls),
+        "naive_rx": lambda: naive_rx(spark, sf_dir, cfg, with_nulls),
     }
+    if not land:
+        return {k: f() for k, f in lazy.items()}
+    from rxlens.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls, cfg.first_date,
+           cfg.last_date, cfg.naive_days)
+    paths = _LANDED.get(key)
+    if paths is None:
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        tag = "-".join(str(x).replace("/", "_") for x in key[1:]).replace(" ", "")
+        paths = {}
+        for name, build in lazy.items():
+            path = f"{root}/rxlens-extracts/{key[0]}/{tag}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            paths[name] = path
+        _LANDED[key] = paths
+    return {k: spark.read.parquet(v) for k, v in paths.items()}
