@@ -17,8 +17,9 @@ from rxlens.sources import schemas as S
 
 def _read(spark: SparkSession, path: str, rename: dict[str, str], types: dict[str, str],
           long_dates=(), short_dates=()) -> DataFrame:
-    raw = (spark.read.option("header", True).option("multiLine", False)
-           .option("escape", '"').csv(path))
+    raw = (spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .csv(path))
     df = raw.withColumnsRenamed({k: v for k, v in rename.items() if k in raw.columns})
     exprs = {}
     for c in df.columns:
@@ -76,4 +77,6 @@ def write_extract_csv(df: DataFrame, path: str, rename: dict[str, str], long_dat
                       short_dates=()) -> None:
     """K3: land an extract as header CSV text in the raw layout."""
     (to_raw_layout(df, rename, long_dates, short_dates)
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
