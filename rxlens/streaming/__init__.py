@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference program is a periodic batch report (one run per reporting
+period over landed extracts); it has no unbounded input, watermark, window or
+state.  Its "streaming" engine option is a batch execution mode, which Spark
+covers with ordinary batch jobs (``rxlens.plans.report.run_report``).  No
+Structured Streaming operator is built, so nothing here adds behaviour the
+reference does not have.
+"""
