@@ -37,6 +37,12 @@ SCORE_DIGITS = 9
 
 _CHUNK = 4096
 
+# Scores already computed in this Python worker (workers are reused across
+# batches and tasks).  The score is a pure function of the two names, so the
+# memo is exact; it is cleared when it reaches the cap, bounding memory.
+_MEMO: dict[str, float] = {}
+_MEMO_CAP = 500_000
+
 
 def jaro_winkler_scalar(a: str | None, b: str | None) -> float | None:
     """Plain-Python reference implementation (tests and tiny inputs)."""
@@ -126,8 +132,9 @@ def _jw_chunk(a_list: list[str], b_list: list[str]) -> np.ndarray:
 def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     """Vectorised score of aligned string Series; null in, null out.
 
-    Pairs repeat heavily inside a batch (one patient, many prescriptions), so
-    each distinct (a, b) of the batch is scored once and fanned back out.
+    Pairs repeat heavily (one patient, many prescriptions; a small name
+    vocabulary), so each distinct (a, b) of the batch is scored once, looked
+    up first in the worker's memo, and fanned back out.
     """
     out = np.full(len(a), np.nan)
     ok = (a.notna() & b.notna()).to_numpy()
@@ -136,13 +143,20 @@ def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(out, index=a.index)
     av = a.to_numpy(dtype=object)[idx]
     bv = b.to_numpy(dtype=object)[idx]
-    codes, _ = pd.factorize(pd.Series(av).str.cat(pd.Series(bv), sep="\x1f"))
+    codes, keys = pd.factorize(pd.Series(av).str.cat(pd.Series(bv), sep="\x1f"))
     _, first = np.unique(codes, return_index=True)
-    ua, ub = av[first], bv[first]
-    scores = np.empty(len(first))
-    for start in range(0, len(first), _CHUNK):
-        end = start + _CHUNK
-        scores[start:end] = _jw_chunk([str(x) for x in ua[start:end]], [str(x) for x in ub[start:end]])
+    scores = np.fromiter((_MEMO.get(k, np.nan) for k in keys), dtype=float, count=len(keys))
+    todo = np.flatnonzero(np.isnan(scores))
+    if len(todo):
+        ua, ub = av[first[todo]], bv[first[todo]]
+        fresh = np.empty(len(todo))
+        for start in range(0, len(todo), _CHUNK):
+            end = start + _CHUNK
+            fresh[start:end] = _jw_chunk([str(x) for x in ua[start:end]], [str(x) for x in ub[start:end]])
+        scores[todo] = fresh
+        if len(_MEMO) + len(todo) > _MEMO_CAP:
+            _MEMO.clear()
+        _MEMO.update(zip(keys[todo], fresh))
     out[idx] = scores[codes]
     return pd.Series(out, index=a.index)
 
@@ -185,6 +199,40 @@ def may_reach(a: Column, b: Column, threshold: float | Column) -> Column:
     return short >= ratio_floor * long_ - F.lit(1e-9) * long_
 
 
+# Fixed values of the name signature: one presence bit per symbol, then one
+# bit for "any other character".
+SIGNATURE_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ "
+
+
+def name_signature(c: Column) -> Column:
+    """Character-presence bitmask of a name, computed natively once per row
+    (substring tests, no string building).  Used by ``may_reach_sig``."""
+    sig = F.lit(0).cast("long")
+    for k, ch in enumerate(SIGNATURE_SYMBOLS):
+        sig = sig + F.when(c.contains(ch), F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+    # any character outside the symbols
+    other = F.length(F.translate(c, SIGNATURE_SYMBOLS, "")) > 0
+    sig = sig + F.when(other, F.lit(1 << len(SIGNATURE_SYMBOLS))).otherwise(F.lit(0)).cast("long")
+    return sig
+
+
+def may_reach_sig(a: Column, b: Column, sig_a: Column, sig_b: Column, threshold: float | Column) -> Column:
+    """Native, lossless necessary condition for ``jw(a, b) >= threshold``,
+    tighter than ``may_reach``: each symbol of ``a`` that never occurs in
+    ``b`` leaves at least one character of ``a`` unmatched, so
+    ``m <= M = min(len_a - |sym(a) - sym(b)|, len_b - |sym(b) - sym(a)|)``
+    and ``jaro <= (M/len_a + M/len_b + 1) / 3``.
+    """
+    la, lb = F.length(a).cast("double"), F.length(b).cast("double")
+    absent_a = F.bit_count(sig_a.bitwiseAND(F.bitwise_not(sig_b)))
+    absent_b = F.bit_count(sig_b.bitwiseAND(F.bitwise_not(sig_a)))
+    m = F.least(la - absent_a, lb - absent_b)
+    r = required_jaro(threshold)
+    lhs = m * lb + m * la + la * lb
+    rhs = F.lit(3.0) * r * la * lb - F.lit(1e-9) * la * lb
+    return (la == 0) | (lb == 0) | (lhs >= rhs)
+
+
 def passes(score: Column, threshold: float | Column) -> Column:
     """``round(score, 9) >= threshold`` (same test as the SQL oracle)."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
-from rxlens.functions.similarity import jaro_winkler, may_reach, passes
+from rxlens.functions.similarity import jaro_winkler, may_reach, may_reach_sig, passes
 from rxlens.operators.intervals import point_in_interval_join
 
 DISPENSATION_KEY = ("rx_number", "prescriber_dea", "written_date")
@@ -32,16 +32,21 @@ def search_candidates(dispensations: DataFrame, searches: DataFrame, cfg: Report
 
 
 def score_candidates(cands: DataFrame, a: str, b: str, threshold, out: str = "ratio",
-                     keep: list[str] | None = None) -> DataFrame:
+                     keep: list[str] | None = None, sigs: tuple[str, str] | None = None) -> DataFrame:
     """Name test on candidate pairs: native length prefilter, then the
     vectorised scorer on the survivors only, then the threshold.
 
     ``keep`` narrows the rows before the Python stage to the columns the
     caller needs afterwards: the Python evaluation buffers every input row
     until its score comes back, so its cost grows with the row width.
+    ``sigs`` names ``name_signature`` columns of ``a`` and ``b`` (computed
+    once per side row) for the tighter character bound.
     """
     t = F.col(threshold) if isinstance(threshold, str) else threshold
-    cands = cands.filter(may_reach(F.col(a), F.col(b), t))
+    if sigs is not None:
+        cands = cands.filter(may_reach_sig(F.col(a), F.col(b), F.col(sigs[0]), F.col(sigs[1]), t))
+    else:
+        cands = cands.filter(may_reach(F.col(a), F.col(b), t))
     if keep is not None:
         extra = [threshold] if isinstance(threshold, str) else []
         cols = list(dict.fromkeys(list(keep) + [a, b] + extra))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
+from rxlens.functions.similarity import name_signature
 from rxlens.operators.intervals import point_in_interval_join
 from rxlens.operators.match import score_candidates
 
@@ -21,14 +22,16 @@ NAIVE_KEY = ("final_id", "rx_number")
 def naive_match(final: DataFrame, naive: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Distinct (final_id, rx_number) of opioid rx with a naive-window match."""
     opi = (final.filter(F.col("ahfs").contains(cfg.opioid_pattern))
-           .select(*NAIVE_KEY, "disp_dob", "written_date", "patient_name"))
-    n = naive.select(F.col("dob").alias("n_dob"), "naive_filled_date", "naive_end", "naive_patient_name")
+           .select(*NAIVE_KEY, "disp_dob", "written_date", "patient_name",
+                   name_signature(F.col("patient_name")).alias("_sig")))
+    n = naive.select(F.col("dob").alias("n_dob"), "naive_filled_date", "naive_end", "naive_patient_name",
+                     name_signature(F.col("naive_patient_name")).alias("_n_sig"))
     cands = point_in_interval_join(
         opi, n, on=[("disp_dob", "n_dob")], point="written_date",
         start=F.col("naive_filled_date"), end=F.col("naive_end"),
         bucket_days=cfg.bucket_days)
     scored = score_candidates(cands, "naive_patient_name", "patient_name", F.lit(float(cfg.naive_ratio)),
-                              keep=list(NAIVE_KEY))
+                              keep=list(NAIVE_KEY), sigs=("_n_sig", "_sig"))
     return scored.select(*NAIVE_KEY).distinct()
 
 

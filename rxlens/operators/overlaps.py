@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
+from rxlens.functions.similarity import name_signature
 from rxlens.operators.intervals import point_in_interval_join
 from rxlens.operators.match import score_candidates
 
@@ -62,8 +63,9 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
     """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
     suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
     ``keep`` limits the carried columns (the credit counts need four)."""
-    b = benzo.select(*SIDE_COLUMNS)
-    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
+    b = benzo.select(*SIDE_COLUMNS, name_signature(F.col("patient_name")).alias("_sig"))
+    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS],
+                      name_signature(F.col("patient_name")).alias("_sig_opi"))
     common = dict(bucket_days=cfg.bucket_days)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
@@ -81,8 +83,8 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
     if keep is not None and kind == "both":
         keep = list(keep) + ["is_part", "is_last"]
     scored = score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)),
-                              keep=keep)
-    return scored.drop("dob_opi")
+                              keep=keep, sigs=("_sig_opi", "_sig"))
+    return scored.drop("dob_opi", "_sig", "_sig_opi")
 
 
 def _credits(pairs: DataFrame, cfg: ReportConfig, rules: dict[str, tuple[Column, Column]]) -> DataFrame:

@@ -58,3 +58,28 @@ def test_spark_column_function(spark):
     assert abs(got[1]["s"] - jaro_winkler_scalar("JOHN SMITH", "JON SMYTHE")) < 1e-12
     assert got[2]["s"] is None
     assert got[3]["s"] == 0.0 and got[4]["s"] == 0.0
+
+
+def test_signature_bound_is_lossless_in_spark(spark):
+    import random
+
+    from rxlens.functions.similarity import may_reach_sig, name_signature
+    rnd = random.Random(7)
+    alphabet = "ABCDE XYZéa-"
+    rows = []
+    for _ in range(3000):
+        a = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+        b = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+        rows.append((a, b))
+    df = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", name_signature(F.col("a")).alias("sa"), name_signature(F.col("b")).alias("sb"))
+    checks = df.select("a", "b", *[may_reach_sig(F.col("a"), F.col("b"), F.col("sa"), F.col("sb"), t).alias(f"t{i}")
+                                   for i, t in enumerate((0.5, 0.7, 0.9))]).collect()
+    pruned = 0
+    for r in checks:
+        s = round(jaro_winkler_scalar(r["a"], r["b"]), 9)
+        for i, t in enumerate((0.5, 0.7, 0.9)):
+            pruned += not r[f"t{i}"]
+            if s >= t:
+                assert r[f"t{i}"], (r["a"], r["b"], t, s)
+    assert pruned > 0
