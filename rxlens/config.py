@@ -33,8 +33,8 @@ BENZO_CLASSES = ("BENZODIAZEPINES (ANTICONVULSANTS)", "BENZODIAZEPINES (ANXIOLYT
 class ReportConfig:
     """All knobs of a mandatory-use report.
 
-    Defaults are the reference program's defaults.  ``bucket_days`` shapes
-    the interval joins (see
+    Defaults are the reference program's defaults.  ``bucket_days`` and
+    ``salt_buckets`` (split hot join groups) shape the interval joins (see
     ``rxlens.operators.intervals``); ``max_broadcast_rows`` bounds the
     size-checked broadcasts of the prescriber-identity table.
     """
@@ -57,6 +57,7 @@ class ReportConfig:
     naive_days: int = 60
     eligibility: Eligibility = field(default_factory=Eligibility)
     bucket_days: int = 30
+    salt_buckets: int = 1
     max_broadcast_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
@@ -64,8 +65,8 @@ class ReportConfig:
             raise ValueError(f"overlap_type must be last, part or both, not {self.overlap_type!r}")
         if self.first_date > self.last_date:
             raise ValueError("first_date is after last_date")
-        if self.bucket_days < 1:
-            raise ValueError("bucket_days must be positive")
+        if self.bucket_days < 1 or self.salt_buckets < 1:
+            raise ValueError("bucket_days and salt_buckets must be positive")
 
     @property
     def search_from(self) -> dt.date:

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 _PB = "_point_bucket"
 _IB = "_interval_bucket"
+_PS = "_point_salt"
+_IS = "_interval_salt"
 
 
 def _bucket(c: Column, days: int) -> Column:
@@ -35,12 +37,20 @@ def _bucket(c: Column, days: int) -> Column:
 def point_in_interval_join(points: DataFrame, intervals: DataFrame,
                            on: Sequence[tuple[str, str]], point: str, start: Column, end: Column,
                            bucket_days: int,
-                           point_range: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+                           point_range: tuple[dt.date, dt.date] | None = None,
+                           salt: int = 1) -> DataFrame:
     """Inner join: ``points.a == intervals.b`` for each (a, b) in ``on`` and
     ``start <= point <= end``.  Column names of the two sides must be disjoint.
 
     ``point_range`` (optional) is a guaranteed bound on the point dates; the
     interval side is then exploded only over buckets inside it.
+
+    ``salt > 1`` splits every (keys, bucket) group ``salt`` ways: each point
+    row goes to one sub-group chosen by a hash of its own values (stable when
+    a task is recomputed) and each interval row is copied to all of them, so
+    a hot group (say a placeholder birth date holding a third of the rows)
+    is spread over ``salt`` tasks at the price of ``salt`` copies of the
+    interval side.  Results are identical for every ``salt``.
     """
     pts = points.withColumn(_PB, _bucket(F.col(point), bucket_days))
     lo, hi = _bucket(start, bucket_days), _bucket(end, bucket_days)
@@ -53,4 +63,9 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
     cond = F.col(point).between(start, end) & (F.col(_PB) == F.col(_IB))
     for a, b in on:
         cond = cond & (F.col(a) == F.col(b))
-    return pts.join(exploded, cond, "inner").drop(_PB, _IB, "_lo", "_hi")
+    if salt > 1:
+        pts = pts.withColumn(_PS, F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
+        exploded = exploded.withColumn(_IS, F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                 F.lit(salt - 1).cast("long"))))
+        cond = cond & (F.col(_PS) == F.col(_IS))
+    return pts.join(exploded, cond, "inner").drop(_PB, _IB, _PS, _IS, "_lo", "_hi")

@@ -28,7 +28,8 @@ def search_candidates(dispensations: DataFrame, searches: DataFrame, cfg: Report
                         "full_name", "ratio_check")
     return point_in_interval_join(
         s, d, on=[("s_true_id", "true_id"), ("search_dob", "disp_dob")], point="created_date",
-        start=F.col("start_date"), end=F.col("end_date"), bucket_days=cfg.bucket_days, point_range=(cfg.search_from, cfg.search_to))
+        start=F.col("start_date"), end=F.col("end_date"), bucket_days=cfg.bucket_days, point_range=(cfg.search_from, cfg.search_to),
+        salt=cfg.salt_buckets)
 
 
 def score_candidates(cands: DataFrame, a: str, b: str, threshold, out: str = "ratio",

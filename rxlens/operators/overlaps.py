@@ -66,7 +66,7 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
     b = benzo.select(*SIDE_COLUMNS, name_signature(F.col("patient_name")).alias("_sig"))
     o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS],
                       name_signature(F.col("patient_name")).alias("_sig_opi"))
-    common = dict(bucket_days=cfg.bucket_days)
+    common = dict(bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
     # branch 1: opioid written inside the benzo interval

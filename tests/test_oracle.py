@@ -55,3 +55,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "rate" in df.columns
+
+
+def test_salted_joins_give_identical_results(spark, sf_small):
+    def rows(**changes):
+        p = plan(spark, sf_small, **changes)
+        out = []
+        for df in (p.matched, p.pairs("both"), p.naive_matches()):
+            out.append(sorted(tuple(r) for r in df.collect()))
+        return out
+    assert rows() == rows(salt_buckets=3)
+    assert rows() == rows(bucket_days=7)
