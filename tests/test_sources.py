@@ -83,3 +83,35 @@ def test_run_report_job(spark, sf_small):
     assert written.count() > 0 and "overlapping_rx_part" in written.columns
     assert totals["dispensations"] == written.agg(F.sum(F.col("dispensations").cast("bigint"))).first()[0]
     assert spark.read.parquet(f"{out}/overlaps_last").count() > 0
+
+
+def test_cli_config_mapping():
+    from rxlens.__main__ import config_from_args, parse_args
+    cfg = config_from_args(parse_args(["-ns", "-ot", "both", "-p", "0.4", "-nf"]), today=dt.date(2024, 5, 24))
+    assert (cfg.first_date, cfg.last_date) == (dt.date(2024, 4, 1), dt.date(2024, 4, 30))
+    assert not cfg.supplement and cfg.overlap_type == "both" and cfg.partial_ratio == 0.4 and not cfg.filter_vets
+    cfg = config_from_args(parse_args(["-na", "-f", "2021-01-01", "-l", "2021-01-31"]))
+    assert (cfg.first_date, cfg.last_date) == (dt.date(2021, 1, 1), dt.date(2021, 1, 31))
+
+
+def test_cli_end_to_end(spark, sf_small):
+    """Extract CSVs in a data folder -> report CSV, like the command line."""
+    import os
+
+    from rxlens.__main__ import FILES, main
+    cfg = fixtures.whole_range_config()
+    data = tempfile.mkdtemp(prefix="rxlens-data-")
+    out = tempfile.mkdtemp(prefix="rxlens-out-")
+    renames = {"dispensations": (S.DISPENSATIONS_RENAME, S.DISPENSATIONS_LONG_DATES, ()),
+               "searches": (S.SEARCHES_RENAME, S.SEARCHES_LONG_DATES, ()),
+               "users": (S.USERS_RENAME, (), ()),
+               "active_rx": (S.ACTIVE_RX_RENAME, S.ACTIVE_RX_LONG_DATES, ()),
+               "naive_rx": (S.NAIVE_RX_RENAME, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES)}
+    for name, df in fixtures.report_inputs(spark, sf_small, cfg).items():
+        C.write_extract_csv(df, os.path.join(data, FILES[name]), *renames[name])
+    main(["-na", "-f", "1995-01-01", "-l", "2001-12-31", "--data", data, "--out", out])
+    got = spark.read.option("header", True).csv(f"{out}/{report_file_name(cfg.first_date, cfg.last_date, True)}")
+    from rxlens.plans.queries import q_report_full
+    want = q_report_full(spark, sf_small)
+    assert got.count() == want.count()
+    assert sorted(r["final_id"] for r in got.collect()) == sorted(r["final_id"] for r in want.collect())
