@@ -188,7 +188,7 @@ def naive_rx(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bo
     return extracts.extract_naive_rx(base_prescriptions(spark, sf_dir, with_nulls), cfg)
 
 
-_LANDED: dict[tuple, dict[str, str]] = {}
+_LANDED: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool = False,
@@ -213,14 +213,14 @@ def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_null
     from rxlens.session import ensure_checkpoint_dir
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls, cfg.first_date,
            cfg.last_date, cfg.naive_days)
-    paths = _LANDED.get(key)
-    if paths is None:
+    frames = _LANDED.get(key)
+    if frames is None:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = "-".join(str(x).replace("/", "_") for x in key[1:]).replace(" ", "")
-        paths = {}
+        frames = {}
         for name, build in lazy.items():
             path = f"{root}/rxlens-extracts/{key[0]}/{tag}/{name}"
             build().write.mode("overwrite").parquet(path)
-            paths[name] = path
-        _LANDED[key] = paths
-    return {k: spark.read.parquet(v) for k, v in paths.items()}
+            frames[name] = spark.read.parquet(path)   # listing and schema resolved once
+        _LANDED[key] = frames
+    return dict(frames)
