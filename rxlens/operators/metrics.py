@@ -42,9 +42,14 @@ def prescriber_counts(final: DataFrame, cfg: ReportConfig, with_drugs: bool = Tr
 
 
 def dea_names(dispensations: DataFrame) -> DataFrame:
-    """J7 right side: one name per DEA (the smallest), from every prepared row."""
-    return (dispensations.groupBy(F.col("prescriber_dea").alias("n_dea"))
-            .agg(F.min("prescriber_name").alias("dea_prescriber_name")))
+    """J7 right side: one name per DEA (the smallest), from every prepared row.
+
+    A string ``min`` runs as a sort-based aggregate, so the (DEA, name) pairs
+    are first collapsed with a hash aggregate (map-side), leaving the sort
+    only the few distinct pairs.
+    """
+    pairs = dispensations.select(F.col("prescriber_dea").alias("n_dea"), "prescriber_name").distinct()
+    return pairs.groupBy("n_dea").agg(F.min("prescriber_name").alias("dea_prescriber_name"))
 
 
 def describe_prescribers(counts: DataFrame, users: DataFrame, names: DataFrame) -> DataFrame:
