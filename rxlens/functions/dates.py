@@ -56,8 +56,3 @@ def previous_month_end(c: str | Column) -> Column:
 def month_name(c: str | Column) -> Column:
     """Lower-case English month name."""
     return F.lower(F.date_format(col_(c), "MMMM"))
-
-
-def epoch_day(c: str | Column) -> Column:
-    """Days since 1970-01-01 (integer), used for interval bucketing."""
-    return F.unix_date(col_(c))

@@ -49,8 +49,3 @@ def dea_or_null(c: str | Column) -> Column:
 def is_human(animal: str | Column) -> Column:
     """the animal-name column marks a human patient."""
     return col_(animal).isin("Unspecified", "~")
-
-
-def class_flag(ahfs: str | Column, pattern: str) -> Column:
-    """case-sensitive substring test on the AHFS description."""
-    return col_(ahfs).contains(pattern)
