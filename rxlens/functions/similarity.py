@@ -19,13 +19,21 @@ match, so ``jaro <= (2 + min/max) / 3`` and ``jw <= 0.4 + 0.6 * jaro``.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+# The scorer is the only code that runs in Python workers; shipping this
+# module's functions by value lets executors run it without the package
+# being installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the scoring variant.
 WINKLER_THRESHOLD = 0.7
 WINKLER_SCALE = 0.1
@@ -37,9 +45,9 @@ SCORE_DIGITS = 9
 
 _CHUNK = 4096
 
-# Scores already computed in this Python worker (workers are reused across
-# batches and tasks).  The score is a pure function of the two names, so the
-# memo is exact; it is cleared when it reaches the cap, bounding memory.
+# Scores already computed for this task's batches.  The score is a pure
+# function of the two names, so the memo is exact; it is cleared when it
+# reaches the cap, bounding memory.
 _MEMO: dict[str, float] = {}
 _MEMO_CAP = 500_000
 
@@ -134,7 +142,7 @@ def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
 
     Pairs repeat heavily (one patient, many prescriptions; a small name
     vocabulary), so each distinct (a, b) of the batch is scored once, looked
-    up first in the worker's memo, and fanned back out.
+    up first in the memo of earlier batches, and fanned back out.
     """
     out = np.full(len(a), np.nan)
     ok = (a.notna() & b.notna()).to_numpy()
