@@ -85,7 +85,8 @@ def compare(spark, con, key: str, fn, sql: str, sf_dir: str) -> dict:
 
 
 def main(argv: list[str]) -> int:
-    sys.path.insert(0, ".")
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
     from rxlens.session import local_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
