@@ -125,8 +125,11 @@ def dispensations(spark: SparkSession, sf_dir: str, with_nulls: bool = False) ->
 
 def search_log(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
     """Every search event (before attribution and windowing)."""
-    b = base_prescriptions(spark, sf_dir, with_nulls).filter(
-        (F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0)
+    return _search_log_from(base_prescriptions(spark, sf_dir, with_nulls), with_nulls)
+
+
+def _search_log_from(base: DataFrame, with_nulls: bool) -> DataFrame:
+    b = base.filter((F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0)
     pk, first = F.col("l_partkey"), F.col("patient_first_name")
     partial_first = pk % 5 == 0
     if with_nulls:
@@ -199,17 +202,11 @@ def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_null
     application as parquet under the shared checkpoint folder (keyed by data
     folder, variant and period) and the report reads the landed files: every
     later query gets column pruning and pushed filters on them, and a lost
-    executor re-reads files instead of re-running the derivation joins.
+    executor re-reads files instead of re-running the derivation joins.  The
+    three-table base join is itself landed first, so it runs once.
     """
-    lazy = {
-        "dispensations": lambda: dispensations(spark, sf_dir, with_nulls),
-        "searches": lambda: searches(spark, sf_dir, with_nulls),
-        "users": lambda: users(spark, sf_dir),
-        "active_rx": lambda: active_rx(spark, sf_dir, cfg, with_nulls),
-        "naive_rx": lambda: naive_rx(spark, sf_dir, cfg, with_nulls),
-    }
     if not land:
-        return {k: f() for k, f in lazy.items()}
+        return _extracts_from(spark, derive_prescriptions(spark, sf_dir, with_nulls), sf_dir, cfg, with_nulls)
     from rxlens.session import ensure_checkpoint_dir
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls, cfg.first_date,
            cfg.last_date, cfg.naive_days)
@@ -217,10 +214,24 @@ def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_null
     if frames is None:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         tag = "-".join(str(x).replace("/", "_") for x in key[1:]).replace(" ", "")
+        folder = f"{root}/rxlens-extracts/{key[0]}/{tag}"
+        derive_prescriptions(spark, sf_dir, with_nulls).write.mode("overwrite").parquet(f"{folder}/base")
+        base = spark.read.parquet(f"{folder}/base")
         frames = {}
-        for name, build in lazy.items():
-            path = f"{root}/rxlens-extracts/{key[0]}/{tag}/{name}"
-            build().write.mode("overwrite").parquet(path)
-            frames[name] = spark.read.parquet(path)   # listing and schema resolved once
+        for name, df in _extracts_from(spark, base, sf_dir, cfg, with_nulls).items():
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            frames[name] = spark.read.parquet(f"{folder}/{name}")   # listing and schema resolved once
         _LANDED[key] = frames
     return dict(frames)
+
+
+def _extracts_from(spark: SparkSession, base: DataFrame, sf_dir: str, cfg: ReportConfig,
+                   with_nulls: bool) -> dict:
+    from rxlens.sources.schemas import DISPENSATIONS_COLUMNS, SEARCHES_COLUMNS
+    return {
+        "dispensations": base.select(*DISPENSATIONS_COLUMNS),
+        "searches": _search_log_from(base, with_nulls).select(*SEARCHES_COLUMNS),
+        "users": users(spark, sf_dir),
+        "active_rx": extracts.extract_active_rx(base, cfg, dea_col="active_dea"),
+        "naive_rx": extracts.extract_naive_rx(base, cfg),
+    }
