@@ -169,11 +169,16 @@ def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, index=a.index)
 
 
-@pandas_udf(DoubleType())
-def _jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def _score(a: pd.Series, b: pd.Series) -> pd.Series:
     return jaro_winkler_batch(a, b)
 
 
+# Marked non-deterministic for the optimizer only (the score is a pure
+# function): otherwise a threshold filter on the score is pushed below the
+# projection that computes it and the Python scorer runs twice per row.
+_jaro_winkler_udf = pandas_udf(_score, DoubleType()).asNondeterministic()
+
+
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Spark column function: Jaro-Winkler similarity of ``a`` and ``b``.
 
