@@ -48,3 +48,11 @@ def test_parquet_pushdown(spark, sf_small):
     text = q_extract_dispensations(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_orderkey)" in text or "PushedFilters" in text
     assert "l_extendedprice" not in text   # pruned column never read
+
+
+def test_dedupe_is_partial_aggregate_not_window(spark):
+    """A key holding a large share of rows is reduced map-side, never gathered by a window."""
+    p = small_plan(spark)
+    text = plan_text(p.final_core)
+    assert "partial_min" in text
+    assert "Window" not in text
