@@ -222,10 +222,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group_rows: int = GROUP_ROWS
     if max_bits > 4:
         raise ValueError("the anchors cover up to 4 differing bits")
     rep = replicate(fps)
-    size = rep.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    blocks = F.ceil(F.col("rows") / group_rows).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = (rep.join(size, "anchor").withColumn("blocks", blocks).withColumn("mine", mine)
+    large = (rep.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > group_rows)
+             .select("anchor", F.ceil(F.col("rows") / group_rows).cast("int").alias("blocks")))
+    # most anchors are one group; a large one is a group for each pair of its blocks
+    own = F.coalesce("blocks", F.lit(1))
+    dealt = (rep.join(large, "anchor", "left").withColumn("blocks", own)
+             .withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("anchor", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "fp"))
     key = ["anchor", "lo", "hi"]
