@@ -7,7 +7,6 @@ Layout:
   operators/  preparation, search match, interval joins, overlaps, naive
               counts, per-prescriber metrics
   plans/      report assembly and sinks, the registered queries, the SQL oracle
-  streaming/  (none: the reference is a batch report)
 """
 
 from rxlens.config import Eligibility, ReportConfig, report_file_name, report_period  # noqa: F401

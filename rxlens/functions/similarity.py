@@ -43,12 +43,14 @@ WINKLER_MAX_PREFIX = 4
 # and the SQL oracle side, so the last floating-point bit never decides.
 SCORE_DIGITS = 9
 
-_CHUNK = 4096
+# Cells (pairs x longest name x longest name) compared at once: bounds the
+# memory of a chunk whatever the lengths of its names.
+_CHUNK_CELLS = 8_000_000
 
 # Scores already computed for this task's batches.  The score is a pure
 # function of the two names, so the memo is exact; it is cleared when it
 # reaches the cap, bounding memory.
-_MEMO: dict[str, float] = {}
+_MEMO: dict[tuple[str, str], float] = {}
 _MEMO_CAP = 500_000
 
 
@@ -137,6 +139,26 @@ def _jw_chunk(a_list: list[str], b_list: list[str]) -> np.ndarray:
     return np.where(sim > WINKLER_THRESHOLD, boosted, sim)
 
 
+def _score_distinct(a: list[str], b: list[str]) -> np.ndarray:
+    """Scores of distinct pairs, in chunks of pairs of like length."""
+    size = np.fromiter((max(len(x), len(y), 1) for x, y in zip(a, b)), dtype=np.int64, count=len(a))
+    order = np.argsort(size, kind="stable")
+    out = np.empty(len(a))
+    start = 0
+    while start < len(order):
+        # the widest pair of a chunk is its last: grow it while the cells fit
+        width = size[order[start:]]
+        fits = np.arange(1, len(width) + 1) * width * width <= _CHUNK_CELLS
+        count = max(1, len(fits) if fits.all() else int(fits.argmin()))
+        rows = order[start:start + count]
+        if count == 1 and size[rows[0]] ** 2 > _CHUNK_CELLS:
+            out[rows] = jaro_winkler_scalar(a[rows[0]], b[rows[0]])
+        else:
+            out[rows] = _jw_chunk([a[r] for r in rows], [b[r] for r in rows])
+        start += count
+    return out
+
+
 def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     """Vectorised score of aligned string Series; null in, null out.
 
@@ -151,20 +173,19 @@ def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(out, index=a.index)
     av = a.to_numpy(dtype=object)[idx]
     bv = b.to_numpy(dtype=object)[idx]
-    codes, keys = pd.factorize(pd.Series(av).str.cat(pd.Series(bv), sep="\x1f"))
-    _, first = np.unique(codes, return_index=True)
+    code_a, names_a = pd.factorize(av)
+    code_b, names_b = pd.factorize(bv)
+    _, first, codes = np.unique(code_a * len(names_b) + code_b, return_index=True, return_inverse=True)
+    keys = list(zip(av[first], bv[first]))
     scores = np.fromiter((_MEMO.get(k, np.nan) for k in keys), dtype=float, count=len(keys))
     todo = np.flatnonzero(np.isnan(scores))
     if len(todo):
         ua, ub = av[first[todo]], bv[first[todo]]
-        fresh = np.empty(len(todo))
-        for start in range(0, len(todo), _CHUNK):
-            end = start + _CHUNK
-            fresh[start:end] = _jw_chunk([str(x) for x in ua[start:end]], [str(x) for x in ub[start:end]])
+        fresh = _score_distinct([str(x) for x in ua], [str(x) for x in ub])
         scores[todo] = fresh
         if len(_MEMO) + len(todo) > _MEMO_CAP:
             _MEMO.clear()
-        _MEMO.update(zip(keys[todo], fresh))
+        _MEMO.update((keys[t], f) for t, f in zip(todo, fresh))
     out[idx] = scores[codes]
     return pd.Series(out, index=a.index)
 

@@ -13,12 +13,13 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Fixed value: the whitespace characters stripped from identifiers.
-WHITESPACE = " \t\n\r\f\u000b"
+# Fixed value: the white space (Unicode) stripped from identifiers.
+WHITESPACE = (" \t\n\r\f\u000b\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Strip leading/trailing whitespace (space, tab, newline, CR, FF, VT).
+    """Strip leading/trailing white space, Unicode spaces included.
 
     Spark's one-argument ``trim`` removes only spaces; ``btrim`` with an
     explicit set stays a codegen'd string kernel (no regex).

@@ -145,14 +145,14 @@ d0 AS (
          upper(prescriber_first_name || ' ' || prescriber_last_name) AS prescriber_name
   FROM disp_extract
 ),
-disp AS (
+disp AS MATERIALIZED (
   SELECT d0.prescriber_dea, d0.rx_number, d0.ahfs, d0.written_date, d0.filled_date, d0.disp_created_date,
          d0.disp_dob, d0.days_supply, d0.mme, d0.patient_name, d0.prescriber_name, ue.true_id,
          d0.written_date - {cfg.days_before} AS start_date, d0.written_date + 1 AS end_date
   FROM d0 LEFT JOIN ue ON d0.prescriber_dea = ue.dea_number
   WHERE regexp_full_match(d0.prescriber_dea, {DEA_RE}) AND d0.{human}
 ),
-srch AS (
+srch AS MATERIALIZED (
   SELECT true_id, created_date, search_dob, upper(first_name || ' ' || last_name) AS full_name,
          (partial_first OR partial_last) AS partial,
          CASE WHEN (partial_first OR partial_last) THEN CAST({cfg.partial_ratio} AS DOUBLE)
@@ -181,7 +181,7 @@ ranked AS (
              end_date NULLS LAST) AS rn
   FROM disp
 ),
-final AS (
+final AS MATERIALIZED (
   SELECT r.prescriber_dea, r.rx_number, r.ahfs, r.written_date, r.filled_date, r.disp_created_date,
          r.disp_dob, r.days_supply, r.mme, r.patient_name, r.prescriber_name, r.true_id,
          r.start_date, r.end_date, coalesce(m.search, false) AS search,
@@ -220,26 +220,36 @@ rates AS (
   LEFT JOIN uu u ON TRY_CAST(c.final_id AS BIGINT) = u.true_id
   LEFT JOIN names n ON (CASE WHEN regexp_full_match(c.final_id, {DEA_RE}) THEN c.final_id END) = n.n_dea
 ),
-act AS (
+act AS MATERIALIZED (
   SELECT a.dea, a.ahfs, a.dob, a.create_date, a.written_date, a.filled_date, a.rx_end,
          coalesce(CAST(ue.true_id AS VARCHAR), a.dea) AS final_id,
          upper(a.patient_first_name || ' ' || a.patient_last_name) AS patient_name
   FROM active_extract a LEFT JOIN ue ON a.dea = ue.dea_number
   WHERE a.{human}
 ),
-benzo AS (SELECT * FROM act WHERE contains(ahfs, '{cfg.benzo_pattern}')),
-opi AS (SELECT * FROM act WHERE contains(ahfs, '{cfg.opioid_pattern}')),
-pair_cols AS (
+benzo AS MATERIALIZED (SELECT * FROM act WHERE contains(ahfs, '{cfg.benzo_pattern}')),
+opi AS MATERIALIZED (SELECT * FROM act WHERE contains(ahfs, '{cfg.opioid_pattern}')),
+pair_dates AS MATERIALIZED (
   SELECT b.final_id, b.dea, b.ahfs, b.dob, b.patient_name, b.written_date, b.filled_date, b.create_date, b.rx_end,
          o.final_id AS final_id_opi, o.dea AS dea_opi, o.ahfs AS ahfs_opi, o.patient_name AS patient_name_opi,
          o.written_date AS written_date_opi, o.filled_date AS filled_date_opi,
          o.create_date AS create_date_opi, o.rx_end AS rx_end_opi,
-         jaro_winkler_similarity(o.patient_name, b.patient_name) AS ratio,
          (o.written_date BETWEEN b.filled_date AND b.rx_end)
            OR (b.written_date BETWEEN o.filled_date AND o.rx_end) AS is_part,
          (o.written_date BETWEEN b.create_date + {lag} AND b.rx_end)
            OR (b.written_date BETWEEN o.create_date + {lag} AND o.rx_end) AS is_last
   FROM benzo b JOIN opi o ON b.dob = o.dob
+   AND ((o.written_date BETWEEN least(b.filled_date, b.create_date + {lag}) AND b.rx_end)
+        OR (b.written_date BETWEEN least(o.filled_date, o.create_date + {lag}) AND o.rx_end))
+),
+name_scores AS MATERIALIZED (
+  SELECT patient_name_opi AS name_opi, patient_name AS name_benzo,
+         jaro_winkler_similarity(patient_name_opi, patient_name) AS ratio
+  FROM (SELECT DISTINCT patient_name_opi, patient_name FROM pair_dates)
+),
+pair_cols AS (
+  SELECT p.*, n.ratio FROM pair_dates p
+  JOIN name_scores n ON p.patient_name_opi = n.name_opi AND p.patient_name = n.name_benzo
 ),
 pairs_part AS (
   SELECT * FROM pair_cols WHERE is_part AND round(ratio, 9) >= {cfg.overlap_ratio}

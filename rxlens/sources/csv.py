@@ -3,11 +3,12 @@
 Columns are located by header name (the exports' column order is not
 relied on), read as text, renamed to clean names and typed in one
 projection.  Empty text is null; dates are parsed with the extract formats.
+A missing header, or a number or flag that cannot be read, is an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlens.functions.dates import (format_long_date, format_short_date, parse_long_date,
@@ -15,11 +16,22 @@ from rxlens.functions.dates import (format_long_date, format_short_date, parse_l
 from rxlens.sources import schemas as S
 
 
+def _strict(name: str, kind: str) -> Column:
+    """The column as ``kind``; a value that does not read as one fails the job."""
+    text = F.col(f"`{name}`")
+    typed = text.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"column {name}: not a {kind}: "), text))
+    return F.when(text.isNotNull() & typed.isNull(), bad.cast(kind)).otherwise(typed)
+
+
 def _read(spark: SparkSession, path: str, rename: dict[str, str], types: dict[str, str],
           long_dates=(), short_dates=()) -> DataFrame:
-    raw = (spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .csv(path))
+    missing = [k for k, v in rename.items() if k not in raw.columns and v not in S.UNUSED]
+    if missing:
+        raise ValueError(f"{path}: missing header(s) {missing}")
     df = raw.withColumnsRenamed({k: v for k, v in rename.items() if k in raw.columns})
     exprs = {}
     for c in df.columns:
@@ -28,7 +40,7 @@ def _read(spark: SparkSession, path: str, rename: dict[str, str], types: dict[st
         elif c in short_dates:
             exprs[c] = parse_short_date(c)
         elif c in types:
-            exprs[c] = F.col(f"`{c}`").try_cast(types[c])
+            exprs[c] = _strict(c, types[c])
     return df.withColumns(exprs) if exprs else df
 
 

@@ -73,6 +73,8 @@ NAIVE_RX_RENAME = {
 }
 
 # Clean column types; dates are listed with the text format they arrive in.
+# Clean names that no operator reads: their headers may be missing.
+UNUSED = frozenset(["generic_name"])
 DISPENSATIONS_TYPES = {"days_supply": "int", "mme": "double"}
 DISPENSATIONS_LONG_DATES = ("disp_dob", "written_date", "filled_date", "disp_created_date")
 SEARCHES_TYPES = {"true_id": "bigint", "partial_first": "boolean", "partial_last": "boolean"}

@@ -83,3 +83,29 @@ def test_signature_bound_is_lossless_in_spark(spark):
             if s >= t:
                 assert r[f"t{i}"], (r["a"], r["b"], t, s)
     assert pruned > 0
+
+
+def test_separator_characters_do_not_mix_up_pairs():
+    import pandas as pd
+
+    from rxlens.functions.similarity import jaro_winkler_batch, jaro_winkler_scalar
+    a, b = ["AB\x1fAB", "AB"], ["AB\x1fQQ", "AB\x1fAB\x1fQQ"]
+    got = jaro_winkler_batch(pd.Series(a), pd.Series(b))
+    assert [round(x, 9) for x in got] == [round(jaro_winkler_scalar(x, y), 9) for x, y in zip(a, b)]
+
+
+def test_one_long_name_does_not_widen_the_others():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from rxlens.functions.similarity import jaro_winkler_batch
+    rng = np.random.default_rng(0)
+    names = ["".join(rng.choice(list("ABCDEFGH"), 10)) for _ in range(4000)]
+    a, b = pd.Series(names + ["X" * 10_000]), pd.Series(names[::-1] + ["XY" * 20])
+    tracemalloc.start()
+    got = jaro_winkler_batch(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and got.notna().all()

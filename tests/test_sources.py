@@ -115,3 +115,17 @@ def test_cli_end_to_end(spark, sf_small):
     want = q_report_full(spark, sf_small)
     assert got.count() == want.count()
     assert sorted(r["final_id"] for r in got.collect()) == sorted(r["final_id"] for r in want.collect())
+
+
+def test_unreadable_numbers_and_missing_headers_are_errors(spark, tmp_path):
+    from rxlens.sources import csv
+    from rxlens.sources import schemas as S
+    heads = list(S.DISPENSATIONS_RENAME)
+    mme = next(k for k, v in S.DISPENSATIONS_RENAME.items() if v == "mme")
+    row = ['"1,200"' if h == mme else "" for h in heads]
+    (tmp_path / "bad.csv").write_text(",".join(f'"{h}"' for h in heads) + "\n" + ",".join(row) + "\n")
+    with pytest.raises(Exception, match="1,200"):
+        csv.read_dispensations(spark, str(tmp_path / "bad.csv")).collect()
+    (tmp_path / "short.csv").write_text(",".join(f'"{h}"' for h in heads[1:]) + "\n")
+    with pytest.raises(ValueError, match="missing header"):
+        csv.read_dispensations(spark, str(tmp_path / "short.csv"))
