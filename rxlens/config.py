@@ -35,8 +35,10 @@ class ReportConfig:
 
     Defaults are the reference program's defaults.  ``bucket_days`` and
     ``salt_buckets`` (split hot join groups) shape the interval joins (see
-    ``rxlens.operators.intervals``); ``max_broadcast_rows`` bounds the
-    size-checked broadcasts of the prescriber-identity table.
+    ``rxlens.operators.intervals``); ``name_block`` is the number of patients of
+    one birth date that share a name-matching key (``rxlens.operators.patients``);
+    ``max_broadcast_rows`` bounds the size-checked broadcasts of the
+    prescriber-identity table.
     """
 
     first_date: dt.date = dt.date(2024, 4, 1)
@@ -58,6 +60,7 @@ class ReportConfig:
     eligibility: Eligibility = field(default_factory=Eligibility)
     bucket_days: int = 30
     salt_buckets: int = 1
+    name_block: int = 4096
     max_broadcast_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
@@ -65,8 +68,8 @@ class ReportConfig:
             raise ValueError(f"overlap_type must be last, part or both, not {self.overlap_type!r}")
         if self.first_date > self.last_date:
             raise ValueError("first_date is after last_date")
-        if self.bucket_days < 1 or self.salt_buckets < 1:
-            raise ValueError("bucket_days and salt_buckets must be positive")
+        if self.bucket_days < 1 or self.salt_buckets < 1 or self.name_block < 1:
+            raise ValueError("bucket_days, salt_buckets and name_block must be positive")
 
     @property
     def search_from(self) -> dt.date:

@@ -68,4 +68,5 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
         exploded = exploded.withColumn(_IS, F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salt - 1).cast("long"))))
         cond = cond & (F.col(_PS) == F.col(_IS))
-    return pts.join(exploded, cond, "inner").drop(_PB, _IB, _PS, _IS, "_lo", "_hi")
+    # the size estimate of the exploded side does not know the explosion: never broadcast it on an estimate
+    return pts.join(exploded.hint("merge"), cond, "inner").drop(_PB, _IB, _PS, _IS, "_lo", "_hi")

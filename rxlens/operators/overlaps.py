@@ -7,9 +7,10 @@ uses ``[create + lag, rx_end]`` and credits only the later writer.
 
 The OR of two interval conditions is split into two disjoint point-in-interval
 joins (opioid written inside benzo interval; else benzo written inside opioid
-interval), each an equi-join on (dob, time bucket), never a nested loop.
-``both`` runs ONE candidate pass with the union interval and one scoring pass,
-then flags each pair for either rule.
+interval), each an equi-join on (dob, matched name, time bucket), never a
+nested loop.  Names are scored before, once per pair of patients
+(``rxlens.operators.patients``), so prescriptions meet only where they match.
+``both`` runs ONE pass with the union interval and flags each pair for either rule.
 """
 
 from __future__ import annotations
@@ -19,9 +20,8 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
-from rxlens.functions.similarity import name_signature
 from rxlens.operators.intervals import point_in_interval_join
-from rxlens.operators.match import score_candidates
+from rxlens.operators.patients import matched_names
 
 SIDE_COLUMNS = ("final_id", "dea", "ahfs", "dob", "patient_name", "written_date", "filled_date",
                 "create_date", "rx_end")
@@ -59,32 +59,38 @@ CREDIT_COLUMNS = ("final_id", "final_id_opi", "written_date", "written_date_opi"
 
 
 def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
     """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
     suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
-    ``keep`` limits the carried columns (the credit counts need four)."""
-    b = benzo.select(*SIDE_COLUMNS, name_signature(F.col("patient_name")).alias("_sig"))
-    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS],
-                      name_signature(F.col("patient_name")).alias("_sig_opi"))
+    ``keep`` limits the carried columns (the credit counts need four);
+    ``credited_only`` skips patients of whom neither side wrote in the period."""
+    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
+    live = None
+    if credited_only:
+        first, last = lit_date(cfg.first_date), lit_date(cfg.last_date)
+        live = (F.col("written_date_opi").between(first, last), F.col("written_date").between(first, last))
+    names = matched_names(o, benzo, ("dob_opi", "patient_name_opi"), ("dob", "patient_name"), cfg.overlap_ratio,
+                          cfg.name_block, live)
+    b = (benzo.select(*SIDE_COLUMNS)
+         .join(names, (F.col("dob") == F.col("_dob")) & (F.col("patient_name") == F.col("_right_name")))
+         .drop("_dob", "_right_name"))
     common = dict(bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
     # branch 1: opioid written inside the benzo interval
-    one = point_in_interval_join(o, b, on=[("dob_opi", "dob")], point="written_date_opi",
+    one = point_in_interval_join(o, b, on=[("dob_opi", "dob"), ("patient_name_opi", "_left_name")], point="written_date_opi",
                                  start=start_b, end=F.col("rx_end"), **common)
     # branch 2: benzo written inside the opioid interval, and not already branch 1
-    two = point_in_interval_join(b, o, on=[("dob", "dob_opi")], point="written_date",
+    two = point_in_interval_join(b, o, on=[("dob", "dob_opi"), ("_left_name", "patient_name_opi")], point="written_date",
                                  start=start_o, end=F.col("rx_end_opi"), **common)
     two = two.filter(~F.coalesce(_within("written_date_opi", start_b, "rx_end"), F.lit(False)))
-    cands = one.unionByName(two)
+    pairs = one.unionByName(two)
     if kind == "both":
-        cands = cands.withColumns({"is_part": F.coalesce(part_rule(), F.lit(False)),
+        pairs = pairs.withColumns({"is_part": F.coalesce(part_rule(), F.lit(False)),
                                    "is_last": F.coalesce(last_rule(cfg), F.lit(False))})
-    if keep is not None and kind == "both":
-        keep = list(keep) + ["is_part", "is_last"]
-    scored = score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)),
-                              keep=keep, sigs=("_sig_opi", "_sig"))
-    return scored.drop("dob_opi", "_sig", "_sig_opi")
+    if keep is not None:
+        return pairs.select(*keep, *(["is_part", "is_last"] if kind == "both" else []))
+    return pairs.drop("dob_opi", "_left_name")
 
 
 def _credits(pairs: DataFrame, cfg: ReportConfig, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -96,7 +102,11 @@ def _credits(pairs: DataFrame, cfg: ReportConfig, rules: dict[str, tuple[Column,
     any_credit = F.lit(False)
     for k in rules:
         any_credit = any_credit | F.coalesce(F.col(k), F.lit(False))
-    exploded = pairs.select(F.inline(sides)).filter(any_credit)
+    # stated over the pairs too, so that it reaches the joins
+    credited = F.lit(False)
+    for side_b, side_o in rules.values():
+        credited = credited | F.coalesce(side_b, F.lit(False)) | F.coalesce(side_o, F.lit(False))
+    exploded = pairs.filter(credited).select(F.inline(sides)).filter(any_credit)
     return exploded.groupBy(F.col("fid").alias("final_id")).agg(
         *[F.count_if(F.col(k)).alias(k) for k in rules])
 

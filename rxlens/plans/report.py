@@ -112,12 +112,12 @@ class ReportPlan:
                                            with_drugs=True, naive_matched=naive_matched)
         return metrics.describe_prescribers(counts, self.users, self.names)
 
-    def pairs(self, kind: str, keep: list[str] | None = None) -> DataFrame:
+    def pairs(self, kind: str, keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
         benzo, opi = prepare.split_classes(self.active, self.cfg)
-        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep)
+        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep, credited_only)
 
     def overlap_counts(self, kind: str) -> DataFrame:
-        pairs = self.pairs(kind, keep=list(overlaps.CREDIT_COLUMNS))
+        pairs = self.pairs(kind, keep=list(overlaps.CREDIT_COLUMNS), credited_only=True)
         return overlaps.overlap_counts(pairs, self.cfg, kind)
 
     def naive_matches(self, final: DataFrame | None = None) -> DataFrame:

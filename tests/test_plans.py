@@ -38,9 +38,26 @@ def test_search_join_keys(spark):
 def test_overlap_join_is_inner(spark):
     p = small_plan(spark)
     text = p.pairs("last")._jdf.queryExecution().sparkPlan().toString()
-    pair_joins = [ln for ln in text.splitlines() if "Join" in ln and "dob" in ln]
+    joins = [ln for ln in text.splitlines() if "Join" in ln and "dob" in ln]
+    assert all("Inner" in ln for ln in joins)
+    pair_joins = [ln for ln in joins if "_point_bucket" in ln]
     assert len(pair_joins) == 2, text          # the two disjoint branches
-    assert all("Inner" in ln for ln in pair_joins)
+    assert all("SortMergeJoin" in ln and "_left_name" in ln for ln in pair_joins)
+
+
+def test_overlap_names_scored_before_prescriptions_meet(spark):
+    """The scorer reads distinct patients: no prescription column lies below it."""
+    text = small_plan(spark).pairs("last")._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.splitlines()
+    at = next(i for i, ln in enumerate(lines) if "ArrowEvalPython" in ln)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-|"))
+    below = []
+    for ln in lines[at + 1:]:
+        if len(ln) - len(ln.lstrip(" :+-|")) <= depth:
+            break
+        below.append(ln)
+    assert any("Aggregate" in ln and "_name_a" in ln for ln in below), text
+    assert not any("_point_bucket" in ln for ln in below), text
 
 
 def test_parquet_pushdown(spark, sf_small):
