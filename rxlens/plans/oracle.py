@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from rxlens.config import BENZO_CLASSES, OPIOID_CLASSES, ReportConfig
-from rxlens.sources.fixtures import whole_range_config
+from rxlens.sources.fixtures import MONTH, MONTH_KEYS, whole_range_config
 
 WS = r"'^\s+|\s+$'"
 DEA_RE = "'[A-Za-z]{2}[0-9]{7}'"
@@ -29,8 +29,23 @@ def _pad(expr: str) -> str:
     return f"lpad(CAST({expr} AS VARCHAR), 7, '0')"
 
 
-def ctes(cfg: ReportConfig, with_nulls: bool = False) -> str:
-    """The shared WITH-list: fixture derivation, then each report stage."""
+AZ = ("NOT coalesce(refill, false) AND state IN ('AZ') "
+      "AND (treatment_type IS NULL OR treatment_type NOT IN ('Hospice', 'Palliative', 'Cancer_Associated')) "
+      "AND drug_schedule IN (2, 3, 4)")
+
+
+def ctes(cfg: ReportConfig, with_nulls: bool = False, from_tables: bool = False) -> str:
+    """The shared WITH-list: fixture derivation, then each report stage.
+
+    ``from_tables``: the report inputs are the period's extracts (active accounts,
+    attributed searches in the window, eligible dispensations of the period).
+    """
+    disp_rows, search_id, search_rows, account_rows = "", "true_id", "", ""
+    if from_tables:
+        disp_rows = f"WHERE written_date BETWEEN {_d(cfg.first_date)} AND {_d(cfg.last_date)} AND {AZ}"
+        search_id = "coalesce(delegator_id, requestor_id) AS true_id"
+        search_rows = f"WHERE created_date BETWEEN {_d(cfg.search_from)} AND {_d(cfg.search_to)}"
+        account_rows = "WHERE active = 'Y'"
     first, last = _d(cfg.first_date), _d(cfg.last_date)
     s_from, s_to = _d(cfg.search_from), _d(cfg.search_to)
     sk, pk = "l_suppkey", "l_partkey"
@@ -81,7 +96,7 @@ disp_extract AS (
   SELECT animal_name, prescriber_dea, rx_number, ahfs, patient_first_name, patient_last_name,
          prescriber_first_name, prescriber_last_name, written_date, filled_date, disp_created_date,
          disp_dob, days_supply, mme
-  FROM rx
+  FROM rx {disp_rows}
 ),
 slog AS (
   SELECT l_suppkey AS true_id,
@@ -98,7 +113,8 @@ slog AS (
   FROM rx WHERE (l_orderkey + l_linenumber) % 3 = 0
 ),
 search_extract AS (
-  SELECT true_id, created_date, search_dob, first_name, last_name, partial_first, partial_last FROM slog
+  SELECT {search_id}, created_date, search_dob, first_name, last_name, partial_first, partial_last
+  FROM slog {search_rows}
 ),
 accounts AS (
   SELECT s_suppkey AS true_id, s_name AS user_full_name,
@@ -114,7 +130,7 @@ accounts AS (
 ),
 users AS (
   SELECT true_id, user_full_name, "dea_number(s)", license_number, specialty_1, specialty_2, specialty_3
-  FROM accounts
+  FROM accounts {account_rows}
 ),
 active_extract AS (
   SELECT animal_name, active_dea AS dea, ahfs, disp_dob AS dob, patient_first_name, patient_last_name,
@@ -306,15 +322,29 @@ PAIR_SELECT = ("final_id, dea, ahfs, dob, patient_name, written_date, filled_dat
                "create_date_opi, rx_end_opi, round(ratio, 6) AS ratio")
 
 
-def statements(cfg: ReportConfig | None = None, with_nulls: bool = False) -> dict[str, str]:
+def statements() -> dict[str, str]:
+    """One statement per registered key."""
+    out = period_statements()
+    month = whole_range_config(**MONTH)
+    monthly = period_statements(month)
+    out |= {f"{k}_month": monthly[k] for k in MONTH_KEYS}
+    out["report_full_both_nulls"] = period_statements(with_nulls=True)["report_full_both"]
+    out["report_from_tables"] = period_statements(month, from_tables=True)["report_full_both"]
+    return out
+
+
+def period_statements(cfg: ReportConfig | None = None, with_nulls: bool = False,
+                      from_tables: bool = False) -> dict[str, str]:
     cfg = cfg or whole_range_config()
     first, last = _d(cfg.first_date), _d(cfg.last_date)
     s_from, s_to = _d(cfg.search_from), _d(cfg.search_to)
-    az = ("NOT coalesce(refill, false) AND state IN ('AZ') "
-          "AND (treatment_type IS NULL OR treatment_type NOT IN ('Hospice', 'Palliative', 'Cancer_Associated')) "
-          "AND drug_schedule IN (2, 3, 4)")
     bodies = {
         "users": "SELECT * FROM users",
+        "csv_users": "SELECT * FROM users",
+        "csv_dispensations": "SELECT * REPLACE (CAST(rx_number AS VARCHAR) AS rx_number) FROM disp_extract",
+        "csv_searches": "SELECT * FROM search_extract",
+        "csv_active_rx": "SELECT * FROM active_extract",
+        "csv_naive_rx": "SELECT * FROM naive_extract",
         "users_explode": "SELECT true_id, dea_number FROM ue",
         "dispensations": "SELECT * FROM disp",
         "searches": "SELECT * FROM srch",
@@ -325,7 +355,7 @@ def statements(cfg: ReportConfig | None = None, with_nulls: bool = False) -> dic
         "extract_dispensations": (
             "SELECT animal_name, prescriber_dea, rx_number, ahfs, patient_first_name, patient_last_name, "
             "prescriber_first_name, prescriber_last_name, written_date, filled_date, disp_created_date, "
-            f"disp_dob, days_supply, mme FROM rx WHERE written_date BETWEEN {first} AND {last} AND {az}"),
+            f"disp_dob, days_supply, mme FROM rx WHERE written_date BETWEEN {first} AND {last} AND {AZ}"),
         "extract_searches": (
             "SELECT coalesce(delegator_id, requestor_id) AS true_id, created_date, search_dob, first_name, "
             f"last_name, partial_first, partial_last FROM slog WHERE created_date BETWEEN {s_from} AND {s_to}"),
@@ -393,5 +423,5 @@ def statements(cfg: ReportConfig | None = None, with_nulls: bool = False) -> dic
             "|| '_mandatory_use_full.csv' AS file_name "
             "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"),
     }
-    head = "WITH " + ctes(cfg, with_nulls).strip() + "\n"
+    head = "WITH " + ctes(cfg, with_nulls, from_tables).strip() + "\n"
     return {k: head + v for k, v in bodies.items()}

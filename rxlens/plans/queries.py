@@ -1,12 +1,18 @@
 """Registered queries: one per operator key of the coverage checklist.
 
-Every query reads the driver tables (through the fixture derivation) over
-the whole data range and returns a lazy DataFrame; nothing is collected.
+Every query reads the driver tables through the fixture derivation; nothing is
+collected.  Keys that end in ``_month`` report one calendar month (``MONTH``),
+the others the whole data range.  Queries over a single extract are lazy; those
+with several readers of an extract land the extracts they use on first use
+(``fixtures.LandedInputs``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +22,11 @@ from rxlens.functions import dates as D
 from rxlens.functions.similarity import SCORE_DIGITS, jaro_winkler
 from rxlens.functions.strings import normalize_dea, valid_dea
 from rxlens.operators import match, metrics, prepare
-from rxlens.plans.report import ReportPlan
-from rxlens.sources import extracts, fixtures
+from rxlens.plans.report import ReportPlan, land_extracts
+from rxlens.session import ensure_checkpoint_dir
+from rxlens.sources import csv, extracts, fixtures
+from rxlens.sources import schemas as S
+from rxlens.sources.fixtures import MONTH, MONTH_KEYS
 
 # The state rule set used by the extract query (fixed example values).
 AZ_RULES = Eligibility(include_refills=False, states=("AZ",),
@@ -35,9 +44,9 @@ def config(**changes):
     return fixtures.whole_range_config(**changes)
 
 
-def plan(spark: SparkSession, sf_dir: str, with_nulls: bool = False, **changes) -> ReportPlan:
+def plan(spark: SparkSession, sf_dir: str, with_nulls: bool = False, land: bool = True, **changes) -> ReportPlan:
     cfg = config(**changes)
-    return ReportPlan(fixtures.report_inputs(spark, sf_dir, cfg, with_nulls), cfg)
+    return ReportPlan(fixtures.report_inputs(spark, sf_dir, cfg, with_nulls, land), cfg)
 
 
 def q_users(spark, sf_dir):
@@ -49,40 +58,40 @@ def q_users_explode(spark, sf_dir):
 
 
 def q_dispensations(spark, sf_dir):
-    return plan(spark, sf_dir).dispensations
+    return plan(spark, sf_dir, land=False).dispensations
 
 
-def q_searches(spark, sf_dir):
-    return plan(spark, sf_dir).searches
+def q_searches(spark, sf_dir, **period):
+    return plan(spark, sf_dir, **period).searches
 
 
 def q_active_rx(spark, sf_dir):
-    return plan(spark, sf_dir).active
+    return plan(spark, sf_dir, land=False).active
 
 
 def q_naive_rx(spark, sf_dir):
-    return plan(spark, sf_dir).naive_rx
+    return plan(spark, sf_dir, land=False).naive_rx
 
 
 def q_extract_users(spark, sf_dir):
     return extracts.extract_users(fixtures.accounts(spark, sf_dir))
 
 
-def q_extract_dispensations(spark, sf_dir):
+def q_extract_dispensations(spark, sf_dir, **period):
     return extracts.extract_dispensations(fixtures.base_prescriptions(spark, sf_dir),
-                                          config(eligibility=AZ_RULES))
+                                          config(eligibility=AZ_RULES, **period))
 
 
-def q_extract_searches(spark, sf_dir):
-    return extracts.extract_searches(fixtures.search_log(spark, sf_dir), config())
+def q_extract_searches(spark, sf_dir, **period):
+    return extracts.extract_searches(fixtures.search_log(spark, sf_dir), config(**period))
 
 
-def q_extract_active_rx(spark, sf_dir):
-    return extracts.extract_active_rx(fixtures.base_prescriptions(spark, sf_dir), config())
+def q_extract_active_rx(spark, sf_dir, **period):
+    return extracts.extract_active_rx(fixtures.base_prescriptions(spark, sf_dir), config(**period))
 
 
-def q_extract_naive_rx(spark, sf_dir):
-    return extracts.extract_naive_rx(fixtures.base_prescriptions(spark, sf_dir), config())
+def q_extract_naive_rx(spark, sf_dir, **period):
+    return extracts.extract_naive_rx(fixtures.base_prescriptions(spark, sf_dir), config(**period))
 
 
 def q_filter_vets(spark, sf_dir):
@@ -145,12 +154,12 @@ def q_overlap_pairs_last(spark, sf_dir):
     return _pairs(spark, sf_dir, "last")
 
 
-def q_overlap_part(spark, sf_dir):
-    return plan(spark, sf_dir).overlap_counts("part")
+def q_overlap_part(spark, sf_dir, **period):
+    return plan(spark, sf_dir, **period).overlap_counts("part")
 
 
-def q_overlap_last(spark, sf_dir):
-    return plan(spark, sf_dir).overlap_counts("last")
+def q_overlap_last(spark, sf_dir, **period):
+    return plan(spark, sf_dir, **period).overlap_counts("last")
 
 
 def q_naive_match(spark, sf_dir):
@@ -165,8 +174,35 @@ def q_report_full(spark, sf_dir):
     return plan(spark, sf_dir).report(full=True, overlap_type="last")
 
 
-def q_report_full_both(spark, sf_dir):
-    return plan(spark, sf_dir).report(full=True, overlap_type="both")
+def q_report_full_both(spark, sf_dir, **options):
+    return plan(spark, sf_dir, **options).report(full=True, overlap_type="both")
+
+
+def q_report_from_tables(spark, sf_dir):
+    """S6 end to end: base tables -> the month's extracts (E1-E8) -> full report."""
+    cfg = config(eligibility=AZ_RULES, **MONTH)
+    inputs = land_extracts(fixtures.base_prescriptions(spark, sf_dir), fixtures.search_log(spark, sf_dir),
+                           fixtures.accounts(spark, sf_dir), cfg, active_dea_col="active_dea")
+    return ReportPlan(inputs, cfg).report(full=True, overlap_type="both")
+
+
+# extract -> (reader, raw headers, long dates, short dates)
+CSV_LAYOUTS = {
+    "users": (csv.read_users, S.USERS_RENAME, (), ()),
+    "dispensations": (csv.read_dispensations, S.DISPENSATIONS_RENAME, S.DISPENSATIONS_LONG_DATES, ()),
+    "searches": (csv.read_searches, S.SEARCHES_RENAME, S.SEARCHES_LONG_DATES, ()),
+    "active_rx": (csv.read_active_rx, S.ACTIVE_RX_RENAME, S.ACTIVE_RX_LONG_DATES, ()),
+    "naive_rx": (csv.read_naive_rx, S.NAIVE_RX_RENAME, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES),
+}
+
+
+def q_csv(spark, sf_dir, name):
+    """S1-S5 over K3: the extract written as CSV with its raw headers, and read back."""
+    reader, rename, long_dates, short_dates = CSV_LAYOUTS[name]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rxlens-csv/{uuid.uuid4().hex}/{name}"
+    extract = fixtures.report_inputs(spark, sf_dir, config(), land=False)[name]
+    csv.write_extract_csv(extract, path, rename, long_dates, short_dates)
+    return reader(spark, path)
 
 
 def q_grand_totals(spark, sf_dir):
@@ -248,3 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_dates": q_parse_dates,
     "previous_month": q_previous_month,
 }
+QUERIES |= {f"{k}_month": partial(QUERIES[k], **MONTH) for k in MONTH_KEYS}
+QUERIES |= {f"csv_{k}": partial(q_csv, name=k) for k in CSV_LAYOUTS}
+QUERIES |= {"report_full_both_nulls": partial(q_report_full_both, with_nulls=True),
+            "report_from_tables": q_report_from_tables}

@@ -18,9 +18,18 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig, report_file_name
 from rxlens.operators import match, metrics, naive, overlaps, prepare
+from rxlens.plans.strategy import fits, small_side
+from rxlens.session import land
+from rxlens.sources import extracts
 
 OVERLAP_COLUMNS = {"part": ("overlapping_rx_part",), "last": ("overlapping_rx_last",),
                    "both": ("overlapping_rx_part", "overlapping_rx_last")}
+INPUTS = ("dispensations", "searches", "users", "active_rx", "naive_rx")
+
+
+def sort_report(report: DataFrame) -> DataFrame:
+    """O1: fewest searches first, then most dispensations."""
+    return report.orderBy(F.asc("searches"), F.desc("dispensations"), F.asc("final_id"))
 
 
 @dataclass
@@ -44,13 +53,11 @@ class ReportPlan:
     def owners_fit(self) -> bool:
         """Size check, once per plan, of the (user, DEA) table: it bounds every
         owner-side broadcast (the owner joins and the distinct-owner semi-join)."""
-        from rxlens.plans.strategy import fits
         return fits(self.users_explode, self.cfg.max_broadcast_rows)
 
     def _landed(self, df: DataFrame, name: str) -> DataFrame:
         if not self.land_stages:
             return df
-        from rxlens.session import land
         return land(df, name)
 
     @cached_property
@@ -89,11 +96,18 @@ class ReportPlan:
     @cached_property
     def final_shared(self) -> DataFrame:
         """``final_core`` landed once for plans with several consumers of it."""
+        if self.final_override is not None:
+            return self.final_override
         return self._landed(self.final_core, "final")
 
     @cached_property
     def names(self) -> DataFrame:
-        return metrics.dea_names(prepare.prescriber_names(self.inputs["dispensations"], self.cfg))
+        """Names are read only for DEAs without a registered owner, so the
+        others leave before the aggregation."""
+        owned = (self.users_explode.filter(F.col("true_id").isNotNull() & F.col("dea_number").isNotNull())
+                 .select(F.col("dea_number").alias("prescriber_dea")))
+        rows = prepare.prescriber_names(self.inputs["dispensations"], self.cfg)
+        return metrics.dea_names(rows.join(small_side(owned, self.owners_fit), "prescriber_dea", "left_anti"))
 
     @cached_property
     def active(self) -> DataFrame:
@@ -144,31 +158,43 @@ class ReportPlan:
             out = self.base()
         cols = list(metrics.RATE_COLUMNS + metrics.COUNT_COLUMNS) + extra
         out = out.select(*[F.col(f"`{c}`") for c in cols])
-        if sort:
-            out = out.orderBy(F.asc("searches"), F.desc("dispensations"), F.asc("final_id"))
-        return out
+        return sort_report(out) if sort else out
 
     def totals(self, report: DataFrame | None = None) -> DataFrame:
         return metrics.grand_totals(report if report is not None else self.report(full=False, sort=False))
 
 
+def land_extracts(prescriptions: DataFrame, search_log: DataFrame, accounts: DataFrame, cfg: ReportConfig,
+                  active_dea_col: str = "prescriber_dea") -> dict[str, DataFrame]:
+    """The five inputs of the period, from the base tables, landed for their several readers."""
+    built = extracts.build_extracts(prescriptions, search_log, accounts, cfg, active_dea_col)
+    return {k: land(v, f"extract-{k}") for k, v in built.items()}
+
+
 def run_report(inputs: dict[str, DataFrame], cfg: ReportConfig, out_dir: str,
-               testing: bool = False) -> DataFrame:
+               testing: bool = False, land_inputs: bool = True) -> DataFrame:
     """The batch job: write ``<out_dir>/<month...>_mandatory_use_<kind>.csv``
-    (a directory with one CSV part) and return the 1-row grand totals."""
-    plan = ReportPlan(inputs, cfg)
-    report = plan.report()
+    (a directory with one CSV part) and return the 1-row grand totals.
+
+    The inputs are landed first, so that CSV text is parsed once (set
+    ``land_inputs`` to False for tables that are Parquet already); the report
+    is computed once, and the detail dumps (``testing``) reuse landed stages.
+    """
+    plan = ReportPlan({k: land(inputs[k], f"input-{k}") for k in INPUTS} if land_inputs else inputs, cfg)
     name = report_file_name(cfg.first_date, cfg.last_date, cfg.supplement)
     base_dir = out_dir.rstrip("/")
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base_dir}/{name}")
     if testing:
-        if cfg.supplement:
-            kinds = ("part", "last") if cfg.overlap_type == "both" else (cfg.overlap_type,)
-            for k in kinds:
-                plan.pairs(k).write.mode("overwrite").parquet(f"{base_dir}/overlaps_{k}")
-        plan.report(sort=False).write.mode("overwrite").parquet(f"{base_dir}/search_results")
-        plan.final.write.mode("overwrite").parquet(f"{base_dir}/dispensations_results")
-    written = report.sparkSession.read.option("header", True).option("inferSchema", False) \
-        .csv(f"{base_dir}/{name}")
-    written = written.select(F.col("dispensations").cast("bigint"), F.col("searches").cast("bigint"))
-    return metrics.grand_totals(written)
+        plan.final_override = land(plan.final, "final")
+        plan.final_override.write.mode("overwrite").parquet(f"{base_dir}/dispensations_results")
+        if cfg.supplement and cfg.overlap_type == "both":
+            pairs = land(plan.pairs("both"), "overlaps")
+            for k in ("part", "last"):
+                (pairs.filter(f"is_{k}").drop("is_part", "is_last")
+                 .write.mode("overwrite").parquet(f"{base_dir}/overlaps_{k}"))
+        elif cfg.supplement:
+            plan.pairs(cfg.overlap_type).write.mode("overwrite").parquet(f"{base_dir}/overlaps_{cfg.overlap_type}")
+    report = land(plan.report(sort=False), "report")
+    sort_report(report).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base_dir}/{name}")
+    if testing:
+        report.write.mode("overwrite").parquet(f"{base_dir}/search_results")
+    return metrics.grand_totals(report)

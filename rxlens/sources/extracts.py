@@ -2,9 +2,10 @@
 
 These are the filters the upstream reporting views apply before the report
 runs: a Spark user pointing the engine at raw prescription, search and
-account tables builds the five report inputs with these functions.  Every
-filter is a plain predicate, so it reaches the parquet scan as a pushed
-filter (partition pruning too when the base tables are partitioned by month).
+account tables builds the five report inputs with these functions
+(``build_extracts`` builds all five).  Filters on stored columns reach the
+parquet scan as pushed filters; those on computed ends (``rx_end``,
+``naive_end``) run after it.
 """
 
 from __future__ import annotations
@@ -99,3 +100,15 @@ def extract_naive_rx(base: DataFrame, cfg: ReportConfig,
             .groupBy("animal_name", F.col("disp_dob").alias("dob"), "patient_first_name",
                      "patient_last_name", F.col("filled_date").alias("naive_filled_date"))
             .agg(F.max("naive_end").alias("naive_end")))
+
+
+def build_extracts(prescriptions: DataFrame, search_log: DataFrame, accounts: DataFrame, cfg: ReportConfig,
+                   active_dea_col: str = "prescriber_dea") -> dict[str, DataFrame]:
+    """The five report inputs of ``cfg``'s period from the base tables."""
+    return {
+        "dispensations": extract_dispensations(prescriptions, cfg),
+        "searches": extract_searches(search_log, cfg),
+        "users": extract_users(accounts),
+        "active_rx": extract_active_rx(prescriptions, cfg, active_dea_col),
+        "naive_rx": extract_naive_rx(prescriptions, cfg),
+    }

@@ -8,6 +8,7 @@ recipe's constants below are fixed values shared with the SQL oracle.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import MutableMapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ OTHER_TEXT = "AMPHETAMINES"
 DOB_ORIGIN = dt.date(1950, 1, 1)
 WHOLE_RANGE = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
+# The report month of the ``_month`` keys (rows before and after it exist), and those keys.
+MONTH = {"first_date": dt.date(1998, 4, 1), "last_date": dt.date(1998, 4, 30)}
+MONTH_KEYS = ("extract_dispensations", "extract_searches", "extract_active_rx", "extract_naive_rx", "searches",
+              "overlap_part", "overlap_last", "report_full_both")
+
 
 def whole_range_config(**changes) -> ReportConfig:
     """Report parameters covering every row of the driver tables."""
@@ -47,23 +53,14 @@ def pad(c: Column) -> Column:
     return F.lpad(c.cast("string"), 7, "0")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A large input already arrives in many splits and is left alone; a small
-    file stored as a single row group would otherwise keep every narrow step
-    after the scan on one thread.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"))
+    """``lineitem`` and ``orders`` both grow with the data, so their join is a
+    shuffle join at every size; it also spreads small single-file inputs."""
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return (li.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("p_partkey") == F.col("o_custkey")))
 
 
@@ -191,47 +188,73 @@ def naive_rx(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bo
     return extracts.extract_naive_rx(base_prescriptions(spark, sf_dir, with_nulls), cfg)
 
 
-_LANDED: dict[tuple, dict[str, DataFrame]] = {}
+# (application, data folder, variant, name, period) -> landed frame
+_LANDED: dict[tuple, DataFrame] = {}
 
 
-def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool = False,
-                  land: bool = True) -> dict:
-    """The five extracts the report consumes.
-
-    Like the upstream extract pull, the derivation is landed once per
-    application as parquet under the shared checkpoint folder (keyed by data
-    folder, variant and period) and the report reads the landed files: every
-    later query gets column pruning and pushed filters on them, and a lost
-    executor re-reads files instead of re-running the derivation joins.  The
-    three-table base join is itself landed first, so it runs once.
+class LandedInputs(MutableMapping):
+    """The five extracts by name, each landed when it is first asked for.
+
+    Like the upstream extract pull, an extract is written once per application
+    as parquet under the shared checkpoint folder and every later query reads
+    the files, with column pruning and pushed filters; a lost executor re-reads
+    them instead of running the derivation joins again.  The three-table base
+    join is shared by all periods and lands before the first extract cut from
+    it.  ``users`` is a projection of one table and is not landed.
     """
-    if not land:
-        return _extracts_from(spark, derive_prescriptions(spark, sf_dir, with_nulls), sf_dir, cfg, with_nulls)
-    from rxlens.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), with_nulls, cfg.first_date,
-           cfg.last_date, cfg.naive_days)
-    frames = _LANDED.get(key)
-    if frames is None:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        tag = "-".join(str(x).replace("/", "_") for x in key[1:]).replace(" ", "")
-        folder = f"{root}/rxlens-extracts/{key[0]}/{tag}"
-        derive_prescriptions(spark, sf_dir, with_nulls).write.mode("overwrite").parquet(f"{folder}/base")
-        base = spark.read.parquet(f"{folder}/base")
-        frames = {}
-        for name, df in _extracts_from(spark, base, sf_dir, cfg, with_nulls).items():
-            df.write.mode("overwrite").parquet(f"{folder}/{name}")
-            frames[name] = spark.read.parquet(f"{folder}/{name}")   # listing and schema resolved once
-        _LANDED[key] = frames
-    return dict(frames)
-
-
-def _extracts_from(spark: SparkSession, base: DataFrame, sf_dir: str, cfg: ReportConfig,
-                   with_nulls: bool) -> dict:
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool):
+        self._frames = {"users": users(spark, sf_dir)}
+        self._spark, self._sf_dir, self._cfg, self._nulls = spark, sf_dir, cfg, with_nulls
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            if name not in EXTRACTS:
+                raise KeyError(name)
+            cfg = self._cfg
+            base = self._land("base", (), lambda: derive_prescriptions(self._spark, self._sf_dir, self._nulls))
+            self._frames[name] = self._land(name, (cfg.first_date, cfg.last_date, cfg.naive_days),
+                                            lambda: _extract(name, base, cfg, self._nulls))
+        return self._frames[name]
+
+    def __setitem__(self, name: str, df: DataFrame) -> None:
+        self._frames[name] = df
+
+    def __delitem__(self, name: str) -> None:
+        del self._frames[name]
+
+    def __iter__(self):
+        return iter(dict.fromkeys((*EXTRACTS, *self._frames)))
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+    def _land(self, name: str, period: tuple, build) -> DataFrame:
+        from rxlens.session import land
+        key = (self._spark.sparkContext.applicationId, self._sf_dir.rstrip("/"), self._nulls, name, *period)
+        if key not in _LANDED:
+            _LANDED[key] = land(build(), f"extract-{name}")
+        return _LANDED[key]
+
+
+def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool = False,
+                  land: bool = True) -> MutableMapping[str, DataFrame]:
+    """The five extracts the report consumes: landed on first use, or lazy frames (``land=False``)."""
+    if land:
+        return LandedInputs(spark, sf_dir, cfg, with_nulls)
+    base = derive_prescriptions(spark, sf_dir, with_nulls)
+    return {"users": users(spark, sf_dir), **{k: _extract(k, base, cfg, with_nulls) for k in EXTRACTS}}
+
+
+EXTRACTS = ("dispensations", "searches", "active_rx", "naive_rx")
+
+
+def _extract(name: str, base: DataFrame, cfg: ReportConfig, with_nulls: bool) -> DataFrame:
     from rxlens.sources.schemas import DISPENSATIONS_COLUMNS, SEARCHES_COLUMNS
-    return {
-        "dispensations": base.select(*DISPENSATIONS_COLUMNS),
-        "searches": _search_log_from(base, with_nulls).select(*SEARCHES_COLUMNS),
-        "users": users(spark, sf_dir),
-        "active_rx": extracts.extract_active_rx(base, cfg, dea_col="active_dea"),
-        "naive_rx": extracts.extract_naive_rx(base, cfg),
-    }
+    if name == "dispensations":
+        return base.select(*DISPENSATIONS_COLUMNS)
+    if name == "searches":
+        return _search_log_from(base, with_nulls).select(*SEARCHES_COLUMNS)
+    if name == "active_rx":
+        return extracts.extract_active_rx(base, cfg, dea_col="active_dea")
+    return extracts.extract_naive_rx(base, cfg)

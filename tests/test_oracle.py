@@ -7,6 +7,7 @@ import __spark_entry__ as E
 import oracle_check as O
 from rxlens.plans import oracle
 from rxlens.plans.queries import QUERIES, plan
+from rxlens.sources.fixtures import MONTH_KEYS
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,15 @@ def test_query_matches_oracle(spark, con, sf_small, key):
     assert r["ok"], r
 
 
+@pytest.mark.parametrize("key", MONTH_KEYS)
+def test_month_differs_from_whole_range(spark, sf_small, key):
+    """The period excludes rows: a report month is not the whole range, nor empty."""
+    month, whole = (sorted(map(tuple, QUERIES[k](spark, sf_small).collect()), key=repr)
+                    for k in (f"{key}_month", key))
+    assert month != whole
+    assert month
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
@@ -31,7 +41,7 @@ def test_every_query_has_an_oracle():
     ("report_full_both", lambda p: p.report(full=True, overlap_type="both")),
 ])
 def test_null_variant(spark, con, sf_small, key, build):
-    sql = oracle.statements(with_nulls=True)[key]
+    sql = oracle.period_statements(with_nulls=True)[key]
     r = O.compare(spark, con, key, lambda s, d: build(plan(s, d, with_nulls=True)), sql, sf_small)
     assert r["ok"], r
 

@@ -73,3 +73,26 @@ def test_dedupe_is_partial_aggregate_not_window(spark):
     text = plan_text(p.final_core)
     assert "partial_min" in text
     assert "Window" not in text
+
+
+def test_names_skip_owned_deas(spark):
+    """Only DEAs without a registered owner reach the name aggregation."""
+    p = small_plan(spark)
+    assert "LeftAnti" in plan_text(p.names)
+    assert p.names.count() == 0                   # the one DEA of the plan has an owner
+
+
+def test_base_join_shuffles_at_every_size(spark, sf_small):
+    from rxlens.sources.fixtures import base_rows
+    text = base_rows(spark, sf_small)._jdf.queryExecution().sparkPlan().toString()
+    assert any("SortMergeJoin" in ln and "l_orderkey" in ln for ln in text.splitlines()), text
+
+
+def test_single_extract_queries_start_no_job(spark, sf_small):
+    """Building these keys runs nothing but the size check of the owner table."""
+    from rxlens.plans import queries as Q
+    from rxlens.sources import fixtures
+    before = set(fixtures._LANDED)
+    for key in ("users", "users_explode", "dispensations", "active_rx", "naive_rx"):
+        Q.QUERIES[key](spark, sf_small)
+    assert set(fixtures._LANDED) == before
