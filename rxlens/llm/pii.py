@@ -5,16 +5,18 @@ code-point spans: ``regexp_extract_all`` gives the matches, ``split`` by the
 same expression the text between them, and their lengths the positions.
 
 Bootstrapping: identifier-like tokens (eight characters or more, four digits
-or more) are instances, the up to three chunks of text before them are lexical
-patterns.  Seed instances are those that overlap a base span, and long
-hexadecimal keys.  Over the graph of distinct (pattern, instance) pairs Spark
-scores in turns: a pattern by the mean score of its distinct instances (one
-pseudo-instance of score 0 added), an instance that is no seed by its best
-promoted pattern.  Each round promotes patterns with enough seeds and a score
-of ``MIN_SCORE`` or more, the ``MAX_PATTERNS`` strongest at most: by method a
-bounded lexicon, small enough to be a literal in the last pass.  Every token
-after a promoted pattern becomes a span of kind ``id``, as do the hexadecimal
-seeds.
+or more) are instances, the up to three chunks of text before them, and the
+shorter suffixes of these, are lexical patterns.  Seed instances are those that
+overlap a base span anywhere, and long hexadecimal keys.  Over the graph of
+distinct (pattern, instance) pairs Spark scores in turns: a pattern by the mean
+score of its distinct instances (one pseudo-instance of score 0 added), an
+instance that is no seed by its best promoted pattern.  Each round promotes
+patterns with a score of ``MIN_SCORE`` or more over at least ``MIN_SEEDS``
+instances that are seeds or were found by a promoted pattern, so what one
+pattern finds is evidence for the next; the ``MAX_PATTERNS`` strongest at
+most: by method a bounded lexicon, small enough to be a literal in the last
+pass.  Every token after a promoted pattern becomes a span of kind ``id``, as
+do the hexadecimal seeds.
 
 Defined results: a null or empty text has no spans; null ids are kept; spans
 of different kinds may overlap; a discovered token that overlaps a base span
@@ -160,35 +162,43 @@ def _typed(order: int):
     return lambda s: F.struct(F.lit(order).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
 
 
+def _suffixes(context: Column) -> Column:
+    """The context and its suffixes of fewer chunks, without blank ones."""
+    shorter = [F.regexp_replace(context, p, "") for p in (r"^\S+ ", r"^\S+ \S+ ")]
+    return F.array_distinct(F.filter(F.array(context, *shorter), lambda s: s.rlike(r"\S")))
+
+
 def learn(found: DataFrame, into: str = "pii", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
           min_score: float = MIN_SCORE, max_patterns: int = MAX_PATTERNS) -> list[str]:
     """The promoted lexical patterns, at most ``max_patterns``."""
     pairs = (found.select(F.explode(f"{into}.mentions").alias("m"))
-             .where("m.context rlike '\\\\S'")
-             .groupBy(F.col("m.context").alias("pattern"), F.xxhash64("m.value").alias("instance"))
-             .agg(F.max(F.col("m.seed").cast("int")).alias("seed")))
+             .select(F.explode(_suffixes(F.col("m.context"))).alias("pattern"),
+                     F.xxhash64("m.value").alias("instance"), F.col("m.seed").alias("seed"))
+             .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
     pairs = land(pairs, "pii-pairs")
-    # patterns that can never reach the threshold leave the graph first
-    able = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("seed").alias("seeds")).where(
-        (F.col("seeds") >= min_seeds) & (F.col("n") >= min_score / (1 - min_score)))
-    graph = land(pairs.join(able.select("pattern"), "pattern"), "pii-graph")
-    scored = graph.withColumn("score", F.col("seed").cast("double"))
+    # too few instances for the threshold even if every one scored 1: no round can change that
+    able = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(
+        (F.col("n") >= min_seeds) & (F.round(F.col("n") / (F.col("n") + 1), 9) >= min_score))
+    seeds = pairs.where("seed").select("instance").distinct().withColumn("any_seed", F.lit(True))
+    graph = land(pairs.select("pattern", "instance").join(able.select("pattern"), "pattern")
+                 .join(seeds, "instance", "left")
+                 .select("pattern", "instance", F.coalesce("any_seed", F.lit(False)).alias("seed")), "pii-graph")
+    scored = graph.withColumn("x", F.col("seed").cast("double"))
     promoted = []
     for _ in range(rounds):
-        rank = (scored.groupBy("pattern").agg(F.sum("score").alias("sum"), F.count(F.lit(1)).alias("n"))
-                .withColumn("score", F.col("sum") / (F.col("n") + 1)).where(F.col("score") >= min_score)
+        rank = (scored.groupBy("pattern").agg(F.sum("x").alias("sum"), F.count(F.lit(1)).alias("n"),
+                                              F.count_if(F.col("x") > 0).alias("evidence"))
+                .withColumn("score", F.round(F.col("sum") / (F.col("n") + 1), 9))
+                .where((F.col("evidence") >= min_seeds) & (F.col("score") >= min_score))
                 .orderBy(F.desc(F.col("score") * F.log2(F.col("n") + 1)), "pattern").limit(max_patterns))
         rows = rank.select("pattern", "score").collect()  # max_patterns rows at most
-        if [r["pattern"] for r in rows] == promoted or not rows:
-            promoted = [r["pattern"] for r in rows]
-            break
         promoted = [r["pattern"] for r in rows]
+        if not rows:
+            break
         known = F.create_map(*[x for r in rows for x in (F.lit(r["pattern"]), F.lit(r["score"]))])
-        best = graph.groupBy("instance").agg(F.max("seed").alias("any_seed"),
-                                             F.max(known[F.col("pattern")]).alias("best"))
-        scored = land(graph.join(best, "instance").select(
-            "pattern", "instance", "seed",
-            F.when(F.col("any_seed") == 1, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")), "pii-scored")
+        best = graph.where("NOT seed").groupBy("instance").agg(F.max(known[F.col("pattern")]).alias("best"))
+        scored = graph.join(best, "instance", "left").withColumn(
+            "x", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0))))
     return promoted
 
 
@@ -196,7 +206,7 @@ def all_spans(patterns: list[str], into: str = "pii") -> Column:
     """Array of (kind, start, end): base spans by kind and start, then the discovered ones by start."""
     known = F.array(*[F.lit(p) for p in patterns]) if patterns else F.array().cast("array<string>")
     new = F.filter(F.col(f"{into}.mentions"), lambda m: ~m["inside"] & (
-        m["seed"] | F.array_contains(known, m["context"])))
+        m["seed"] | F.arrays_overlap(_suffixes(m["context"]), known)))
     return F.concat(F.col(f"{into}.base"), F.transform(new, _typed(KINDS.index("id"))))
 
 

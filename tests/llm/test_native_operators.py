@@ -166,6 +166,21 @@ def test_bootstrapping_finds_identifiers_after_learned_contexts(spark):
     assert pii.learn(pii.find(df.limit(0))) == []
 
 
+def test_bootstrapping_goes_on_from_found_identifiers(spark):
+    ids = [f"QX{i:04d}-77-{i:04d}" for i in range(40)]
+    keys = [f"{i:032x}" for i in range(1000, 1400)]
+    # 'alpha = ' is certified by hexadecimal keys, 'beta ref ' only by what 'alpha = ' finds
+    lines = [f"note alpha = {v}" for v in keys + ids] + [f"see the beta ref {v}" for v in ids] + ["my beta ref ZZ99-88-7766 ends"]
+    # one cue behind varied words; nine seeds of nine give exactly 0.9
+    lines += [f"w{chr(97 + i)} passport {v}" for i, v in enumerate(keys[:18])] + ["other passport 12345678 ends"]
+    lines += [f"nine of {v}" for v in keys[:9]] + [f"eight of {v}" for v in keys[:8]]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    out = {r["text"] for r in pii.redact_documents(df).collect()}
+    assert "my beta ref [ID] ends" in out and "other passport [ID] ends" in out
+    patterns = pii.learn(pii.find(df))
+    assert "nine of " in patterns and "eight of " not in patterns
+
+
 def test_redaction_replaces_whole_spans(spark):
     df = spark.createDataFrame([(1, "é a@b.cc, +1 555 010 7788!", 26)], "doc_id long, text string, n_chars int")
     r = pii.redact_documents(df).first()
