@@ -13,10 +13,14 @@ score of its distinct instances (one pseudo-instance of score 0 added), an
 instance that is no seed by its best promoted pattern.  Each round promotes
 patterns with a score of ``MIN_SCORE`` or more over at least ``MIN_SEEDS``
 instances that are seeds or were found by a promoted pattern, so what one
-pattern finds is evidence for the next; the ``MAX_PATTERNS`` strongest at
-most: by method a bounded lexicon, small enough to be a literal in the last
-pass.  Every token after a promoted pattern becomes a span of kind ``id``, as
-do the hexadecimal seeds.
+pattern finds is evidence for the next.  All of these are kept.  No score ever
+falls, and rounds go on until none can add a pattern: the promoted set is the
+same as before and would be so if every found instance scored 1, or no score
+has changed in its first six digits.  Every token after a promoted pattern
+becomes a span of kind ``id``, as do the hexadecimal seeds.  Up to
+``LITERAL_PATTERNS`` counted patterns are a literal of the last pass, up to
+``BROADCAST_PATTERNS`` a broadcast; beyond, mentions and patterns are shuffled,
+every pattern salted.
 
 Defined results: a null or empty text has no spans; null ids are kept; spans
 of different kinds may overlap; a discovered token that overlaps a base span
@@ -44,7 +48,9 @@ TOKEN = r"(?<![A-Za-z0-9_./+=@:-])[A-Za-z_./+=@:-]*+[0-9](?:[A-Za-z0-9_./+=@:-]*
 SECRET = r"^[0-9a-fA-F]{32,}$"
 CONTEXT_CHARS = 48
 CONTEXT = r"((?:\S+\s+){0,2}\S*)$"
-MIN_SEEDS, MIN_SCORE, MAX_PATTERNS, ROUNDS = 5, 0.9, 1000, 3
+MIN_SEEDS, MIN_SCORE = 5, 0.9
+# how patterns reach the mentions, by their counted number
+LITERAL_PATTERNS, BROADCAST_PATTERNS, SALTS = 1000, 100_000, 16
 
 
 def _let(value: Column, body) -> Column:
@@ -168,48 +174,90 @@ def _suffixes(context: Column) -> Column:
     return F.array_distinct(F.filter(F.array(context, *shorter), lambda s: s.rlike(r"\S")))
 
 
-def learn(found: DataFrame, into: str = "pii", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
-          min_score: float = MIN_SCORE, max_patterns: int = MAX_PATTERNS) -> list[str]:
-    """The promoted lexical patterns, at most ``max_patterns``."""
+def _with_patterns(rows: DataFrame, patterns: DataFrame, n: int, spread: list[str],
+                   broadcast_patterns: int = BROADCAST_PATTERNS) -> DataFrame:
+    """Inner join on ``pattern`` with ``n`` distinct patterns; a shuffled hot pattern is spread by ``spread``."""
+    if n <= broadcast_patterns:
+        return rows.join(F.broadcast(patterns), "pattern")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    copies = patterns.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(copies, ["pattern", "_salt"]).drop("_salt")
+
+
+def promote(found: DataFrame, into: str = "pii", min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE,
+            broadcast_patterns: int = BROADCAST_PATTERNS) -> DataFrame:
+    """(pattern, score): all promoted lexical patterns."""
     pairs = (found.select(F.explode(f"{into}.mentions").alias("m"))
              .select(F.explode(_suffixes(F.col("m.context"))).alias("pattern"),
                      F.xxhash64("m.value").alias("instance"), F.col("m.seed").alias("seed"))
              .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
     pairs = land(pairs, "pii-pairs")
     # too few instances for the threshold even if every one scored 1: no round can change that
-    able = pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(
-        (F.col("n") >= min_seeds) & (F.round(F.col("n") / (F.col("n") + 1), 9) >= min_score))
+    able = land(pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(
+        (F.col("n") >= min_seeds) & (F.round(F.col("n") / (F.col("n") + 1), 9) >= min_score)).select("pattern"),
+        "pii-able")
     seeds = pairs.where("seed").select("instance").distinct().withColumn("any_seed", F.lit(True))
-    graph = land(pairs.select("pattern", "instance").join(able.select("pattern"), "pattern")
-                 .join(seeds, "instance", "left")
+    graph = _with_patterns(pairs.select("pattern", "instance"), able, able.count(), ["instance"], broadcast_patterns)
+    graph = land(graph.join(seeds, "instance", "left")
                  .select("pattern", "instance", F.coalesce("any_seed", F.lit(False)).alias("seed")), "pii-graph")
     scored = graph.withColumn("x", F.col("seed").cast("double"))
-    promoted = []
-    for _ in range(rounds):
+    before = (0, 0)
+    while True:
+        # score: of the round; bound: if every instance that is a seed or found scored 1
         rank = (scored.groupBy("pattern").agg(F.sum("x").alias("sum"), F.count(F.lit(1)).alias("n"),
                                               F.count_if(F.col("x") > 0).alias("evidence"))
-                .withColumn("score", F.round(F.col("sum") / (F.col("n") + 1), 9))
-                .where((F.col("evidence") >= min_seeds) & (F.col("score") >= min_score))
-                .orderBy(F.desc(F.col("score") * F.log2(F.col("n") + 1)), "pattern").limit(max_patterns))
-        rows = rank.select("pattern", "score").collect()  # max_patterns rows at most
-        promoted = [r["pattern"] for r in rows]
-        if not rows:
-            break
-        known = F.create_map(*[x for r in rows for x in (F.lit(r["pattern"]), F.lit(r["score"]))])
-        best = graph.where("NOT seed").groupBy("instance").agg(F.max(known[F.col("pattern")]).alias("best"))
-        scored = graph.join(best, "instance", "left").withColumn(
+                .where((F.col("evidence") >= min_seeds)
+                       & (F.round(F.col("evidence") / (F.col("n") + 1), 9) >= min_score))
+                .select("pattern", F.round(F.col("sum") / (F.col("n") + 1), 9).alias("score")))
+        rank = land(rank, "pii-rank")
+        promoted = rank.where(F.col("score") >= min_score)
+        n, digits = promoted.agg(F.count(F.lit(1)), F.coalesce(
+            F.sum(F.floor(F.col("score") * 1_000_000)), F.lit(0))).first()
+        if n == before[0] and (digits == before[1] or rank.count() == n):
+            return promoted
+        before = (n, digits)
+        best = (_with_patterns(graph.where("NOT seed"), promoted, n, ["instance"], broadcast_patterns)
+                .groupBy("instance").agg(F.max("score").alias("best")))
+        scored = graph.join(land(best, "pii-best"), "instance", "left").withColumn(
             "x", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0))))
-    return promoted
 
 
-def all_spans(patterns: list[str], into: str = "pii") -> Column:
-    """Array of (kind, start, end): base spans by kind and start, then the discovered ones by start."""
-    known = F.array(*[F.lit(p) for p in patterns]) if patterns else F.array().cast("array<string>")
-    new = F.filter(F.col(f"{into}.mentions"), lambda m: ~m["inside"] & (
-        m["seed"] | F.arrays_overlap(_suffixes(m["context"]), known)))
+def learn(found: DataFrame, into: str = "pii", **options) -> list[str]:
+    """The promoted lexical patterns as a list, for small tables."""
+    return [r["pattern"] for r in promote(found, into, **options).collect()]
+
+
+def all_spans(found_here, into: str = "pii") -> Column:
+    """Array of (kind, start, end): base spans by kind and start, then the discovered ones by start.
+
+    ``found_here`` tells of a mention whether a promoted pattern precedes it.
+    """
+    new = F.filter(F.col(f"{into}.mentions"), lambda m: ~m["inside"] & (m["seed"] | found_here(m)))
     return F.concat(F.col(f"{into}.base"), F.transform(new, _typed(KINDS.index("id"))))
 
 
+def with_spans(found: DataFrame, patterns: DataFrame, into: str = "pii", name: str = "spans",
+               literal_patterns: int = LITERAL_PATTERNS,
+               broadcast_patterns: int = BROADCAST_PATTERNS) -> DataFrame:
+    """``found`` with a column ``name`` of all spans; ``patterns`` are those of ``promote``."""
+    n = patterns.count()
+    if n <= literal_patterns:
+        known = [F.lit(r["pattern"]) for r in patterns.select("pattern").collect()]
+        known = F.array(*known) if known else F.array().cast("array<string>")
+        return once(found, name, all_spans(lambda m: F.arrays_overlap(_suffixes(m["context"]), known), into))
+    # too many for a literal: mentions meet the patterns by their suffixes, a row's finds come back by its number
+    rows = land(found.withColumn("_op5_row", F.monotonically_increasing_id()), "pii-rows")
+    asked = (rows.select("_op5_row", F.explode(f"{into}.mentions").alias("m")).where("NOT m.inside AND NOT m.seed")
+             .select("_op5_row", F.col("m.start").alias("start"), F.explode(_suffixes(F.col("m.context")))
+                     .alias("pattern")))
+    met = _with_patterns(asked, patterns.select("pattern"), n, ["_op5_row", "start"], broadcast_patterns)
+    starts = met.groupBy("_op5_row").agg(F.collect_set("start").alias("_op5_starts"))
+    joined = rows.join(starts, "_op5_row", "left").withColumn(
+        "_op5_starts", F.coalesce("_op5_starts", F.array().cast("array<int>")))
+    return once(joined, name, all_spans(lambda m: F.array_contains(F.col("_op5_starts"), m["start"]), into)).drop(
+        "_op5_row", "_op5_starts")
+
+
 def span_text(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
@@ -234,8 +282,8 @@ def redact(text: Column, spans: Column) -> Column:
 
 def redact_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the spans replaced in their texts (``n_chars`` follows); null texts stay null."""
-    patterns = learn(find(docs.select("text")), **options)
-    out = once(find(docs, into="_op5_pii"), "_op5_spans", all_spans(patterns, "_op5_pii"))
+    patterns = promote(find(docs.select("text")), **options)
+    out = with_spans(find(docs, into="_op5_pii"), patterns, "_op5_pii", "_op5_spans")
     out = once(out, "_op5_text", redact(F.col("text"), F.col("_op5_spans")))
     columns = {"text": F.col("_op5_text")}
     if "n_chars" in docs.columns:

@@ -53,12 +53,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = land(pii.find(docs).select("doc_id", "pii"), "pii-found")
-    patterns = pii.learn(found)
+    spanned = pii.with_spans(found, pii.promote(found))
     base = F.col("pii.base")
     count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.PATTERNS)],
-                        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
-                        pii.span_text(pii.all_spans(patterns)).alias("spans"))
+    return spanned.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.PATTERNS)],
+                          F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                          pii.span_text(F.col("spans")).alias("spans"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

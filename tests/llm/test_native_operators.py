@@ -181,6 +181,23 @@ def test_bootstrapping_goes_on_from_found_identifiers(spark):
     assert "nine of " in patterns and "eight of " not in patterns
 
 
+def test_every_certified_pattern_is_kept_and_applied(spark):
+    def name(i):
+        return "".join(chr(97 + i // 26 ** p % 26) for p in range(3))
+    lines = spark.range(1200 * 18).select(F.col("id").alias("doc_id"), F.concat(
+        F.element_at(F.array(*[F.lit(name(i)) for i in range(1200)]), (F.col("id") % 1200 + 1).cast("int")),
+        F.lit(" "), F.md5(F.col("id").cast("string"))).alias("text"))
+    asks = spark.createDataFrame([(100_000 + i, f"{name(i)} QX77-{i:04d}") for i in range(1200)],
+                                 "doc_id long, text string")
+    found = land(pii.find(lines.unionByName(asks)), "t")
+    patterns = pii.promote(found)
+    assert patterns.count() == 1200
+    asked = found.where("doc_id >= 100000")
+    for options in ({}, {"broadcast_patterns": 10}, {"literal_patterns": 2000}):
+        out = pii.with_spans(asked.unionByName(asked.limit(1)), patterns, **options)
+        assert out.where(F.size("spans") == 1).count() == out.count() == 1201
+
+
 def test_redaction_replaces_whole_spans(spark):
     df = spark.createDataFrame([(1, "é a@b.cc, +1 555 010 7788!", 26)], "doc_id long, text string, n_chars int")
     r = pii.redact_documents(df).first()
