@@ -14,8 +14,9 @@ With probability ``1 - delta`` every stratum loses at most ``alpha`` of its
 good documents to the rules.  Where labels are too few, nothing is certified
 and the rule rejects nothing.
 
-Strata are hash buckets of the language (``STRATA`` of them), so the
-threshold table has a proven size bound and is broadcast.
+A stratum is a language, exactly as written.  Thresholds are one row per
+certified language; they are broadcast up to a counted ``BROADCAST_LANGS``
+rows, beyond that joined by a shuffle, the documents of a language salted.
 
 All of it runs as DataFrame expressions.  Repeated words are found per text by
 sorting (hash of three words, position) packed into one long: the position
@@ -40,7 +41,7 @@ from rxlens.llm.common import land, once, sql_words, text_or_empty
 SYMBOLS = "[#*$%&|<>]"
 WORD = "[^\\x20\\x09-\\x0D]"
 CAPITALS = "[A-Z]"
-STRATA = 256
+BROADCAST_LANGS, SALTS = 10_000, 64
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
 
@@ -144,7 +145,8 @@ def base_failed(n_words: Column, n_repeat: Column) -> Column:
 
 
 def stratum(lang: Column) -> Column:
-    return F.pmod(F.xxhash64(lang), F.lit(STRATA))
+    """The language with a mark before it; a null language is a value of its own."""
+    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit("null"))
 
 
 def _ln_gamma(x: Column) -> Column:
@@ -229,17 +231,23 @@ def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = 0.05, delta
 
 
 def judge(measured: DataFrame, thresholds: DataFrame, rules: tuple[Rule, ...] = RULES, lang: str = "lang",
-          measures: str = "measures", into: str = "verdict") -> DataFrame:
+          measures: str = "measures", into: str = "verdict", broadcast_langs: int = BROADCAST_LANGS) -> DataFrame:
     """``measured`` with a struct column ``into``: base_failed, kept, failed_rules (names).
 
-    The threshold table holds at most ``STRATA * len(rules)`` rows; pivoted to
-    one row per stratum it is broadcast.
+    The threshold table, pivoted to one row per stratum, is broadcast if it is
+    counted small.
     """
     per = thresholds.groupBy(F.col("stratum").alias("_op2_stratum")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_op2_cut"))
     m = F.col(measures)
     bound = measured.withColumn("_op2_s", stratum(F.col(lang)))
-    joined = bound.join(F.broadcast(per), F.col("_op2_s") == F.col("_op2_stratum"), "left")
+    if per.count() <= broadcast_langs:
+        joined = bound.join(F.broadcast(per), F.col("_op2_s") == F.col("_op2_stratum"), "left")
+    else:
+        salted = bound.withColumn("_op2_salt", F.pmod(F.xxhash64(m), F.lit(SALTS)).cast("int"))
+        copies = per.withColumn("_op2_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(copies, (F.col("_op2_s") == F.col("_op2_stratum"))
+                             & (F.col("_op2_salt") == F.col("_op2_copy")), "left").drop("_op2_salt", "_op2_copy")
     scoped = joined.withColumn("_op2_values", m)
     failed = F.array_compact(F.array(*[
         F.when(r.value("_op2_values") > F.col("_op2_cut")[F.lit(i)], F.lit(r.name))

@@ -75,6 +75,25 @@ def test_thresholds_keep_good_and_reject_junk(spark):
     assert quality_rules.judge(measured.limit(0), empty).count() == 0
 
 
+def test_languages_do_not_share_a_calibration(spark):
+    def bucket(lang):  # he and zh met in one of 256 buckets
+        return spark.range(1).select(F.pmod(F.xxhash64(F.lit(lang)), F.lit(256))).first()[0]
+    assert bucket("he") == bucket("zh")
+    # 3,900 Hebrew documents of short words, 100 of them junk in long words; 40 clean Chinese ones, long between spaces
+    kind = F.when(F.col("id") < 3800, "he").when(F.col("id") < 3900, "junk").otherwise("zh")
+    word = F.when(kind == "he", "abcde").when(kind == "junk", "z" * 70).otherwise("q" * 70)
+    docs = spark.range(3940).select(
+        F.col("id").alias("doc_id"), F.when(kind == "zh", "zh").otherwise("he").alias("lang"),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(word, i.cast("string"))), " ")
+        .alias("text"), kind.alias("kind"))
+    labels = docs.select("doc_id", F.when(F.col("kind") == "junk", 0).otherwise(1).alias("quality"))
+    measured = land(quality_rules.measure(docs), "t")
+    th = quality_rules.calibrate(measured, labels)
+    for options in ({}, {"broadcast_langs": 0}):
+        kept = quality_rules.judge(measured, th, **options).where("verdict.kept").groupBy("kind").count().collect()
+        assert {r["kind"]: r["count"] for r in kept} == {"he": 3800, "zh": 40}
+
+
 URLS = [None, "", "no scheme", "http://example.com", "http://example.com/", "https://A.EXAMPLE.com/en/x?q#f",
         "http://www.example.com/en/1", "http://xexample.com/en/", "http://a.net/es/1", "http://a.net/ES/1",
         "http://net/fr/", "ftp://h.org/adclick/1", "http://www.spam-farm.example.org/", "http://spam-farmer.org/x",
