@@ -130,14 +130,28 @@ def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
 
 def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per query the (row, score) arrays of its k largest inner products, ties to the smaller id (flattened)."""
+    n, keep = x.shape[0], min(k, x.shape[0])
+    if keep == n:
+        at = np.broadcast_to(np.arange(n), (len(q), n))
+        score = _exact(x, q, at)
+        order = np.lexsort((ids[at], -score), axis=1)
+        return np.take_along_axis(at, order, 1), np.take_along_axis(score, order, 1)
     rough = q @ x.T
-    keep = min(k + 8, x.shape[0])
-    at = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < x.shape[0] else \
-        np.broadcast_to(np.arange(keep), (len(q), keep))
-    # products are rounded alike wherever a vector stands: summed row by row
-    score = (x[at] * q[:, None, :]).sum(axis=2)
-    order = np.lexsort((ids[at], -score), axis=1)[:, :k]
-    return np.take_along_axis(at, order, 1), np.take_along_axis(score, order, 1)
+    # a product summed in any order is off by less than this; twice it between two products, twice again for the k-th
+    slack = 4 * (x.shape[1] + 1) * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    least = np.partition(rough, n - keep, axis=1)[:, n - keep] - slack
+    at, score = np.empty((len(q), keep), np.int64), np.empty((len(q), keep))
+    for i in range(len(q)):  # every row that may tie with the k-th, however many
+        rows = np.flatnonzero(~(rough[i] < least[i]))
+        mine = _exact(x, q[i:i + 1], rows[None, :])[0]
+        order = np.lexsort((ids[rows], -mine))[:keep]
+        at[i], score[i] = rows[order], mine[order]
+    return at, score
+
+
+def _exact(x: np.ndarray, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Products rounded alike wherever a vector stands: summed row by row."""
+    return (x[at] * q[:, None, :]).sum(axis=2)
 
 
 def usable(vec: Column) -> Column:

@@ -184,6 +184,20 @@ def test_nearest_neighbours(spark):
     assert ann_tree.nearest(df.limit(0)).count() == 0
 
 
+def test_ties_go_to_the_smaller_id_however_many():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 2, (400, 12)).astype(float)
+    ids = rng.permutation(400)
+    q = np.vstack([x[:20], np.eye(12)])
+    at, score = ann_tree.best(q, x, ids, 21)
+    full = (x[None] * q[:, None]).sum(2)
+    for i in range(len(q)):
+        order = np.lexsort((ids, -full[i]))[:21]
+        assert at[i].tolist() == order.tolist() and score[i].tolist() == full[i][order].tolist()
+    at, _ = ann_tree.best(q, x[:5], ids[:5], 21)
+    assert at.shape == (len(q), 5)
+
+
 def corpus(spark, n=900):
     rng = np.random.default_rng(6)
     words = ["".join(rng.choice(list("abcdeiou"), 5)) for _ in range(300)]
