@@ -29,7 +29,8 @@ RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_b
                        T.StructField("n_content", T.IntegerType())])
 
 # fixed values: HTML element names by role
-RAW = "script style noscript template svg math iframe object textarea select title canvas video audio"
+RAW = "script style textarea title"
+SKIPPED = "noscript template svg math iframe object select canvas video audio"
 INLINE = ("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
           "samp small span strike strong sub sup time tt u var wbr")
 VOID = "area base br col embed hr img input link meta param source track wbr"
@@ -42,15 +43,21 @@ BOILER_WORDS = ("ad ads adv advert advertisement advertising aside banner breadc
                 "login menu modal nav navbar navigation newsletter notice notification pagination pager popup "
                 "promo promotion related reply replies respond search share sharing sidebar signup social sponsor "
                 "sponsored subscribe tags toolbar widget")
-RAW, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS, BOILER_WORDS = (
-    frozenset(x.split()) for x in (RAW, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS, BOILER_WORDS))
+# words beside them: the name tells the layout, or the head of the text itself
+LAYOUT_WORDS = "no not without has with"
+TEXT_WORDS = "entry post article story content"
+HEAD_WORDS = "header banner"
+(RAW, SKIPPED, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS, BOILER_WORDS, LAYOUT_WORDS, TEXT_WORDS,
+ HEAD_WORDS) = (frozenset(x.split()) for x in (RAW, SKIPPED, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS,
+                                               BOILER_WORDS, LAYOUT_WORDS, TEXT_WORDS, HEAD_WORDS))
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")(?![\w:.-])[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
+SKIP_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
 HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HINT_SPLIT = re.compile(r"[^a-z]+")
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
@@ -58,9 +65,11 @@ SPACE = re.compile(r"\s+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # classifier weights (positive: content) and smoothness strengths
-W_BOILER, W_BOILER_WORD, W_CONTENT, W_HEADING = -8.0, -8.0, 4.0, 1.0
+W_BOILER, W_WEAK, W_CONTENT, W_HEADING = -8.0, -4.0, 4.0, 1.0
 W_LINKS, W_SHORT, W_LONG, W_SENTENCE, W_BIAS = -2.5, -0.6, 1.0, 0.6, 0.1
 S_ADJACENT, S_CONTAINER = 0.9, 0.5
+# evidence of furniture: weak, a class word, a tag or hidden
+WEAK, WORD, TAG = 1, 2, 3
 
 
 class _Node:
@@ -71,27 +80,41 @@ class _Node:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _evidence(tag: str, attrs: str, inherited: tuple[bool, bool]) -> tuple[bool, bool]:
-    """(inside page furniture, inside article) of an element's children."""
+def _word_level(name: str) -> int:
+    """Evidence of furniture in one class, id or role name."""
+    words = set(HINT_SPLIT.split(name))
+    found = words & BOILER_WORDS
+    if not found or words & LAYOUT_WORDS:
+        return 0
+    return WEAK if found <= HEAD_WORDS and words & TEXT_WORDS else WORD
+
+
+def _evidence(tag: str, attrs: str, inherited: tuple[int, bool]) -> tuple[int, bool]:
+    """(evidence of page furniture, inside article) of an element's children.
+
+    Class words of containers that hold an article are weak evidence against it.
+    """
     boiler, content = inherited
     if tag in BOILER_TAGS:
-        boiler = True
+        boiler = TAG
     if tag in CONTENT_TAGS:
         content = True
+        if boiler == WORD:
+            boiler = WEAK
     if attrs and tag not in ("body", "html"):
         if HIDDEN.search(attrs):
-            boiler = True
+            boiler = TAG
         for m in HINT.finditer(attrs):
             value = CAMEL.sub("-", m.group(1) or m.group(2) or m.group(3) or "").lower()
-            if not BOILER_WORDS.isdisjoint(HINT_SPLIT.split(value)):
-                boiler = True
+            boiler = max([boiler, *map(_word_level, value.split())])
     return boiler, content
 
 
 def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
     """Text blocks in page order: (text, container element, characters inside links)."""
-    node = _Node("", None, (False, False))
+    node = _Node("", None, (0, False))
     out, buf, links, in_link, pos = [], [], 0, 0, 0
+    unclosed = set()
 
     def flush():
         nonlocal links
@@ -110,7 +133,7 @@ def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
             n = n.parent
         return node
 
-    for m in TOKEN.finditer(page):
+    while (m := TOKEN.search(page, pos)) is not None:
         if m.start() > pos:
             piece = page[pos:m.start()]
             buf.append(piece)
@@ -121,6 +144,15 @@ def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in SKIPPED and not m.group("close"):
+            if m.group("attrs").endswith("/"):
+                continue
+            end = None if tag in unclosed else SKIP_END[tag].search(page, pos)
+            if end:
+                pos = end.end()
+                continue
+            unclosed.add(tag)  # only the tag is markup: the rest of the page is not its content
+            continue
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if m.group("close") else 1
@@ -155,7 +187,9 @@ def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
 def _cost(text: str, node: _Node, links: int) -> float:
     boiler, content = node.evidence
     w = W_BIAS + (W_CONTENT if content else 0.0)
-    if boiler:
+    if boiler == WEAK:
+        w += W_WEAK
+    elif boiler:
         w += W_BOILER + (W_CONTENT + 2 if content and node.tag in ("h1", "h2") and _header_only(node) else 0.0)
     density = min(1.0, links / len(text))
     w += W_LINKS * density
@@ -172,11 +206,11 @@ def _header_only(node: _Node) -> bool:
     """The furniture around a heading is the article's own header."""
     n, seen = node.parent, 0
     while n is not None and n.tag not in CONTENT_TAGS:
-        if n.evidence[0] and n.tag not in ("header", "div", "hgroup", "section"):
+        if n.evidence[0] > WEAK and n.tag not in ("header", "div", "hgroup", "section"):
             return False
         seen += n.tag == "header"
         n = n.parent
-    return n is not None and not n.evidence[0] and seen == 1
+    return n is not None and n.evidence[0] <= WEAK and seen == 1
 
 
 def _proximity(a: _Node, b: _Node) -> float:

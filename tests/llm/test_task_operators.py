@@ -29,6 +29,17 @@ def test_page_text():
     assert html_mincut.extract("<" * 5000 + "'" * 5000)[1] >= 0
 
 
+def test_article_text_is_not_lost():
+    line = "The article goes on with a sentence that is long enough to be read as text."
+    for odd in ("<svg width='1'/>", "<math/>", "<object data='x'>", "<video src='x'>", "<video-player></video-player>",
+                "<select-box>", "<svg><text>label</text></svg>"):
+        assert html_mincut.extract(f"<article><p>{line}</p>{odd}<p>{line}</p></article>")[0] == f"{line}\n{line}", odd
+    page = '<div class="{}"><article><div class="entry-header"><h1>A title</h1></div><p>{}</p></article></div>'
+    for name in ("content no-sidebar", "layout sidebar", "content"):
+        assert html_mincut.extract(page.format(name, line))[0] == f"A title\n{line}", name
+    assert html_mincut.extract(f'<div class="sidebar"><p>{line}</p></div>')[0] == ""
+
+
 def test_min_cut_is_minimal():
     rng = np.random.default_rng(1)
     for _ in range(40):
