@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 from rxlens.session import ensure_checkpoint_dir, land
 
-__all__ = ["arrow_conf", "crc_mod", "encoded_words", "labelled_sample", "land", "once", "read", "sql_words",
+__all__ = ["arrow_conf", "crc_mod", "encoded_words", "labelled_sample", "land", "lookup", "once", "read", "sql_words",
            "text_or_empty"]
 
 # Arrow batches are sized in rows; texts average a few KB and may be very
 # long, so batches stay small enough for a few hundred MB of worker memory.
 TEXT_ROWS_PER_BATCH = "1000"
 
+# Keys with more rows than this are split in ``lookup``; so many of them are broadcast.
+HOT_ROWS = 10_000
+HOT_KEYS = 100_000
+
 
 def arrow_conf(spark: SparkSession) -> None:
     """Small Arrow batches for whole texts, and a checkpoint folder."""
@@ -28,6 +32,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: str) -> DataFrame:
+    """Inner join of landed ``rows`` with ``table`` on ``keys``, where a key may hold a large share of the rows.
+
+    Keys with more than ``HOT_ROWS`` rows are counted first; their rows are
+    dealt to parts by a hash of ``salt_by`` and the table's rows copied to each.
+    """
+    hot = land(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_ROWS)
+               .select(*keys, F.ceil(F.col("_rows") / HOT_ROWS).cast("int").alias("_parts")), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(table, keys)
+    small = F.broadcast(hot) if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS else hot
+    dealt = (rows.join(small, keys, "left")
+             .withColumn("_part", F.pmod(F.xxhash64(salt_by), F.coalesce("_parts", F.lit(1))).cast("int"))
+             .drop("_parts"))
+    copied = (table.join(small, keys, "left")
+              .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+              .drop("_parts"))
+    return dealt.join(copied, [*keys, "_part"]).drop("_part")
+
+
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

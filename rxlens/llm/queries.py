@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlens.llm import (ann_tree, html_mincut, mixing, packing, pii, quality_net, quality_rules, simhash, toxicity,
-                        url_rules)
+from rxlens.llm import (ann_tree, fill_middle, html_mincut, jaccard_join, mixing, packing, pii, quality_net,
+                        quality_rules, simhash, toxicity, url_rules, whitening)
 from rxlens.llm.common import arrow_conf, land, read, text_or_empty
 
 # Host rules of the url query.
@@ -87,9 +87,36 @@ def op10_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = out.select("doc_id", "fim.*")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("text", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore(F.col("text"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    if model is None:
+        return whitening.no_rows(rows)
+    white = whitening.whiten(rows, model)
+    error = whitening.identity_error(white, model)
+    explained = F.array(*[F.lit(float(v) / model.trace if model.trace else 0.0) for v in model.values])
+    return (white.select("vec_id", F.col("white.deviation").alias("deviation"),
+                         F.posexplode("white.values").alias("i", "whitened"))
+            .select("vec_id", (F.col("i") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+                    "whitened", explained[F.col("i")].alias("explained"), F.lit(error).alias("identity_error")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_html_mincut, op2_quality_rules, op3_url_rules, op4_packing, op5_pii, op6_toxicity, op7_ann_tree, op8_mixing,
-    op9_simhash, op10_quality_net)}
+    op9_simhash, op10_quality_net, op11_fill_middle, op12_jaccard_join, op13_whitening)}
 
 
 def _url_statement() -> str:
@@ -118,4 +145,28 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM judged"""
 
 
-ORACLE = {"op3_url_rules": _url_statement()}
+def _fill_middle_statement() -> str:
+    """Units by one regular expression, parts as joined list slices."""
+    return r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || CAST(doc_id AS VARCHAR)) AS x,
+         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+  FROM documents),
+draws AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM cut),
+parts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+made AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s
+  FROM parts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM made"""
+
+
+ORACLE = {"op3_url_rules": _url_statement(), "op11_fill_middle": _fill_middle_statement()}
