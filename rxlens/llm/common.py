@@ -84,6 +84,8 @@ def encoded_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, list
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    if texts.offset:  # ascii_lower misreads slices
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
         texts = pc.ascii_lower(texts)

@@ -18,7 +18,7 @@ that may meet partners of the band below is indexed for both.
 
 Classes are counted, not sampled: every round counts the tokens that the
 current prefixes bring into the index, over all distinct sets, and tokens of
-more than ``CLASS_ROWS`` sets change class; rounds end when none does.  A class
+more than ``CLASS_ROWS`` sets change class; rounds end when none does, or after ROUNDS.  A class
 holds at most ``CLASS_TOKENS`` tokens, so it can be broadcast.  Classes only
 steer the cost: a frequent token left out is indexed like any other.
 
@@ -56,7 +56,7 @@ PERCENT = 80                      # Jaccard threshold
 CLASS_ROWS = ((2, 64), (3, 4096))  # (k, sets a token must exceed)
 CLASS_TOKENS = 1 << 18
 GROUP_TOKENS = {2: 3, 3: 8}       # tokens a group has if the whole set is in the class
-ROUNDS = 8
+ROUNDS = 3
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 
@@ -85,21 +85,33 @@ class Sets:
         self.keys = _mix(sums ^ sizes.astype(np.uint64)).view(np.int64)
 
 
+# odd multipliers of the word places in a shingle
+PLACES = _mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE_WORDS) -> Sets:
+    """Shingle hashes: 64-bit word hashes times the multiplier of their place, added and mixed."""
     codes, words, per = encoded_words(texts)
     hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))[codes]
+    at_place = np.zeros(len(hashed), np.uint64)  # the shingle that begins at each word, whatever text goes on there
+    for k in range(min(shingle, len(hashed))):
+        at_place[:len(hashed) - k] += hashed[k:] * PLACES[k]
+    first = np.cumsum(per) - per
+    for i in np.flatnonzero((per > 0) & (per < shingle)):  # fewer words: one shingle of all of them
+        mine = hashed[first[i]:first[i] + per[i]]
+        at_place[first[i]] = np.append(mine * PLACES[:len(mine)], PLACES[-len(mine)]).sum(dtype=np.uint64)
+    h = _mix(at_place)
     n = np.where(per >= shingle, per - shingle + 1, np.minimum(per, 1))
-    row = np.repeat(np.arange(len(per)), n)
-    begin = np.repeat(np.cumsum(per) - per, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    long = np.minimum(per, shingle)[row]
-    h = long.astype(np.uint64)
-    for k in range(shingle):
-        at = np.minimum(begin + k, max(len(hashed) - 1, 0))
-        h = np.where(k < long, _mix(h * np.uint64(0x9E3779B97F4A7C15) + hashed[at]), h) if len(row) else h
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    new = np.concatenate(([True], (h[1:] != h[:-1]) | (row[1:] != row[:-1]))) if len(h) else np.zeros(0, bool)
-    return Sets(h[new], np.bincount(row[new], minlength=len(per)).astype(np.int64))
+    begin = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+    h = h[begin]
+    ends = np.cumsum(n)
+    for lo, hi in zip((ends - n).tolist(), ends.tolist()):
+        h[lo:hi].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    new[(ends - n)[n > 0]] = True
+    upto = np.concatenate(([0], np.cumsum(new)))
+    return Sets(h[new], (upto[ends] - upto[ends - n]).astype(np.int64))
 
 
 # --------------------------------------------------------------------- prefixes
@@ -119,12 +131,24 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)[np.cumsum(new) - 1] if n else np.zeros(0, np.int64)
 
 
+def _among(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which tokens are in the sorted table."""
+    out = np.zeros(len(tokens), bool)
+    if len(table):
+        lead = np.zeros(1 << 16, bool)  # most tokens are ruled out by their first bits
+        lead[(table >> np.uint64(48)).astype(np.int64)] = True
+        maybe = np.flatnonzero(lead[(tokens >> np.uint64(48)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(table, tokens[maybe]), len(table) - 1)
+        out[maybe] = table[place] == tokens[maybe]
+    return out
+
+
 def rare_prefix(sets: Sets, classes: Classes, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, tokens) of the single-token prefixes, and the coverage still needed per row."""
     need = np.where(sets.sizes > 0, allowed_missing(sets.sizes, percent) + 1, 0)
     common = np.zeros(len(sets.tokens), bool)
     for tokens in classes.values():
-        common |= np.isin(sets.tokens, tokens)
+        common |= _among(sets.tokens, tokens)
     rare = np.flatnonzero(~common)
     row = sets.row[rare]
     rank = np.arange(len(rare)) - _starts(row)
@@ -151,7 +175,7 @@ def _combined(tokens: np.ndarray, run: np.ndarray, k: int) -> tuple[np.ndarray,
 def combination_signatures(sets: Sets, classes: Classes, need: np.ndarray,
                            percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(rows, signatures) of the frequent classes, for the rows whose rare tokens are not enough."""
-    where = {k: np.flatnonzero((need[sets.row] > 0) & np.isin(sets.tokens, t)) for k, t in classes.items()}
+    where = {k: np.flatnonzero((need[sets.row] > 0) & _among(sets.tokens, t)) for k, t in classes.items()}
     if not any(len(w) for w in where.values()):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     band = np.frexp(np.maximum(sets.sizes, 1).astype(float))[1] - 1  # 2**band <= n
