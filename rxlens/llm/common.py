@@ -38,6 +38,8 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt_by: str) ->
     Keys with more than ``HOT_ROWS`` rows are counted first; their rows are
     dealt to parts by a hash of ``salt_by`` and the table's rows copied to each.
     """
+    if rows.limit(HOT_ROWS + 1).count() <= HOT_ROWS:
+        return rows.join(table, keys)
     hot = land(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_ROWS)
                .select(*keys, F.ceil(F.col("_rows") / HOT_ROWS).cast("int").alias("_parts")), "hot-keys")
     if hot.isEmpty():

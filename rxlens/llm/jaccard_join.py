@@ -44,11 +44,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.common import arrow_conf, encoded_words, land, lookup
+from rxlens.llm.common import arrow_conf, land, lookup
 from rxlens.llm.simhash import components
 
 SHINGLE_WORDS = 5
@@ -85,14 +85,60 @@ class Sets:
         self.keys = _mix(sums ^ sizes.astype(np.uint64)).view(np.int64)
 
 
-# odd multipliers of the word places in a shingle
+# odd multipliers of the word places in a shingle, and of the byte places in a word
 PLACES = _mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+# a value for each byte: none for white space, the same for both cases of A-Z
+WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BYTES = _mix(np.arange(256, dtype=np.uint64) + np.uint64(1 << 32))
+BYTES[65:91] = BYTES[97:123]
+BYTES[WHITE] = 0
+BLOCK_BYTES = 1 << 22
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, words per text): sum of byte value times a power for its place in the word."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    first, size = int(offsets[0]), int(offsets[-1] - offsets[0])
+    data = np.frombuffer(texts.buffers()[2], np.uint8, size, first) if size else np.zeros(0, np.uint8)
+    bounds = offsets - first
+    begins, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    powers = np.ones(1, np.uint64)
+    lo = 0
+    while lo < size:
+        hi = min(lo + BLOCK_BYTES, size)
+        while hi < size and not WHITE[data[hi]]:  # words are not cut
+            more = np.flatnonzero(WHITE[data[hi:hi + BLOCK_BYTES]])
+            hi = hi + int(more[0]) if len(more) else min(hi + BLOCK_BYTES, size)
+        part = data[lo:hi]
+        white = WHITE[part]
+        head = ~white
+        head[1:] &= white[:-1]
+        edges = bounds[np.searchsorted(bounds, lo):np.searchsorted(bounds, hi)] - lo
+        head[edges] = ~white[edges]
+        at = np.flatnonzero(head)
+        if len(at):
+            length = np.diff(np.append(at, len(part)))
+            place = np.arange(at[0], len(part)) - np.repeat(at, length)
+            place[white[at[0]:]] = 0
+            if place.max() >= len(powers):
+                powers = np.full(int(place.max()) + 1, PLACES[0])
+                powers[0] = 1
+                powers = np.multiply.accumulate(powers)
+            begins.append(at + lo)
+            hashes.append(np.add.reduceat(BYTES[part[at[0]:]] * powers[place], at - at[0]))
+        lo = hi
+    begins = np.concatenate(begins)
+    per = np.diff(np.searchsorted(begins, bounds))
+    return np.concatenate(hashes), per.astype(np.int64)
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE_WORDS) -> Sets:
     """Shingle hashes: 64-bit word hashes times the multiplier of their place, added and mixed."""
-    codes, words, per = encoded_words(texts)
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))[codes]
+    hashed, per = word_hashes(texts)
+    hashed = _mix(hashed)
     at_place = np.zeros(len(hashed), np.uint64)  # the shingle that begins at each word, whatever text goes on there
     for k in range(min(shingle, len(hashed))):
         at_place[:len(hashed) - k] += hashed[k:] * PLACES[k]
