@@ -27,8 +27,9 @@ row per size band before they are shuffled.  A group is never emitted as pairs:
 each member is paired with a hub, and with its neighbour in size.  Candidates
 are first compared on parity bitmaps of about two bits a token (their distance
 never exceeds the symmetric difference, so no link is lost), then on the whole
-sets.  What is linked becomes one component; only pairs of members of different
-components, in groups that hold several, are compared after that, all of them.
+sets.  What is linked becomes one component.  After that all pairs of members of
+different components, in groups that hold several, are compared by their
+bitmaps inside the tasks, and by their whole sets where these leave a doubt.
 
 Defined results: a null, empty or white text is the empty set and links with
 nothing, not even its copies; fewer words than a shingle are one shingle; a row
@@ -56,9 +57,10 @@ PERCENT = 80                      # Jaccard threshold
 CLASS_ROWS = ((2, 64), (3, 4096))  # (k, sets a token must exceed)
 CLASS_TOKENS = 1 << 18
 GROUP_TOKENS = {2: 3, 3: 8}       # tokens a group has if the whole set is in the class
-ROUNDS = 3
+ROUNDS = 4
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
+GROUP_ROWS = 2048
 
 Classes = dict[int, np.ndarray]   # k -> sorted token hashes
 
@@ -504,6 +506,10 @@ def _linked(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     return both.where((100 + percent) * F.col("common") >= percent * F.col("total")).select("a", "b")
 
 
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+
+
 class Verifier:
     """Checks candidate pairs of set keys; reads the texts of the sets it needs again."""
 
@@ -513,15 +519,20 @@ class Verifier:
     def _docs_of(self, keys: DataFrame) -> DataFrame:
         return _only(self.docs, land(self.ids.join(keys, "key", "left_semi").select("id"), "jaccard-ids"))
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of the landed, distinct ``pairs`` (a, b)."""
-        keys = lambda p: p.select(F.col("a").alias("key")).union(p.select("b")).distinct()
-        bits = land(sketches(self._docs_of(keys(pairs)), self.shingle), "jaccard-bits")
-        near = land(_near(pairs, bits, self.percent), "jaccard-near")
+    def bits(self, keys: DataFrame) -> DataFrame:
+        """Bitmaps (key, n, bits) of the sets with the given keys."""
+        return sketches(self._docs_of(keys), self.shingle)
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Those of the landed ``pairs`` (a, b) that bitmaps don't rule out."""
+        return land(_near(pairs, land(self.bits(_keys(pairs)), "jaccard-bits"), self.percent), "jaccard-near")
+
+    def links(self, near: DataFrame) -> DataFrame:
+        """The linked ones of the landed, distinct pairs."""
         if near.isEmpty():
             return near
-        return land(_linked(near, land(token_sets(self._docs_of(keys(near)), self.shingle), "jaccard-sets"),
-                            self.percent), "jaccard-links")
+        sets = land(token_sets(self._docs_of(_keys(near)), self.shingle), "jaccard-sets")
+        return land(_linked(near, sets, self.percent), "jaccard-links")
 
 
 def _ordered(a: str, b: str):
@@ -533,24 +544,101 @@ def _first_pairs(met: DataFrame) -> DataFrame:
             .union(met.where("prev IS NOT NULL").select(*_ordered("key", "prev"))).where("a <> b").distinct())
 
 
-def _other_pairs(met: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of fitting size that share a signature and lie in different components."""
+def _folded(bits: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps as rows of ``words`` uint64 (longer ones are folded, by powers of two)."""
+    out = np.empty((len(bits), words), np.uint64)
+    for i, v in enumerate(bits):
+        x = np.frombuffer(v, np.uint64)
+        while len(x) > words:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        out[i] = x
+    return out
+
+
+def close_pairs(group: np.ndarray, n: np.ndarray, key: np.ndarray, label: np.ndarray, bits: list[bytes],
+                percent: int = PERCENT) -> np.ndarray:
+    """Pairs (least key, greatest key) of different labels inside the groups that sizes and bitmaps don't rule out.
+
+    Bitmaps are as long as the band of the set's size demands; each band is
+    compared with itself and with the next one, folded to its length.
+    """
+    order = np.lexsort((n, group))
+    group, n, key, label = group[order], n[order], key[order], label[order]
+    words = np.array([len(bits[i]) for i in order]) // 8
+    found = [np.zeros((0, 2), np.int64)]
+    for w in np.unique(words):
+        here = np.flatnonzero((words == w) | (words == 2 * w))
+        rows = _folded([bits[order[i]] for i in here], int(w))
+        g, m, k, lab, own = group[here], n[here], key[here], label[here], words[here] == w
+        start = _starts(g)
+        room = np.bincount(start, minlength=len(g))[start] + start - np.arange(len(g))  # rows to the group's end
+        i = np.flatnonzero(own)
+        for d in range(1, int(room.max(initial=1))):
+            i = i[room[i] > d]
+            i = i[m[i + d] * percent <= 100 * m[i]]  # sizes grow: once too far, always too far
+            if not len(i):
+                break
+            x = i[lab[i] != lab[i + d]]
+            for lo in range(0, len(x), max(1, (1 << 20) // int(w))):
+                u = x[lo:lo + max(1, (1 << 20) // int(w))]
+                total = m[u] + m[u + d]
+                apart = np.bitwise_count(rows[u] ^ rows[u + d]).sum(axis=1, dtype=np.int64)
+                u = u[apart <= total - 2 * -(-percent * total // (100 + percent))]
+                found.append(np.stack([np.minimum(k[u], k[u + d]), np.maximum(k[u], k[u + d])], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _other_pairs(met: DataFrame, labels: DataFrame, bits_of, percent: int) -> DataFrame:
+    """Pairs of different components that share a signature and that sizes and bitmaps don't rule out.
+
+    Only signatures met by several components take part, and of signatures
+    with the same members one.  Their members are compared inside the tasks,
+    by vectorised bitmap distances; large groups are cut to hash blocks that
+    are compared block against block.
+    """
     label = F.coalesce("root", "key").alias("label")
     rows = land(met.join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "n", "key", label)
                 .distinct(), "jaccard-labelled")
-    parts = rows.groupBy("sig", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    mixed = parts.groupBy("sig").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("sig")
-    parts = land(parts.join(mixed, "sig", "left_semi"), "jaccard-parts")
-    other = parts.select("sig", F.col("label").alias("label2"), F.col("least").alias("least2"),
-                         F.col("most").alias("most2"))
-    meet = (lookup(parts, other, ["sig"], "label").where("label < label2")
-            .where((percent * F.col("least") <= 100 * F.col("most2"))
-                   & (percent * F.col("least2") <= 100 * F.col("most"))).select("sig", "label", "label2"))
-    first = lookup(rows, land(meet, "jaccard-meet"), ["sig", "label"], "key")
-    first = first.select("sig", F.col("key").alias("u"), F.col("n").alias("nu"), F.col("label2").alias("label"))
-    return (lookup(rows, land(first, "jaccard-first"), ["sig", "label"], "key")
-            .where((percent * F.col("n") <= 100 * F.col("nu")) & (percent * F.col("nu") <= 100 * F.col("n")))
-            .select(*_ordered("u", "key")).distinct())
+    whole = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("a"), F.max("label").alias("b"),
+                                     F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("members"))
+             .where("a <> b"))
+    one = land(whole.groupBy("rows", "members").agg(F.min("sig").alias("sig"))
+               .select("sig", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks")), "jaccard-mixed")
+    mixed = land(lookup(rows, one, ["sig"], "key"), "jaccard-mixed-rows")
+    bits = land(bits_of(mixed.select("key").distinct()), "jaccard-bits")
+    dealt = (lookup(mixed, bits.select("key", "bits"), ["key"], "sig")
+             .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "n", "key",
+                     "label", "bits"))
+
+    def run(batches):
+        held, size = [], 0
+
+        def judge(t: pa.Table):
+            sig, lo, hi, n, key, label = (t.column(i).to_numpy().astype(np.int64) for i in range(6))
+            pairs = close_pairs(_starts(sig, lo, hi), n, key, label, t.column(6).to_pylist(), percent)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size < 1 << 24:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            sig, lo, hi = (t.column(i).to_numpy() for i in range(3))
+            cut = int(_starts(sig, lo, hi)[-1])  # the last group may go on
+            if cut:
+                yield judge(t.slice(0, cut))
+            rest = t.slice(cut).combine_chunks()
+            held, size = rest.to_batches(), 0 if cut else size
+        if held:
+            yield judge(pa.Table.from_batches(held).combine_chunks())
+
+    grouped = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
+    return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
@@ -566,10 +654,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = land(members(postings(distinct, classes, shingle, percent), percent), "jaccard-members")
     verify = Verifier(texts, own.where("id IS NOT NULL"), shingle, percent)
     pairs = land(_first_pairs(met), "jaccard-pairs")
-    edges = verify.links(pairs)
-    others = land(_other_pairs(met, components(edges), percent).join(pairs, ["a", "b"], "left_anti"), "jaccard-others")
-    if not others.isEmpty():
-        edges = edges.union(verify.links(others))
+    edges = verify.links(verify.near(pairs))
+    others = _other_pairs(met, components(edges), verify.bits, percent).join(pairs, ["a", "b"], "left_anti")
+    edges = edges.union(verify.links(land(others, "jaccard-others")))
     rooted = land(own.join(components(edges).withColumnRenamed("node", "key"), "key", "left")
                   .select("key", "id", F.coalesce("root", "key").alias("root")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component"))
