@@ -56,3 +56,8 @@ def previous_month_end(c: str | Column) -> Column:
 def month_name(c: str | Column) -> Column:
     """Lower-case English month name."""
     return F.lower(F.date_format(col_(c), "MMMM"))
+
+
+def today_in_zone(instant: str | Column, tz: str) -> Column:
+    """The calendar date of an instant (in the session zone) as seen in zone ``tz``."""
+    return F.to_date(F.from_utc_timestamp(col_(instant), tz))

@@ -56,6 +56,11 @@ def prepare_dispensations(disp: DataFrame, users_explode: DataFrame, cfg: Report
     return filter_vets(d, cfg.filter_vets)
 
 
+def search_window(searches: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """searches created from ``days_before`` days before the period to the day after it (both included)."""
+    return searches.filter(F.col("created_date").between(lit_date(cfg.search_from), lit_date(cfg.search_to)))
+
+
 def prepare_searches(searches: DataFrame, dispensations: DataFrame | None, cfg: ReportConfig,
                      broadcast_owners: bool = False) -> DataFrame:
     """M3: searches by users that own a dispensation, inside the search window,
@@ -72,12 +77,11 @@ def prepare_searches(searches: DataFrame, dispensations: DataFrame | None, cfg:
         owners = dispensations.select("true_id").filter(F.col("true_id").isNotNull()).distinct()
         s = s.join(small_side(owners, broadcast_owners), "true_id", "left_semi")
     partial = F.col("partial_first") | F.col("partial_last")
-    return (s
+    return (search_window(s, cfg)
             .withColumns({
                 "full_name": full_name("first_name", "last_name"),
                 "partial": partial,
             })
-            .filter(F.col("created_date").between(lit_date(cfg.search_from), lit_date(cfg.search_to)))
             .withColumn("ratio_check",
                         F.when(F.col("partial"), F.lit(float(cfg.partial_ratio)))
                          .when(~F.col("partial"), F.lit(float(cfg.ratio))))

@@ -25,6 +25,12 @@ def _in(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
+def _awkward(table: str, column: str, tail: str = "", more: str = "") -> str:
+    text = f"'\"' || {column} || ' \"the \\ 2nd\", jr\\\"{tail}'"
+    return (f"SELECT * REPLACE (CASE WHEN length({column}) % 2 = 0 THEN {text} ELSE {column} END AS {column}{more}) "
+            f"FROM {table}")
+
+
 def _pad(expr: str) -> str:
     return f"lpad(CAST({expr} AS VARCHAR), 7, '0')"
 
@@ -340,11 +346,12 @@ def period_statements(cfg: ReportConfig | None = None, with_nulls: bool = False,
     s_from, s_to = _d(cfg.search_from), _d(cfg.search_to)
     bodies = {
         "users": "SELECT * FROM users",
-        "csv_users": "SELECT * FROM users",
-        "csv_dispensations": "SELECT * REPLACE (CAST(rx_number AS VARCHAR) AS rx_number) FROM disp_extract",
-        "csv_searches": "SELECT * FROM search_extract",
-        "csv_active_rx": "SELECT * FROM active_extract",
-        "csv_naive_rx": "SELECT * FROM naive_extract",
+        "csv_users": _awkward("users", "user_full_name", "\nII"),
+        "csv_dispensations": _awkward("disp_extract", "patient_first_name",
+                                      more=", CAST(rx_number AS VARCHAR) AS rx_number"),
+        "csv_searches": _awkward("search_extract", "first_name"),
+        "csv_active_rx": _awkward("active_extract", "patient_first_name"),
+        "csv_naive_rx": _awkward("naive_extract", "patient_last_name"),
         "users_explode": "SELECT true_id, dea_number FROM ue",
         "dispensations": "SELECT * FROM disp",
         "searches": "SELECT * FROM srch",
@@ -373,7 +380,9 @@ def period_statements(cfg: ReportConfig | None = None, with_nulls: bool = False,
             "SELECT DISTINCT prescriber_dea AS raw_dea, n AS prescriber_dea, regexp_full_match(n, "
             f"{DEA_RE}) AS valid FROM (SELECT prescriber_dea, regexp_replace(upper(prescriber_dea), {WS}, '', 'g') "
             "AS n FROM disp_extract)"),
-        "search_window": "SELECT * FROM cand",
+        "search_window": (f"SELECT * FROM search_extract WHERE created_date BETWEEN "
+                          f"{_d(MONTH['first_date'] - dt.timedelta(days=cfg.days_before))} "
+                          f"AND {_d(MONTH['last_date'] + dt.timedelta(days=1))}"),
         "search_match": "SELECT * FROM matched",
         "final_dispensations": "SELECT * FROM final",
         "prescriber_rates": f"SELECT {RATE_SELECT} FROM rates",
@@ -422,6 +431,11 @@ def period_statements(cfg: ReportConfig | None = None, with_nulls: bool = False,
             "lower(monthname(d - INTERVAL 1 MONTH)) || CAST(year(d - INTERVAL 1 MONTH) AS VARCHAR) "
             "|| '_mandatory_use_full.csv' AS file_name "
             "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"),
+        "report_period": (
+            "SELECT d, today, CAST(date_trunc('month', today - INTERVAL 1 MONTH) AS DATE) AS first_date, "
+            "CAST(last_day(today - INTERVAL 1 MONTH) AS DATE) AS last_date FROM (SELECT DISTINCT "
+            "CAST(o_orderdate AS DATE) AS d, CAST(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) - INTERVAL 4 HOUR AS DATE) "
+            "AS today FROM orders)"),
     }
     head = "WITH " + ctes(cfg, with_nulls, from_tables).strip() + "\n"
     return {k: head + v for k, v in bodies.items()}

@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlens.config import Eligibility
@@ -36,8 +36,6 @@ AZ_RULES = Eligibility(include_refills=False, states=("AZ",),
 PAIR_COLUMNS = ("final_id", "dea", "ahfs", "dob", "patient_name", "written_date", "filled_date",
                 "create_date", "rx_end", "final_id_opi", "dea_opi", "ahfs_opi", "patient_name_opi",
                 "written_date_opi", "filled_date_opi", "create_date_opi", "rx_end_opi")
-CANDIDATE_COLUMNS = ("rx_number", "prescriber_dea", "written_date", "true_id", "disp_dob", "patient_name",
-                     "created_date", "full_name", "ratio_check")
 
 
 def config(**changes):
@@ -106,8 +104,8 @@ def q_valid_dea(spark, sf_dir):
 
 
 def q_search_window(spark, sf_dir):
-    p = plan(spark, sf_dir)
-    return match.search_candidates(p.dispensations, p.searches, p.cfg).select(*CANDIDATE_COLUMNS)
+    """F4 for the report month, over every search."""
+    return prepare.search_window(fixtures.searches(spark, sf_dir), config(**MONTH))
 
 
 def q_search_match(spark, sf_dir):
@@ -186,22 +184,30 @@ def q_report_from_tables(spark, sf_dir):
     return ReportPlan(inputs, cfg).report(full=True, overlap_type="both")
 
 
-# extract -> (reader, raw headers, long dates, short dates)
+# extract -> (reader, raw headers, long dates, short dates, column that gets awkward text)
 CSV_LAYOUTS = {
-    "users": (csv.read_users, S.USERS_RENAME, (), ()),
-    "dispensations": (csv.read_dispensations, S.DISPENSATIONS_RENAME, S.DISPENSATIONS_LONG_DATES, ()),
-    "searches": (csv.read_searches, S.SEARCHES_RENAME, S.SEARCHES_LONG_DATES, ()),
-    "active_rx": (csv.read_active_rx, S.ACTIVE_RX_RENAME, S.ACTIVE_RX_LONG_DATES, ()),
-    "naive_rx": (csv.read_naive_rx, S.NAIVE_RX_RENAME, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES),
+    "users": (csv.read_users, S.USERS_RENAME, (), (), "user_full_name"),
+    "dispensations": (csv.read_dispensations, S.DISPENSATIONS_RENAME, S.DISPENSATIONS_LONG_DATES, (),
+                      "patient_first_name"),
+    "searches": (csv.read_searches, S.SEARCHES_RENAME, S.SEARCHES_LONG_DATES, (), "first_name"),
+    "active_rx": (csv.read_active_rx, S.ACTIVE_RX_RENAME, S.ACTIVE_RX_LONG_DATES, (), "patient_first_name"),
+    "naive_rx": (csv.read_naive_rx, S.NAIVE_RX_RENAME, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES,
+                 "patient_last_name"),
 }
 
 
+def awkward(name: str, c: str) -> Column:
+    """Quotes, commas and backslashes around texts of even length; line breaks too in ``users``."""
+    extra = ' "the \\ 2nd", jr\\"' + ("\nII" if name == "users" else "")
+    return F.when(F.length(c) % 2 == 0, F.concat(F.lit('"'), F.col(c), F.lit(extra))).otherwise(F.col(c))
+
+
 def q_csv(spark, sf_dir, name):
     """S1-S5 over K3: the extract written as CSV with its raw headers, and read back."""
-    reader, rename, long_dates, short_dates = CSV_LAYOUTS[name]
+    reader, rename, long_dates, short_dates, text = CSV_LAYOUTS[name]
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rxlens-csv/{uuid.uuid4().hex}/{name}"
     extract = fixtures.report_inputs(spark, sf_dir, config(), land=False)[name]
-    csv.write_extract_csv(extract, path, rename, long_dates, short_dates)
+    csv.write_extract_csv(extract.withColumn(text, awkward(name, text)), path, rename, long_dates, short_dates)
     return reader(spark, path)
 
 
@@ -249,6 +255,15 @@ def q_previous_month(spark, sf_dir):
                  F.lit("_mandatory_use_full.csv")).alias("file_name"))
 
 
+def q_report_period(spark, sf_dir):
+    """The automatic period of a run at 03:00 UTC of every order date, seen in Phoenix."""
+    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).distinct()
+    today = D.today_in_zone(F.to_timestamp("d") + F.expr("INTERVAL 3 HOURS"), "America/Phoenix")
+    return (o.withColumn("today", today)
+            .select("d", "today", D.previous_month_start("today").alias("first_date"),
+                    D.previous_month_end("today").alias("last_date")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users": q_users,
     "users_explode": q_users_explode,
@@ -283,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similarity": q_similarity,
     "parse_dates": q_parse_dates,
     "previous_month": q_previous_month,
+    "report_period": q_report_period,
 }
 QUERIES |= {f"{k}_month": partial(QUERIES[k], **MONTH) for k in MONTH_KEYS}
 QUERIES |= {f"csv_{k}": partial(q_csv, name=k) for k in CSV_LAYOUTS}

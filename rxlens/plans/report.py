@@ -21,6 +21,7 @@ from rxlens.operators import match, metrics, naive, overlaps, prepare
 from rxlens.plans.strategy import fits, small_side
 from rxlens.session import land
 from rxlens.sources import extracts
+from rxlens.sources.csv import CSV_RULES
 
 OVERLAP_COLUMNS = {"part": ("overlapping_rx_part",), "last": ("overlapping_rx_last",),
                    "both": ("overlapping_rx_part", "overlapping_rx_last")}
@@ -194,7 +195,7 @@ def run_report(inputs: dict[str, DataFrame], cfg: ReportConfig, out_dir: str,
         elif cfg.supplement:
             plan.pairs(cfg.overlap_type).write.mode("overwrite").parquet(f"{base_dir}/overlaps_{cfg.overlap_type}")
     report = land(plan.report(sort=False), "report")
-    sort_report(report).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base_dir}/{name}")
+    sort_report(report).coalesce(1).write.mode("overwrite").options(**CSV_RULES).csv(f"{base_dir}/{name}")
     if testing:
         report.write.mode("overwrite").parquet(f"{base_dir}/search_results")
     return metrics.grand_totals(report)

@@ -4,6 +4,11 @@ Columns are located by header name (the exports' column order is not
 relied on), read as text, renamed to clean names and typed in one
 projection.  Empty text is null; dates are parsed with the extract formats.
 A missing header, or a number or flag that cannot be read, is an error.
+
+Quotes inside a field are doubled, by the writer as by the readers, and a
+backslash is an ordinary character.  A file is read in splits unless a field
+holds a line break: every such field leaves a physical line with an odd number
+of quotes, which one parallel pass over the lines finds.
 """
 
 from __future__ import annotations
@@ -24,11 +29,22 @@ def _strict(name: str, kind: str) -> Column:
     return F.when(text.isNotNull() & typed.isNull(), bad.cast(kind)).otherwise(typed)
 
 
+# one quoting rule for every CSV that is read or written
+CSV_RULES = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False}
+
+
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Does a quoted field of the file(s) go over more than one line?"""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def _read(spark: SparkSession, path: str, rename: dict[str, str], types: dict[str, str],
-          long_dates=(), short_dates=()) -> DataFrame:
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .csv(path))
+          long_dates=(), short_dates=(), multi_line: bool | None = None) -> DataFrame:
+    if multi_line is None:
+        multi_line = has_line_breaks(spark, path)
+    raw = spark.read.options(**CSV_RULES).option("multiLine", multi_line).csv(path)
     missing = [k for k, v in rename.items() if k not in raw.columns and v not in S.UNUSED]
     if missing:
         raise ValueError(f"{path}: missing header(s) {missing}")
@@ -44,30 +60,31 @@ def _read(spark: SparkSession, path: str, rename: dict[str, str], types: dict[st
     return df.withColumns(exprs) if exprs else df
 
 
-def read_users(spark: SparkSession, path: str) -> DataFrame:
+def read_users(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """``ID_data.csv``."""
-    return _read(spark, path, S.USERS_RENAME, S.USERS_TYPES)
+    return _read(spark, path, S.USERS_RENAME, S.USERS_TYPES, multi_line=multi_line)
 
 
-def read_dispensations(spark: SparkSession, path: str) -> DataFrame:
+def read_dispensations(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """``dispensations_data.csv``."""
     return _read(spark, path, S.DISPENSATIONS_RENAME, S.DISPENSATIONS_TYPES,
-                 S.DISPENSATIONS_LONG_DATES)
+                 S.DISPENSATIONS_LONG_DATES, multi_line=multi_line)
 
 
-def read_searches(spark: SparkSession, path: str) -> DataFrame:
+def read_searches(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """S3: ``searches_data.csv``."""
-    return _read(spark, path, S.SEARCHES_RENAME, S.SEARCHES_TYPES, S.SEARCHES_LONG_DATES)
+    return _read(spark, path, S.SEARCHES_RENAME, S.SEARCHES_TYPES, S.SEARCHES_LONG_DATES, multi_line=multi_line)
 
 
-def read_active_rx(spark: SparkSession, path: str) -> DataFrame:
+def read_active_rx(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """``active_rx_data.csv``."""
-    return _read(spark, path, S.ACTIVE_RX_RENAME, {}, S.ACTIVE_RX_LONG_DATES)
+    return _read(spark, path, S.ACTIVE_RX_RENAME, {}, S.ACTIVE_RX_LONG_DATES, multi_line=multi_line)
 
 
-def read_naive_rx(spark: SparkSession, path: str) -> DataFrame:
+def read_naive_rx(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """``naive_rx_data.csv``."""
-    return _read(spark, path, S.NAIVE_RX_RENAME, {}, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES)
+    return _read(spark, path, S.NAIVE_RX_RENAME, {}, S.NAIVE_RX_LONG_DATES, S.NAIVE_RX_SHORT_DATES,
+                 multi_line=multi_line)
 
 
 def to_raw_layout(df: DataFrame, rename: dict[str, str], long_dates=(), short_dates=()) -> DataFrame:
@@ -89,6 +106,4 @@ def write_extract_csv(df: DataFrame, path: str, rename: dict[str, str], long_dat
                       short_dates=()) -> None:
     """K3: land an extract as header CSV text in the raw layout."""
     (to_raw_layout(df, rename, long_dates, short_dates)
-     .write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+     .write.mode("overwrite").options(**CSV_RULES).csv(path))

@@ -129,3 +129,25 @@ def test_unreadable_numbers_and_missing_headers_are_errors(spark, tmp_path):
     (tmp_path / "short.csv").write_text(",".join(f'"{h}"' for h in heads[1:]) + "\n")
     with pytest.raises(ValueError, match="missing header"):
         csv.read_dispensations(spark, str(tmp_path / "short.csv"))
+
+
+def test_quotes_breaks_and_backslashes_survive(spark, tmp_path):
+    """K3 and S1-S5 share one quoting rule, and line breaks in fields are found without being asked for."""
+    values = ['"start', 'a "quoted" name', 'back\\slash', 'ends with \\', '\\"', 'x, y', '""', "plain", ' lead ', None]
+    rows = [(i, v, "s") for i, v in enumerate(values)]
+    flat = spark.createDataFrame(rows, "true_id long, user_full_name string, specialty_1 string")
+    broken = flat.union(spark.createDataFrame([(99, 'two\nlines "and" more', "s"), (100, "a\r\nb", "s")], flat.schema))
+    heads = [c for c in S.USERS_RENAME.values() if c not in flat.columns]
+    for name, df, breaks in (("flat", flat, False), ("broken", broken, True)):
+        full = df.select("*", *[F.lit("x").alias(h) for h in heads])
+        path = str(tmp_path / name)
+        C.write_extract_csv(full, path, S.USERS_RENAME)
+        assert C.has_line_breaks(spark, path) is breaks
+        assert _same(full, C.read_users(spark, path).select(*full.columns))
+
+
+def test_today_in_zone_and_period_key(spark, sf_small):
+    from rxlens.plans.queries import QUERIES
+    for r in QUERIES["report_period"](spark, sf_small).limit(50).collect():
+        assert r["today"] == r["d"] - dt.timedelta(days=1)
+        assert (r["first_date"], r["last_date"]) == report_period(today=r["today"])
