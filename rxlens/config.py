@@ -35,8 +35,9 @@ class ReportConfig:
 
     Defaults are the reference program's defaults.  ``bucket_days`` and
     ``salt_buckets`` (split hot join groups) shape the interval joins (see
-    ``rxlens.operators.intervals``); ``name_block`` is the number of patients of
-    one birth date that share a name-matching key (``rxlens.operators.patients``);
+    ``rxlens.operators.intervals``); ``name_block`` is the number of rows from
+    which a birth date's names are matched through an index (``rxlens.operators.patients``);
+    ``split_rows`` is the size from which a group of the naive match is cut;
     ``max_broadcast_rows`` bounds the size-checked broadcasts of the
     prescriber-identity table.
     """
@@ -61,6 +62,7 @@ class ReportConfig:
     bucket_days: int = 30
     salt_buckets: int = 1
     name_block: int = 4096
+    split_rows: int = 20_000
     max_broadcast_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
@@ -68,8 +70,8 @@ class ReportConfig:
             raise ValueError(f"overlap_type must be last, part or both, not {self.overlap_type!r}")
         if self.first_date > self.last_date:
             raise ValueError("first_date is after last_date")
-        if self.bucket_days < 1 or self.salt_buckets < 1 or self.name_block < 1:
-            raise ValueError("bucket_days, salt_buckets and name_block must be positive")
+        if min(self.bucket_days, self.salt_buckets, self.name_block, self.split_rows) < 1:
+            raise ValueError("bucket_days, salt_buckets, name_block and split_rows must be positive")
 
     @property
     def search_from(self) -> dt.date:

@@ -28,17 +28,53 @@ _PB = "_point_bucket"
 _IB = "_interval_bucket"
 _PS = "_point_salt"
 _IS = "_interval_salt"
+MAX_BROADCAST_GROUPS = 200_000
 
 
 def _bucket(c: Column, days: int) -> Column:
     return F.floor(F.unix_date(c) / F.lit(float(days))).cast("long")
 
 
+def _large_groups(pts: DataFrame, exploded: DataFrame, on: Sequence[tuple[str, str]], limit: int) -> DataFrame | None:
+    """(_k0.., _bucket, _rows, _cols): parts of the groups with more than ``limit`` rows on a side; None without any.
+
+    At most rows / ``limit`` groups; landed, since both sides are joined with it.
+    """
+    from rxlens.session import land
+
+    def counted(df: DataFrame, keys: list[str], points: bool) -> DataFrame:
+        parts = F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int")
+        one = F.lit(1)
+        return (df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+                .agg((parts if points else one).alias("_rows"), (one if points else parts).alias("_cols"))
+                .where("_rows > 1 OR _cols > 1"))
+
+    both = counted(pts, [a for a, _ in on] + [_PB], True).unionByName(
+        counted(exploded, [b for _, b in on] + [_IB], False))
+    keys = [f"_k{i}" for i in range(len(on) + 1)]
+    hot = land(both.groupBy(*keys).agg(F.max("_rows").alias("_rows"), F.max("_cols").alias("_cols")), "large-groups")
+    return None if hot.isEmpty() else hot
+
+
+def _in_parts(df: DataFrame, hot: DataFrame, keys: list[str], own: str, other: str, tag: str) -> DataFrame:
+    """Each row in its part of ``own`` and in every part of ``other``."""
+    from rxlens.plans.strategy import fits, small_side
+    named = hot.select(*[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(keys))], own, other)
+    match = F.lit(True)
+    for i, c in enumerate(keys):
+        match = match & (F.col(c) == F.col(f"_h{i}"))
+    parted = df.join(small_side(named, fits(named, MAX_BROADCAST_GROUPS)), match, "left")
+    mine = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.coalesce(own, F.lit(1))).cast("int")
+    return (parted.withColumns({f"{tag}{own}": mine})
+            .withColumn(f"{tag}{other}", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+            .drop(own, other, *[f"_h{i}" for i in range(len(keys))]))
+
+
 def point_in_interval_join(points: DataFrame, intervals: DataFrame,
                            on: Sequence[tuple[str, str]], point: str, start: Column, end: Column,
                            bucket_days: int,
                            point_range: tuple[dt.date, dt.date] | None = None,
-                           salt: int = 1) -> DataFrame:
+                           salt: int = 1, split_rows: int | None = None) -> DataFrame:
     """Inner join: ``points.a == intervals.b`` for each (a, b) in ``on`` and
     ``start <= point <= end``.  Column names of the two sides must be disjoint.
 
@@ -51,6 +87,11 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
     a hot group (say a placeholder birth date holding a third of the rows)
     is spread over ``salt`` tasks at the price of ``salt`` copies of the
     interval side.  Results are identical for every ``salt``.
+
+    ``split_rows`` measures instead: the (keys, bucket) groups are counted on
+    both sides, and a group with more rows than that is cut into parts of about
+    so many points and so many intervals, each pair of parts a join key of its
+    own.  Other groups are not touched or copied.
     """
     pts = points.withColumn(_PB, _bucket(F.col(point), bucket_days))
     lo, hi = _bucket(start, bucket_days), _bucket(end, bucket_days)
@@ -68,5 +109,13 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
         exploded = exploded.withColumn(_IS, F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salt - 1).cast("long"))))
         cond = cond & (F.col(_PS) == F.col(_IS))
+    if split_rows is not None:
+        hot = _large_groups(pts, exploded, on, split_rows)
+        if hot is not None:
+            pts = _in_parts(pts, hot, [a for a, _ in on] + [_PB], "_rows", "_cols", "_p")
+            exploded = _in_parts(exploded, hot, [b for _, b in on] + [_IB], "_cols", "_rows", "_i")
+            cond = cond & (F.col("_p_rows") == F.col("_i_rows")) & (F.col("_p_cols") == F.col("_i_cols"))
+            return (pts.join(exploded.hint("merge"), cond, "inner")
+                    .drop(_PB, _IB, _PS, _IS, "_lo", "_hi", "_p_rows", "_p_cols", "_i_rows", "_i_cols"))
     # the size estimate of the exploded side does not know the explosion: never broadcast it on an estimate
     return pts.join(exploded.hint("merge"), cond, "inner").drop(_PB, _IB, _PS, _IS, "_lo", "_hi")

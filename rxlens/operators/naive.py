@@ -29,7 +29,7 @@ def naive_match(final: DataFrame, naive: DataFrame, cfg: ReportConfig) -> DataFr
     cands = point_in_interval_join(
         opi, n, on=[("disp_dob", "n_dob")], point="written_date",
         start=F.col("naive_filled_date"), end=F.col("naive_end"),
-        bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
+        bucket_days=cfg.bucket_days, salt=cfg.salt_buckets, split_rows=cfg.split_rows)
     scored = score_candidates(cands, "naive_patient_name", "patient_name", F.lit(float(cfg.naive_ratio)),
                               keep=list(NAIVE_KEY), sigs=("_n_sig", "_sig"))
     return scored.select(*NAIVE_KEY).distinct()

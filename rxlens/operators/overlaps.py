@@ -7,9 +7,11 @@ uses ``[create + lag, rx_end]`` and credits only the later writer.
 
 The OR of two interval conditions is split into two disjoint point-in-interval
 joins (opioid written inside benzo interval; else benzo written inside opioid
-interval), each an equi-join on (dob, matched name, time bucket), never a
-nested loop.  Names are scored before, once per pair of patients
-(``rxlens.operators.patients``), so prescriptions meet only where they match.
+interval), each an equi-join on (dob, time bucket), never a nested loop; names
+are scored on the pairs that meet.  Birth dates that hold very many rows (a
+placeholder, say) take another way: their names meet through a similarity
+index (``rxlens.operators.patients``) and are scored once per pair of patients,
+and prescriptions meet on (dob, matched name, time bucket).
 ``both`` runs ONE pass with the union interval and flags each pair for either rule.
 """
 
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
+from rxlens.functions.similarity import name_signature
 from rxlens.operators.intervals import point_in_interval_join
-from rxlens.operators.patients import matched_names
+from rxlens.operators.match import score_candidates
+from rxlens.operators.patients import hot_dates, indexable, matched_names, split_hot
 
 SIDE_COLUMNS = ("final_id", "dea", "ahfs", "dob", "patient_name", "written_date", "filled_date",
                 "create_date", "rx_end")
@@ -58,39 +62,75 @@ def last_rule(cfg: ReportConfig) -> Column:
 CREDIT_COLUMNS = ("final_id", "final_id_opi", "written_date", "written_date_opi")
 
 
-def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str,
-                  keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
-    """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
-    suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
-    ``keep`` limits the carried columns (the credit counts need four);
-    ``credited_only`` skips patients of whom neither side wrote in the period."""
-    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
-    live = None
-    if credited_only:
-        first, last = lit_date(cfg.first_date), lit_date(cfg.last_date)
-        live = (F.col("written_date_opi").between(first, last), F.col("written_date").between(first, last))
-    names = matched_names(o, benzo, ("dob_opi", "patient_name_opi"), ("dob", "patient_name"), cfg.overlap_ratio,
-                          cfg.name_block, live)
-    b = (benzo.select(*SIDE_COLUMNS)
-         .join(names, (F.col("dob") == F.col("_dob")) & (F.col("patient_name") == F.col("_right_name")))
-         .drop("_dob", "_right_name"))
+def _in_time(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, extra: list[tuple[str, str]]) -> DataFrame:
+    """Pairs with one birth date (and the ``extra`` equal columns) whose times meet, each once."""
     common = dict(bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
     # branch 1: opioid written inside the benzo interval
-    one = point_in_interval_join(o, b, on=[("dob_opi", "dob"), ("patient_name_opi", "_left_name")], point="written_date_opi",
+    one = point_in_interval_join(o, b, on=[("dob_opi", "dob"), *extra], point="written_date_opi",
                                  start=start_b, end=F.col("rx_end"), **common)
     # branch 2: benzo written inside the opioid interval, and not already branch 1
-    two = point_in_interval_join(b, o, on=[("dob", "dob_opi"), ("_left_name", "patient_name_opi")], point="written_date",
+    two = point_in_interval_join(b, o, on=[("dob", "dob_opi"), *[(y, x) for x, y in extra]], point="written_date",
                                  start=start_o, end=F.col("rx_end_opi"), **common)
     two = two.filter(~F.coalesce(_within("written_date_opi", start_b, "rx_end"), F.lit(False)))
-    pairs = one.unionByName(two)
-    if kind == "both":
-        pairs = pairs.withColumns({"is_part": F.coalesce(part_rule(), F.lit(False)),
-                                   "is_last": F.coalesce(last_rule(cfg), F.lit(False))})
-    if keep is not None:
-        return pairs.select(*keep, *(["is_part", "is_last"] if kind == "both" else []))
-    return pairs.drop("dob_opi", "_left_name")
+    return one.unionByName(two)
+
+
+def _flagged(pairs: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
+    if kind != "both":
+        return pairs
+    return pairs.withColumns({"is_part": F.coalesce(part_rule(), F.lit(False)),
+                              "is_last": F.coalesce(last_rule(cfg), F.lit(False))})
+
+
+def _scored_after(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, columns: list[str],
+                  live: Column) -> DataFrame:
+    """Times meet first, names are scored on what is left: few names share a birth date."""
+    o = o.withColumn("_sig_opi", name_signature(F.col("patient_name_opi")))
+    b = b.withColumn("_sig", name_signature(F.col("patient_name")))
+    cands = _flagged(_in_time(o, b, cfg, kind, []).filter(live), cfg, kind)
+    return score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)),
+                            keep=columns, sigs=("_sig_opi", "_sig")).select(*columns, "ratio")
+
+
+def _scored_before(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, columns: list[str], live: Column,
+                   live_sides: tuple[Column, Column] | None, hot: DataFrame) -> DataFrame:
+    """Names of hot birth dates meet through the index, once per pair of patients, and times afterwards."""
+    names = matched_names(o, b, ("dob_opi", "patient_name_opi"), ("dob", "patient_name"), cfg.overlap_ratio, hot,
+                          cfg.name_block, live_sides)
+    b = (b.join(names, (F.col("dob") == F.col("_dob")) & (F.col("patient_name") == F.col("_right_name")))
+         .drop("_dob", "_right_name"))
+    pairs = _in_time(o, b, cfg, kind, [("patient_name_opi", "_left_name")]).filter(live)
+    return _flagged(pairs, cfg, kind).select(*columns, "ratio")
+
+
+def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str,
+                  keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
+    """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
+    suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
+    ``keep`` limits the carried columns (the credit counts need four);
+    ``credited_only`` skips pairs of which neither side wrote in the period.
+
+    Birth dates with more than ``cfg.name_block`` rows on a side are counted
+    first; only their names go through the index of ``operators.patients``.
+    """
+    o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
+    b = benzo.select(*SIDE_COLUMNS)
+    columns = list(keep) if keep is not None else [*SIDE_COLUMNS, *(_opi(c) for c in SIDE_COLUMNS if c != "dob")]
+    columns += ["is_part", "is_last"] if kind == "both" else []
+    live, live_sides = F.lit(True), None
+    if credited_only:
+        first, last = lit_date(cfg.first_date), lit_date(cfg.last_date)
+        live_sides = (F.col("written_date_opi").between(first, last), F.col("written_date").between(first, last))
+        live = live_sides[0] | live_sides[1]
+    hot = hot_dates([(o, "dob_opi"), (b, "dob")], cfg.name_block) if indexable(cfg.overlap_ratio) else None
+    if hot is None:
+        return _scored_after(o, b, cfg, kind, columns, live)
+    (hot_o, rest_o), (hot_b, rest_b) = (split_hot(d, dob, hot, cfg.max_broadcast_rows)
+                                        for d, dob in ((o, "dob_opi"), (b, "dob")))
+    return (_scored_after(rest_o, rest_b, cfg, kind, columns, live)
+            .unionByName(_scored_before(hot_o, hot_b, cfg, kind, columns, live, live_sides, hot)))
 
 
 def _credits(pairs: DataFrame, cfg: ReportConfig, rules: dict[str, tuple[Column, Column]]) -> DataFrame:

@@ -1,68 +1,172 @@
-"""Name matching between two sets of patients that share a birth date.
-
-The birth-date joins (overlaps, naive) compare patient names.  A name pair has
-one score however many prescriptions the two patients have, so each side is
-first reduced to its distinct (birth date, name), the surviving pairs are
-scored once, and the prescriptions meet afterwards through the matched pairs.
-
-One birth date (a placeholder, say) may hold a large share of the patients.
-The patients of a birth date are cut into blocks of about ``block`` names on
-either side, by a hash of the name, and every block of one side meets every
-block of the other as its own join key: a hot birth date is spread over many
-tasks of bounded size, and no pair is lost or produced twice.
+"""Name matching between two sets of patients that share a much used birth date.
+
+A placeholder birth date may hold a large share of all patients, and every name
+of one side would meet every name of the other.  Here names meet through an
+index instead, which loses no pair that scores the threshold:
+
+* A Jaro score of r needs m matching characters with m (1/a + 1/b) >= 3 r - 1
+  (a, b the lengths), and matching characters are common ones.  So two names
+  have c = ceil((3 r - 1) a b / (a + b)) common characters, counted with their
+  repeats (the second E is another token than the first).
+* Sort the tokens of a name from rare to common.  Two names with c common tokens
+  share at least k of them within their first a - c + k and b - c + k tokens, so
+  it is enough to look at the k-combinations of these prefixes.
+* The Winkler boost grows with the common beginning: names that agree on less
+  than three first characters need a higher Jaro score, which gives longer
+  common parts and short prefixes; names that agree on three are only looked up
+  among those with the same three.
+
+A key is (birth date, case, both lengths, combination).  k grows with the number
+of names of the date, so the pairs that meet grow slower than its square.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
+from itertools import combinations
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.functions.similarity import name_signature
+from rxlens.functions.similarity import WINKLER_SCALE, WINKLER_THRESHOLD, name_signature
 from rxlens.operators.match import score_candidates
+from rxlens.plans.strategy import fits, small_side
+
+# letters from rare to common in names; other characters are rarer, the space most common
+RARITY = {c: i for i, c in enumerate("QXZJVKWFYPBGUDMCHTOLSINREA ", start=1)}
+HEAD = 3           # characters that decide between the two cases
+MAX_COMBINATION = 6
+
+
+def rare_first(name: str) -> list[tuple]:
+    """The characters of a name with their repeats, from rare to common."""
+    seen: dict[str, int] = {}
+    tokens = []
+    for c in name:
+        seen[c] = seen.get(c, 0) + 1
+        tokens.append((-seen[c], RARITY.get(c, 0), c))
+    return sorted(tokens)
+
+
+def least_common(a: int, b: int, jaro: float) -> int:
+    """Characters that names of lengths ``a`` and ``b`` must share for a Jaro score of ``jaro``."""
+    return max(1, math.ceil((3 * jaro - 1) * a * b / (a + b) - 1e-6))
+
+
+def jaro_needed(threshold: float, head: int) -> float:
+    """Least Jaro score that ``head`` common first characters can lift to ``threshold``."""
+    if threshold <= WINKLER_THRESHOLD:
+        return threshold
+    lift = head * WINKLER_SCALE
+    return max(WINKLER_THRESHOLD, (threshold - lift) / (1 - lift))
+
+
+def name_keys(name: str, threshold: float, k: int) -> set[int]:
+    """Index keys: two names that score ``threshold`` share at least one (for the same ``k``)."""
+    tokens, a = rare_first(name), len(name)
+    keys = set()
+    # the boost counts up to four characters; below HEAD common ones at most HEAD - 1 do
+    for case, jaro in ((name[:HEAD] if a >= HEAD else None, jaro_needed(threshold, 4)),
+                       ("", jaro_needed(threshold, HEAD - 1))):
+        if case is None:
+            continue
+        b = 1
+        while True:
+            c = least_common(a, b, jaro)
+            if c <= min(a, b):
+                size = min(k, c)
+                for combo in combinations(tokens[:a - c + size], size):
+                    text = f"{case}|{min(a, b)}|{max(a, b)}|" + "".join(f"{ch}{-n}," for n, _, ch in combo)
+                    keys.add(int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True))
+            elif b > a:
+                break
+            b += 1
+    return keys
 
 
-def _distinct(df: DataFrame, dob: str, name: str, live: Column | None, tag: str) -> DataFrame:
-    """Distinct (birth date, name), with whether any row of the patient is live."""
+def indexable(threshold: float) -> bool:
+    """Below a Jaro score of 2/3 no length rules a partner out, and the index has no end of lengths."""
+    return jaro_needed(threshold, 4) > 2 / 3 + 1e-9
+
+
+def combination_size(names: int, block: int) -> int:
+    """k for a birth date of ``names`` rows: two at ``block``, one more for every fourfold."""
+    return min(MAX_COMBINATION, 2 + max(0, int(math.log(max(names, 1) / block, 4))))
+
+
+def hot_dates(sides: list[tuple[DataFrame, str]], block: int) -> DataFrame | None:
+    """(_dob, _rows) of the birth dates with more than ``block`` rows on a side; None if there are none."""
+    counted = None
+    for df, dob in sides:
+        one = (df.where(F.col(dob).isNotNull()).groupBy(F.col(dob).alias("_dob")).agg(F.count(F.lit(1)).alias("_rows"))
+               .where(F.col("_rows") > block))
+        counted = one if counted is None else counted.unionByName(one)
+    from rxlens.session import land
+    found = land(counted.groupBy("_dob").agg(F.max("_rows").alias("_rows")), "hot-dates")
+    return None if found.isEmpty() else found
+
+
+def split_hot(df: DataFrame, dob: str, hot: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the hot birth dates, and the others."""
+    dates = small_side(hot.select(F.col("_dob").alias(dob)), fits(hot, max_rows))
+    return df.join(dates, dob, "left_semi"), df.join(dates, dob, "left_anti")
+
+
+def _distinct(df: DataFrame, dob: str, name: str, live: Column | None, hot: DataFrame) -> DataFrame:
+    """Distinct (birth date, name), with whether any row of the patient is live and the date's row count."""
     live = F.lit(True) if live is None else F.coalesce(live, F.lit(False))
-    rows = df.filter(F.col(dob).isNotNull() & F.col(name).isNotNull())
-    return (rows.groupBy(F.col(dob).alias(f"_dob_{tag}"), F.col(name).alias(f"_name_{tag}"))
-            .agg(F.max(live).alias(f"_live_{tag}"))
-            .withColumn(f"_sig_{tag}", name_signature(F.col(f"_name_{tag}"))))
+    rows = df.filter(F.col(dob).isNotNull() & (F.length(name) > 0))
+    return (rows.groupBy(F.col(dob).alias("_dob"), F.col(name).alias("_name")).agg(F.max(live).alias("_live"))
+            .join(hot, "_dob").select("_dob", "_name", "_live", "_rows"))
+
 
+def _keyed(side: DataFrame, threshold: float, block: int, tag: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dobs, names, live, rows = (c.to_pylist() for c in b.columns)
+            for lo in range(0, len(names), 500):
+                row, key = [], []
+                for i in range(lo, min(lo + 500, len(names))):
+                    mine = name_keys(names[i], threshold, combination_size(rows[i], block))
+                    row += [i] * len(mine)
+                    key += mine
+                part = b.take(pa.array(row, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(key, pa.int64())],
+                                                 names=["dob", "name", "live", "key"])
 
-def _blocked(side: DataFrame, sizes: DataFrame, tag: str, own: str, other: str) -> DataFrame:
-    """One row per block of the other side that the patient must meet."""
-    placed = side.join(sizes, F.col(f"_dob_{tag}") == F.col("_dob"), "inner")
-    mine = F.pmod(F.xxhash64(f"_name_{tag}"), F.col(own))
-    theirs = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
-    return placed.select(f"_dob_{tag}", f"_name_{tag}", f"_live_{tag}", f"_sig_{tag}",
-                         mine.alias(f"_{own}_{tag}"), theirs.alias(f"_{other}_{tag}"))
+    kind = side.schema["_dob"].dataType.simpleString()
+    made = side.mapInArrow(run, f"dob {kind}, name string, live boolean, key long")
+    return made.select(*[F.col(c).alias(f"_{c}_{tag}") for c in made.columns])
 
 
 def matched_names(left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str],
-                  threshold: float, block: int, live: tuple[Column, Column] | None = None) -> DataFrame:
-    """Pairs of names with one birth date that score ``threshold`` or more.
+                  threshold: float, hot: DataFrame, block: int, live: tuple[Column, Column] | None = None) -> DataFrame:
+    """Pairs of names with one of the ``hot`` birth dates that score ``threshold`` or more.
 
     ``left_on`` and ``right_on`` name the (birth date, name) columns.  Returns
     ``_dob``, ``_left_name``, ``_right_name``, ``ratio``, one row per pair.
     ``live`` (a condition per side) keeps only pairs with a live patient on
-    either side, before any name is scored.  Null dates and names match
-    nothing; an empty side gives no pairs.
+    either side, before any name is scored.  Null dates, null and empty names
+    match nothing; an empty side gives no pairs.
     """
-    l_live, r_live = live or (None, None)
-    a = _distinct(left, *left_on, l_live, "a")
-    b = _distinct(right, *right_on, r_live, "b")
-
-    def blocks(side: DataFrame, tag: str, out: str) -> DataFrame:
-        n = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("long")
-        return side.groupBy(F.col(f"_dob_{tag}").alias("_dob")).agg(n.alias(out))
-
-    sizes = blocks(a, "a", "rows").join(blocks(b, "b", "cols"), "_dob")
-    cells_a = _blocked(a, sizes, "a", "rows", "cols")
-    cells_b = _blocked(b, sizes, "b", "cols", "rows")
-    met = cells_a.join(cells_b, (F.col("_dob_a") == F.col("_dob_b")) & (F.col("_rows_a") == F.col("_rows_b"))
-                       & (F.col("_cols_a") == F.col("_cols_b")) & (F.col("_live_a") | F.col("_live_b")), "inner")
-    scored = score_candidates(met, "_name_a", "_name_b", F.lit(float(threshold)), keep=["_dob_a"],
+    met = index_candidates(left, right, left_on, right_on, threshold, hot, block, live)
+    signed = met.withColumns({"_sig_a": name_signature(F.col("_name_a")), "_sig_b": name_signature(F.col("_name_b"))})
+    scored = score_candidates(signed, "_name_a", "_name_b", F.lit(float(threshold)), keep=["_dob_a"],
                               sigs=("_sig_a", "_sig_b"))
     return scored.select(F.col("_dob_a").alias("_dob"), F.col("_name_a").alias("_left_name"),
                          F.col("_name_b").alias("_right_name"), "ratio")
+
+
+def index_candidates(left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str],
+                     threshold: float, hot: DataFrame, block: int,
+                     live: tuple[Column, Column] | None = None) -> DataFrame:
+    """Distinct (_dob_a, _name_a, _name_b) that share an index key."""
+    l_live, r_live = live or (None, None)
+    a = _keyed(_distinct(left, *left_on, l_live, hot), threshold, block, "a")
+    b = _keyed(_distinct(right, *right_on, r_live, hot), threshold, block, "b")
+    met = a.join(b, (F.col("_dob_a") == F.col("_dob_b")) & (F.col("_key_a") == F.col("_key_b"))
+                 & (F.col("_live_a") | F.col("_live_b")), "inner")
+    return met.select("_dob_a", "_name_a", "_name_b").distinct()

@@ -1,12 +1,15 @@
-"""Patient-level name matching: blocks, live sides, null and empty inputs."""
+"""Patient-level name matching: the name index loses no pair, live sides, null and empty inputs."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from rxlens.functions.similarity import jaro_winkler_batch
-from rxlens.operators.patients import matched_names
+from rxlens.config import ReportConfig
+from rxlens.functions.similarity import jaro_winkler_batch, jaro_winkler_scalar
+from rxlens.operators.patients import (combination_size, hot_dates, index_candidates, indexable, jaro_needed,
+                                       least_common, matched_names, name_keys, rare_first, split_hot)
 
 D1, D2 = dt.date(1950, 1, 1), dt.date(1961, 2, 3)
 NAMES = [f"{a} {b}" for a in ("ANN", "ANNE", "JOHN", "JON", "MARIA", "MARY") for b in ("SMITH", "SMYTH", "LEE", "LEA")]
@@ -17,8 +20,11 @@ def sides(spark, left, right):
             spark.createDataFrame(right, "rd date, rn string, rw int"))
 
 
-def pairs(left, right, **options):
-    out = matched_names(left, right, ("ld", "ln"), ("rd", "rn"), 0.9, **options)
+def pairs(left, right, block, **options):
+    hot = hot_dates([(left, "ld"), (right, "rd")], 0)
+    if hot is None:
+        return set()
+    out = matched_names(left, right, ("ld", "ln"), ("rd", "rn"), 0.9, hot, block, **options)
     assert out.columns == ["_dob", "_left_name", "_right_name", "ratio"]
     rows = [tuple(r)[:3] for r in out.collect()]
     assert len(rows) == len(set(rows))
@@ -50,3 +56,98 @@ def test_live_keeps_pairs_with_a_live_side(spark):
 
 def test_empty_side(spark):
     assert pairs(*sides(spark, [], [(D1, "ANN LEE", 0)]), block=2) == set()
+    assert pairs(*sides(spark, [], []), block=2) == set()
+
+
+FIRST = ["JOHN", "MARY", "ANN", "PETER", "ANNA", "JON", "MARIE", "PETRA", "JOAN", "ALEXANDER", "BO", "X", "JOSÉ"]
+LAST = ["SMITH", "SMYTH", "LEE", "ANDERSON", "ANDERSEN", "LI", "MILLER", "MUELLER", "O", "GARCIA", "GARZIA"]
+
+
+def mutated(rng, name):
+    s = list(name)
+    for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+        i, c = rng.randrange(len(s)), rng.choice("ABEINRSTZ ")
+        kind = rng.random()
+        if kind < .3:
+            s[i] = c
+        elif kind < .6 and len(s) > 1:
+            del s[i]
+        elif kind < .8:
+            s.insert(i, c)
+        else:
+            j = (i + 1) % len(s)
+            s[i], s[j] = s[j], s[i]
+    return "".join(s)
+
+
+@pytest.mark.parametrize("threshold,k", [(0.9, 2), (0.9, 4), (0.95, 3), (0.8, 2)])
+def test_similar_names_share_a_key(threshold, k):
+    rng = random.Random(11)
+    names = sorted({mutated(rng, f"{rng.choice(FIRST)} {rng.choice(LAST)}") for _ in range(250)} - {""})
+    keys = {n: name_keys(n, threshold, k) for n in names}
+    similar = [(a, b) for a in names for b in names if round(jaro_winkler_scalar(a, b), 9) >= threshold]
+    assert len(similar) > len(names) and all(keys[a] & keys[b] for a, b in similar)
+
+
+def test_index_bounds():
+    assert rare_first("ANNA")[0][2] in "AN" and [t[0] for t in rare_first("ANNA")] == [-2, -2, -1, -1]
+    assert jaro_needed(0.9, 4) == pytest.approx(0.5 / 0.6) and jaro_needed(0.7, 4) == 0.7
+    assert least_common(12, 12, jaro_needed(0.9, 4)) == 9 and least_common(12, 12, jaro_needed(0.9, 2)) == 10
+    assert indexable(0.9) and indexable(0.7) and not indexable(0.5)
+    assert [combination_size(n, 100) for n in (1, 100, 399, 400, 1600, 10 ** 9)] == [2, 2, 2, 3, 4, 6]
+
+
+def test_pairs_that_meet_grow_slower_than_the_square(spark):
+    """A placeholder birth date: eight times the names give far less than 64 times the pairs."""
+    rng = random.Random(12)
+    letters = "EEEEAAAIIIOOUTTTNNNRRRSSSLLDDCCMMPPGHBFVWKXZ"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(4, 8)))
+    names = [f"{word()} {word()}" for _ in range(2400)]
+    met = []
+    for n in (300, 2400):
+        left, right = sides(spark, [(D1, x, 0) for x in names[:n]], [(D1, x, 0) for x in names[:n]])
+        hot = hot_dates([(left, "ld"), (right, "rd")], 100)
+        met.append(index_candidates(left, right, ("ld", "ln"), ("rd", "rn"), 0.9, hot, 100).count())
+    assert met[1] < 24 * met[0] and met[1] < 2400 ** 2 / 40, met
+
+
+def test_hot_dates_and_split(spark):
+    left, right = sides(spark, [(D1, "A", 0)] * 5 + [(D2, "B", 0), (None, "C", 0)], [(D2, "B", 0)] * 4)
+    hot = hot_dates([(left, "ld"), (right, "rd")], 3)
+    assert {(r["_dob"], r["_rows"]) for r in hot.collect()} == {(D1, 5), (D2, 4)}
+    assert hot_dates([(left, "ld"), (right, "rd")], 5) is None
+    inside, outside = split_hot(left, "ld", hot.where(F.col("_dob") == D1), 10)
+    assert inside.count() == 5 and outside.count() == 2
+
+
+@pytest.mark.parametrize("kind", ["part", "both"])
+def test_hot_and_other_dates_give_the_same_overlaps(spark, sf_small, kind):
+    from rxlens.plans.queries import plan
+    from oracle_check import digest, spark_rows
+    want = digest(*spark_rows(plan(spark, sf_small).pairs(kind)))
+    sizes = plan(spark, sf_small).active.groupBy("dob").count().agg(F.expr("median(count)")).first()[0]
+    for block in (1, max(1, int(sizes / 2))):
+        assert digest(*spark_rows(plan(spark, sf_small, name_block=block).pairs(kind))) == want
+    counted = [sorted(map(tuple, plan(spark, sf_small, name_block=b).overlap_counts(kind).collect()))
+               for b in (1, ReportConfig.name_block)]
+    assert counted[0] == counted[1] and counted[0]
+
+
+def test_large_naive_groups_are_cut(spark, sf_small):
+    """Any split gives the same matches; with a third of all rows on one date no part is much over its size."""
+    from rxlens.operators.intervals import _large_groups, point_in_interval_join
+    from rxlens.plans.queries import plan
+    want = sorted(map(tuple, plan(spark, sf_small).naive_matches().collect()))
+    assert sorted(map(tuple, plan(spark, sf_small, split_rows=3).naive_matches().collect())) == want
+    rows = [(i, D1 if i % 3 == 0 else D2 + dt.timedelta(days=i), dt.date(2020, 1, 1 + i % 20)) for i in range(600)]
+    pts = spark.createDataFrame(rows, "i int, d date, at date")
+    ivs = spark.createDataFrame([(i, d, at, at + dt.timedelta(days=5)) for i, d, at in rows],
+                                "j int, e date, s date, t date")
+    join = lambda **o: point_in_interval_join(pts, ivs, [("d", "e")], "at", F.col("s"), F.col("t"), 30, **o)
+    plain = sorted((r["i"], r["j"]) for r in join().collect())
+    split = join(split_rows=40)
+    assert sorted((r["i"], r["j"]) for r in split.collect()) == plain
+    bucketed = pts.withColumn("_point_bucket", F.lit(1)), ivs.withColumn("_interval_bucket", F.lit(1))
+    hot = _large_groups(*bucketed, [("d", "e")], 40).collect()
+    assert [(r["_k0"], r["_rows"], r["_cols"]) for r in hot] == [(D1, 5, 5)]
+    assert _large_groups(*bucketed, [("d", "e")], 1000) is None
