@@ -10,6 +10,7 @@ with several readers of an extract land the extracts they use on first use
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -27,6 +28,7 @@ from rxlens.session import ensure_checkpoint_dir
 from rxlens.sources import csv, extracts, fixtures
 from rxlens.sources import schemas as S
 from rxlens.sources.fixtures import MONTH, MONTH_KEYS
+from rxlens.sources.landing import ExtractStore
 
 # The state rule set used by the extract query (fixed example values).
 AZ_RULES = Eligibility(include_refills=False, states=("AZ",),
@@ -179,8 +181,12 @@ def q_report_full_both(spark, sf_dir, **options):
 def q_report_from_tables(spark, sf_dir):
     """S6 end to end: base tables -> the month's extracts (E1-E8) -> full report."""
     cfg = config(eligibility=AZ_RULES, **MONTH)
+    tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "part", "supplier")]
+    folder = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
+    store = ExtractStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/rxlens-extracts/{folder}")
     inputs = land_extracts(fixtures.base_prescriptions(spark, sf_dir), fixtures.search_log(spark, sf_dir),
-                           fixtures.accounts(spark, sf_dir), cfg, active_dea_col="active_dea")
+                           fixtures.accounts(spark, sf_dir), cfg, active_dea_col="active_dea", store=store,
+                           sources=tables)
     return ReportPlan(inputs, cfg).report(full=True, overlap_type="both")
 
 

@@ -10,6 +10,8 @@ fine), the optional detail dumps, and returns the grand totals.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -22,6 +24,7 @@ from rxlens.plans.strategy import fits, small_side
 from rxlens.session import land
 from rxlens.sources import extracts
 from rxlens.sources.csv import CSV_RULES
+from rxlens.sources.landing import ExtractStore, period_name, source_fingerprint
 
 OVERLAP_COLUMNS = {"part": ("overlapping_rx_part",), "last": ("overlapping_rx_last",),
                    "both": ("overlapping_rx_part", "overlapping_rx_last")}
@@ -166,10 +169,21 @@ class ReportPlan:
 
 
 def land_extracts(prescriptions: DataFrame, search_log: DataFrame, accounts: DataFrame, cfg: ReportConfig,
-                  active_dea_col: str = "prescriber_dea") -> dict[str, DataFrame]:
-    """The five inputs of the period, from the base tables, landed for their several readers."""
+                  active_dea_col: str = "prescriber_dea", store: ExtractStore | None = None,
+                  sources: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The five inputs of the period, from the base tables, landed for their several readers.
+
+    With a ``store``, each extract goes to the folder of its period there and
+    is built again only if the files under ``sources`` or the parameters
+    changed; otherwise it is landed for this run alone.
+    """
     built = extracts.build_extracts(prescriptions, search_log, accounts, cfg, active_dea_col)
-    return {k: land(v, f"extract-{k}") for k, v in built.items()}
+    if store is None:
+        return {k: land(v, f"extract-{k}") for k, v in built.items()}
+    period = period_name(cfg.first_date, cfg.last_date)
+    mark = f"{source_fingerprint(store.spark, sources)} {cfg!r} {active_dea_col}"
+    mark = hashlib.sha256(mark.encode()).hexdigest()
+    return {k: store.land(k, period, mark, lambda v=v: v) for k, v in built.items()}
 
 
 def run_report(inputs: dict[str, DataFrame], cfg: ReportConfig, out_dir: str,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
 from rxlens.sources import extracts
+from rxlens.sources.landing import source_fingerprint
 
 # Fixed values of the fixture recipe.
 OPIOID_TEXT = "OPIOID AGONISTS"
@@ -188,7 +189,7 @@ def naive_rx(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bo
     return extracts.extract_naive_rx(base_prescriptions(spark, sf_dir, with_nulls), cfg)
 
 
-# (application, data folder, variant, name, period) -> landed frame
+# (application, data folder, fingerprint of its tables, variant, name, period) -> landed frame
 _LANDED: dict[tuple, DataFrame] = {}
 
 
@@ -206,6 +207,7 @@ class LandedInputs(MutableMapping):
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_nulls: bool):
         self._frames = {"users": users(spark, sf_dir)}
         self._spark, self._sf_dir, self._cfg, self._nulls = spark, sf_dir, cfg, with_nulls
+        self._mark: str | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -231,7 +233,10 @@ class LandedInputs(MutableMapping):
 
     def _land(self, name: str, period: tuple, build) -> DataFrame:
         from rxlens.session import land
-        key = (self._spark.sparkContext.applicationId, self._sf_dir.rstrip("/"), self._nulls, name, *period)
+        if self._mark is None:  # once per query: a rewritten table is landed again
+            folder = self._sf_dir.rstrip("/")
+            self._mark = source_fingerprint(self._spark, [f"{folder}/{t}.parquet" for t in BASE_TABLES])
+        key = (self._spark.sparkContext.applicationId, self._sf_dir.rstrip("/"), self._mark, self._nulls, name, *period)
         if key not in _LANDED:
             _LANDED[key] = land(build(), f"extract-{name}")
         return _LANDED[key]
@@ -246,6 +251,7 @@ def report_inputs(spark: SparkSession, sf_dir: str, cfg: ReportConfig, with_null
     return {"users": users(spark, sf_dir), **{k: _extract(k, base, cfg, with_nulls) for k in EXTRACTS}}
 
 
+BASE_TABLES = ("lineitem", "orders", "part")
 EXTRACTS = ("dispensations", "searches", "active_rx", "naive_rx")
 
 
