@@ -35,6 +35,14 @@ def _bucket(c: Column, days: int) -> Column:
     return F.floor(F.unix_date(c) / F.lit(float(days))).cast("long")
 
 
+def _any_large(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], limit: int) -> bool:
+    """Does any key hold more than ``limit`` rows?  If not, no bucket of it does, and nothing is exploded to count."""
+    def counted(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).count().where(F.col("count") > limit)
+
+    return not counted(points, [a for a, _ in on]).unionAll(counted(intervals, [b for _, b in on])).isEmpty()
+
+
 def _large_groups(pts: DataFrame, exploded: DataFrame, on: Sequence[tuple[str, str]], limit: int) -> DataFrame | None:
     """(_k0.., _bucket, _rows, _cols): parts of the groups with more than ``limit`` rows on a side; None without any.
 
@@ -109,7 +117,7 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
         exploded = exploded.withColumn(_IS, F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salt - 1).cast("long"))))
         cond = cond & (F.col(_PS) == F.col(_IS))
-    if split_rows is not None:
+    if split_rows is not None and _any_large(points, intervals, on, split_rows):
         hot = _large_groups(pts, exploded, on, split_rows)
         if hot is not None:
             pts = _in_parts(pts, hot, [a for a, _ in on] + [_PB], "_rows", "_cols", "_p")

@@ -139,10 +139,11 @@ class ReportPlan:
         return overlaps.overlap_counts(pairs, self.cfg, kind)
 
     def naive_matches(self, final: DataFrame | None = None) -> DataFrame:
-        return naive.naive_match(final if final is not None else self.final_core, self.naive_rx, self.cfg)
+        # counted before it is joined, so landed
+        return naive.naive_match(final if final is not None else self.final_shared, self.naive_rx, self.cfg)
 
     def naive_counts(self) -> DataFrame:
-        return naive.opioid_to_naive(self.final_core, self.naive_matches(), self.cfg)
+        return naive.opioid_to_naive(self.final_shared, self.naive_matches(), self.cfg)
 
     def report(self, full: bool | None = None, overlap_type: str | None = None,
                sort: bool = True) -> DataFrame:
