@@ -50,6 +50,8 @@ CONTEXT_CHARS = 48
 CONTEXT = r"((?:\S+\s+){0,2}\S*)$"
 MIN_SEEDS, MIN_SCORE = 5, 0.9
 # how patterns reach the mentions, by their counted number
+# positions are summed, and texts cut, in blocks of these sizes
+SCAN_BLOCK, CUT_CHARS = 128, 4096
 LITERAL_PATTERNS, BROADCAST_PATTERNS, SALTS = 1000, 100_000, 16
 
 
@@ -87,31 +89,54 @@ def _located(text: Column, pattern: str, extra=None) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def place(matches):
-        gaps = F.split(text, pattern, -1)
+        kind = "array<struct<value:string,start:int,end:int" + (",context:string>>" if extra else ">>")
 
-        def step(acc, i):
-            gap, m = acc["gaps"][i], matches[i]
-            start = acc["at"] + F.length(gap)
-            fields = [m.alias("value"), start.alias("start"), (start + F.length(m)).alias("end")]
-            if extra is not None:
-                fields.append(extra(gap).alias("context"))
-            return start, fields
+        def located(gaps):
+            # a match starts after the gaps up to it and the matches before it
+            moves = F.transform(matches, lambda m, i: F.length(gaps[i]) + F.when(
+                i > 0, F.length(matches[F.greatest(i - 1, F.lit(0))])).otherwise(0))
 
-        kind = "array<struct<value:string,start:int,end:int" + (",context:string>>" if extra else ">>")
-        zero = F.struct(F.lit(0).alias("at"), gaps.alias("gaps"), F.array().cast(kind).alias("out"))
+            def fields(starts, m, i):
+                out = [m.alias("value"), starts[i].alias("start"), (starts[i] + F.length(m)).alias("end")]
+                return F.struct(*out, *([] if extra is None else [extra(gaps[i]).alias("context")]))
 
-        def merge(acc, i):
-            start, fields = step(acc, i)
-            return F.struct((start + F.length(matches[i])).alias("at"), acc["gaps"].alias("gaps"),
-                            F.array_append(acc["out"], F.struct(*fields)).alias("out"))
+            return _let(_running(moves, lambda a, b: a + b),
+                        lambda starts: F.transform(matches, lambda m, i: fields(starts, m, i)))
 
-        return F.when(F.size(matches) > 0, F.aggregate(
-            F.sequence(F.lit(0), F.size(matches) - 1), zero, merge, lambda a: a["out"])) \
-            .otherwise(F.array().cast(kind))
+        return F.when(F.size(matches) > 0, _let(F.split(text, pattern, -1), located)).otherwise(F.array().cast(kind))
 
     return _let(found, place)
 
 
+def _later(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _running(values: Column, step) -> Column:
+    """Running totals under ``step`` (a sum or greatest, from 0) of an int array.
+
+    ``aggregate`` copies its state at every element, so totals are built in
+    blocks of ``SCAN_BLOCK`` and the blocks' own totals carried between them.
+    """
+    def build(items, first):
+        return F.aggregate(items, F.array(first), lambda acc, x: F.array_append(
+            acc, step(F.element_at(acc, -1), x)))
+
+    def over(items):
+        n_blocks = F.floor((F.size(items) + SCAN_BLOCK - 1) / SCAN_BLOCK).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda k: F.slice(
+            items, k * SCAN_BLOCK + 1, F.lit(SCAN_BLOCK)))
+
+        def carried(blocks):
+            totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), step))
+            return _let(build(totals, F.lit(0)), lambda before: F.flatten(F.transform(
+                blocks, lambda b, k: F.slice(build(b, before[k]), F.lit(2), F.size(b)))))
+
+        return F.when(F.size(items) > 0, _let(cut, carried)).otherwise(F.array().cast("array<int>"))
+
+    return _let(values, over)
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """kind -> array of (value, start, end) of the valid matches."""
     gate = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
@@ -154,14 +179,37 @@ def find(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
                   F.struct(base.alias("base"), F.col("_op5_tokens").alias("tokens")))
     staged = staged.drop("_op5_tokens", *[f"_op5_{k}" for k in PATTERNS])
 
-    def flag(m):
-        inside = F.exists("_op5_found.base", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
+    def flag(m, inside):
         return F.struct(m["value"].alias("value"), m["start"].alias("start"), m["end"].alias("end"),
                         m["context"].alias("context"), inside.alias("inside"),
                         (inside | m["value"].rlike(SECRET)).alias("seed"))
 
+    flagged = _let(_touched(F.col("_op5_found.tokens"), F.col("_op5_found.base")), lambda inside: F.transform(
+        "_op5_found.tokens", lambda m, i: flag(m, inside[i])))
     return once(staged, into, F.struct(F.col("_op5_found.base").alias("base"),
-                                       F.transform("_op5_found.tokens", flag).alias("mentions"))).drop("_op5_found")
+                                       flagged.alias("mentions"))).drop("_op5_found")
+
+
+def _touched(tokens: Column, base: Column) -> Column:
+    """Of each token (in order, disjoint): does it overlap a base span?
+
+    The furthest end of the base spans that start before the token's end lies
+    behind its start.  Tokens (at their ends) and base spans (at their starts)
+    are sorted into one list, whose running greatest end answers for all.
+    """
+    def event(at, order, end, start):
+        return F.struct(at.alias("at"), F.lit(order).alias("order"), end.alias("end"), start.alias("start"))
+
+    asked = F.transform(tokens, lambda m: event(m["end"], 0, F.lit(0), m["start"]))
+    held = F.transform(base, lambda s: event(s["start"], 1, s["end"], F.lit(0)))
+
+    def answer(events):
+        return _let(_running(F.transform(events, lambda e: e["end"]), _later), lambda ends: F.transform(
+            F.filter(F.arrays_zip(events.alias("e"), ends.alias("far")), lambda x: x["e"]["order"] == 0),
+            lambda x: x["far"] > x["e"]["start"]))
+
+    return F.when(F.size(base) > 0, _let(F.sort_array(F.concat(asked, held)), answer)).otherwise(
+        F.transform(tokens, lambda m: F.lit(False)))
 
 
 def _typed(order: int):
@@ -266,17 +314,29 @@ def span_text(spans: Column) -> Column:
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with every span, or run of overlapping spans, replaced by its first kind in brackets."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        fresh = F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                                             names[s["kind"]]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(ordered, zero, step, lambda a: F.concat(
-        F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
+
+    def cut(parts, a, b):
+        """Characters a to b: the text is in parts of CUT_CHARS, of which only the first and last are searched."""
+        p, q = (F.floor(x / CUT_CHARS).cast("int") for x in (a, b))
+        inside = F.substring(F.coalesce(F.get(parts, p), F.lit("")), a - p * CUT_CHARS + 1, b - a)
+        across = F.concat(F.substring(F.get(parts, p), a - p * CUT_CHARS + 1, F.lit(CUT_CHARS)),
+                          F.array_join(F.slice(parts, p + 2, F.greatest(q - p - 1, F.lit(0))), ""),
+                          F.substring(F.coalesce(F.get(parts, q), F.lit("")), F.lit(1), b - q * CUT_CHARS))
+        return F.when(p == q, inside).otherwise(across)
+
+    def joined(parts, marks, ends):
+        # before[i]: the furthest end of the spans before i; a span that starts behind it opens a run
+        def piece(s, i):
+            before = F.when(i > 0, ends[F.greatest(i - 1, F.lit(0))]).otherwise(0)
+            return F.when(s["start"] >= before, F.concat(cut(parts, before, s["start"]), names[s["kind"]])).otherwise("")
+
+        return F.concat(F.array_join(F.transform(marks, piece), ""),
+                        cut(parts, F.element_at(ends, -1), F.length(text)))
+
+    done = _let(ordered, lambda marks: _let(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT_CHARS}}}"), F.lit(0)), lambda parts: _let(
+            _running(F.transform(marks, lambda s: s["end"]), _later), lambda ends: joined(parts, marks, ends))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 

@@ -263,3 +263,44 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
     odd = spark.createDataFrame([(None, None, None), (1, None, "a b")], "doc_id long, source string, text string")
     assert mixing.mix(odd, mixing.word_count(text_or_empty("text"))).count() == 2
+
+
+def test_a_text_of_many_matches(spark):
+    """Spans, overlaps and redaction of a long log equal plain Python, in steps linear in its matches."""
+    lines = [f"é host 10.{i % 250}.{i // 250 % 250}.{i % 99} u{i}@ex.org +1 555 010 {i % 9000 + 1000} 10.0.0.{i % 300}@a.bc"
+             for i in range(4000)]
+    lines[1000:1000] = ["plain words without any match " * 700]
+    text = "\n".join(lines)
+    df = spark.createDataFrame([(1, text), (2, "none"), (3, "")], "doc_id long, text string")
+    found = pii.find(df).where("doc_id = 1").select(pii.span_text(F.col("pii.base")).alias("s"), "pii.mentions").first()
+    assert found["s"] == plain_spans(text)
+    base = [tuple(map(int, s.split(":")[1:])) for s in found["s"].split(",")]
+    covered = bytearray(len(text))
+    for a, b in base:
+        covered[a:b] = b"\x01" * (b - a)
+    assert len(found["mentions"]) > 8000
+    for m in found["mentions"]:
+        assert m["inside"] == any(covered[m["start"]:m["end"]]) and text[m["start"]:m["end"]] == m["value"]
+    spans = sorted({(a, b, k) for k, a, b in ((pii.KINDS.index(s.split(":")[0]), *map(int, s.split(":")[1:]))
+                                              for s in found["s"].split(","))})
+    out, at = [], 0
+    for a, b, k in spans:
+        if a >= at:
+            out += [text[at:a], f"[{pii.KINDS[k].upper()}]"]
+        at = max(at, b)
+    want = "".join(out) + text[at:]
+    made = spark.createDataFrame([(text, [(k, a, b) for a, b, k in spans]), ("x", [])],
+                                 "text string, spans array<struct<kind:int,start:int,end:int>>")
+    assert [r[0] for r in made.select(pii.redact(F.col("text"), F.col("spans"))).collect()] == [want, "x"]
+
+
+@pytest.mark.parametrize("size", [1, 5, 4095, 4096, 4097, 8192, 9000])
+def test_redaction_at_the_edges_of_text_parts(spark, size):
+    text = "aé😀\n"[:size] if size < 4 else ("aé😀\n" * size)[:size]
+    spots = sorted({0, 1, size // 2, 4095, 4096, 8191, 8192, size - 1})
+    spans = [(3, a, a + 1) for a in spots if a < size]
+    want, at = "", 0
+    for _, a, b in spans:
+        want, at = want + text[at:a] + "[PHONE]", b
+    df = spark.createDataFrame([(text, spans)], "text string, spans array<struct<kind:int,start:int,end:int>>")
+    assert df.select(pii.redact(F.col("text"), F.col("spans"))).first()[0] == want + text[at:]
