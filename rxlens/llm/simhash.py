@@ -33,6 +33,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -107,6 +108,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return narrow.mapInArrow(run, f"`{id_col}` {kind}, fp long")
 
 
+def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, into: str) -> DataFrame:
+    """``docs`` with a column ``into`` of fingerprints (signed longs)."""
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(fingerprints_of(pa.array(texts, pa.string(), from_pandas=True), shingle).view(np.int64))
+
+    arrow_conf(docs.sparkSession)
+    return docs.withColumn(into, fp(F.col(text_col).cast("string")))
+
+
 # --------------------------------------------------------------- covering code
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -299,6 +310,12 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(id_col, fp long, component_id): every row of ``docs`` with its fingerprint and component."""
+    return grouped(docs, id_col, text_col, shingle, max_bits).select(id_col, "fp", "component_id")
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``near_duplicates`` with the group's own key ``root`` (a fingerprint; ids may repeat in other groups)."""
     marked = land(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     own = land(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-distinct")
     linked = components(links(own.select("fp"), max_bits)).withColumnRenamed("node", "fp")
@@ -308,15 +325,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = (own.select(F.col("fp").alias("root"), "first_id").join(first, "root")
              .select("root", F.least("first_id", "least_id").alias("component_id")))
     by_fp = (rooted.join(roots, "root", "left")
-             .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    return marked.join(by_fp, "fp").select(id_col, "fp", "component_id")
+             .select("fp", F.coalesce("component_id", "first_id").alias("component_id"), "root"))
+    return marked.join(by_fp, "fp").select(id_col, "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id (rows with a null id stay)."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one document of each group: the one with the smallest id (rows with a null id stay).
+
+    Where an id repeats, its rows are told apart by their fingerprints: of a
+    group's rows with the smallest id the one of the smallest fingerprint
+    stays, so rows of one id with different texts in different groups all do.
+    """
+    found = land(grouped(docs, id_col, text_col, shingle, max_bits)
+                 .select(F.col(id_col).alias("_op9_id"), "fp", "component_id", "root"), "simhash-grouped")
+    named = found.where(F.col("_op9_id").isNotNull())
+    stay = land(named.where(F.col("_op9_id") == F.col("component_id")).groupBy("root")
+                .agg(F.min(F.struct("_op9_id", "fp")).alias("r")).select("r._op9_id", F.col("r.fp").alias("_op9_fp")),
+                "simhash-stay")
+    repeated = land(named.groupBy("_op9_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_op9_id"),
+                    "simhash-repeated")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.withColumn("_op9_id", F.col(id_col))
+    kept = (own.join(stay.join(repeated, "_op9_id", "left_anti"), "_op9_id", "left_semi").select(*columns)
+            .unionByName(docs.where(F.col(id_col).isNull())))
+    if repeated.isEmpty():
+        return kept
+    twice = own.join(repeated.join(stay, "_op9_id", "left_semi"), "_op9_id", "left_semi")
+    marked = with_fingerprints(twice, text_col, shingle, "_op9_fp")
+    chosen = marked.join(stay, ["_op9_id", "_op9_fp"], "left_semi").dropDuplicates(["_op9_id", "_op9_fp"])
+    return kept.unionByName(chosen.select(*columns))
