@@ -6,7 +6,8 @@ block in memory.  Within a block every piece has an estimated cost (linear in
 its length plus quadratic attention inside the piece).  Whole multiples of the
 sequence length are cut off long documents as sequences of their own; the
 remainders, in descending order of cost, go to the sequence of lowest cost
-with room for them, or are cut to fill the cheapest one that has any room.
+among all with room for them (open sequences are kept by free tokens), or, if
+none has, are cut to fill the cheapest one that has any room.
 The sequences of a block have exactly the capacity of its tokens: full ones,
 and for the rest sequences of power-of-two lengths, so nothing is padded.
 
@@ -14,7 +15,9 @@ Sequence ids are (partition << 40) + a counter.  A task that is run again packs
 documents into a complete set of sequences by itself.
 
 Chunks of text already seen come from a bounded cache; the ids are those of
-encoding the whole text.
+encoding the whole text.  The strings of special tokens (``<|endoftext|>``) in
+a text are ordinary text, as the description of the vocabulary files has it;
+with ``special_tokens=True`` they become the special ids.
 
 Defined results: a null or empty text is one piece holding the end id; null
 ids are kept; repeated rows are packed each; an empty table gives no pieces.
@@ -40,7 +43,6 @@ CAPACITY = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 22
 LINEAR_COST, QUADRATIC_COST = 1.0, 1.0 / 1024
-TRIES = 16
 CACHE_CHUNKS = 300_000
 
 
@@ -82,13 +84,17 @@ class ChunkEncoder:
     file's merges as ranks (the same ids, several times as fast), or by the
     tokenizer itself if its ids are not ranks.
     """
-    _by_path: dict[str, ChunkEncoder] = {}
+    _by_path: dict[tuple[str, bool], ChunkEncoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        self.special: list[str] = []
+        if special_tokens:
+            self.marking = Tokenizer.from_file(path)
+            self.special = [t.content for t in self.marking.get_added_tokens_decoder().values()]
         ranks = _byte_ranks(path)
         if ranks is None:
             self.one = lambda text: self.model.encode(text, add_special_tokens=False).ids
@@ -102,10 +108,11 @@ class ChunkEncoder:
         self.loose: set[str] = set()
 
     @classmethod
-    def of(cls, path: str) -> ChunkEncoder:
-        if path not in cls._by_path:
-            cls._by_path[path] = cls(path)
-        return cls._by_path[path]
+    def of(cls, path: str, special_tokens: bool = False) -> ChunkEncoder:
+        key = (path, special_tokens)
+        if key not in cls._by_path:
+            cls._by_path[key] = cls(path, special_tokens)
+        return cls._by_path[key]
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self.one(text), "<u4").tobytes()
@@ -180,8 +187,14 @@ class ChunkEncoder:
             empty = np.bincount(np.repeat(np.arange(len(n_chunks)), n_chunks)[(np.array(chunks) == "")[code]],
                                 minlength=len(n_chunks))
             whole |= empty > 1
-        return [np.array([*self.one(texts[i].as_py()), END_ID], "<u4") if whole[i] else moved[a:b]
-                for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))]
+        out = [np.array([*self.one(texts[i].as_py()), END_ID], "<u4") if whole[i] else moved[a:b]
+               for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))]
+        marked = np.zeros(len(out), bool)
+        for content in self.special:
+            marked |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(marked):
+            out[i] = np.array([*self.marking.encode(texts[i].as_py(), add_special_tokens=False).ids, END_ID], "<u4")
+        return out
 
 
 def capacities(tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -206,20 +219,25 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
             tails.append((total % capacity, d, whole * capacity))
     room = capacities(sum(t[0] for t in tails), capacity)
     used = [0] * len(room)
-    open_ = [(0.0, i) for i in range(len(room))]
+    # the open sequences by their free tokens: a heap of (cost, sequence) each, and the least cost of each heap
+    free: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+    for i, size in enumerate(room):
+        free[size].append((0.0, i))
+    least = np.array([h[0][0] if h else np.inf for h in free])
     tails.sort(key=lambda t: (-t[0], t[1]))
     for length, d, start in tails:
         while length:
-            tried = [heapq.heappop(open_) for _ in range(min(TRIES, len(open_)))]
-            at = next((k for k, (_, i) in enumerate(tried) if room[i] - used[i] >= length), 0)
-            spent, i = tried.pop(at)
-            for x in tried:
-                heapq.heappush(open_, x)
-            part = min(length, room[i] - used[i])
+            at = length + int(least[length:].argmin())
+            if least[at] == np.inf:  # none has room for all of it
+                at = 1 + int(least[1:].argmin())
+            spent, i = heapq.heappop(free[at])
+            least[at] = free[at][0][0] if free[at] else np.inf
+            part = min(length, at)
             pieces.append((d, start, part, n + i, used[i]))
             used[i] += part
-            if used[i] < room[i]:
-                heapq.heappush(open_, (spent + cost(part), i))
+            if part < at:
+                heapq.heappush(free[at - part], (spent + cost(part), i))
+                least[at - part] = free[at - part][0][0]
             start, length = start + part, length - part
     return pieces
 
@@ -228,14 +246,15 @@ SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset lon
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-                   capacity: int = CAPACITY, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                   capacity: int = CAPACITY, block_tokens: int = BLOCK_TOKENS,
+                   special_tokens: bool = False) -> DataFrame:
     """One row per piece: id, start, length, doc_tokens, sequence_id, offset, ids (uint32, little-endian)."""
     arrow_conf(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder.of(path)
+        encoder = ChunkEncoder.of(path, special_tokens)
         sequence = TaskContext.get().partitionId() << 40
         keys, ids, held = [], [], 0
 
