@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from rxlens.llm.common import arrow_conf, crc_mod, encoded_words, labelled_sample, land
 
 BUCKETS, DIMS, NONZERO, WINDOW = 8192, 32, 4, 2
+COUNT_ENTRIES = 1 << 22  # cells counted at once
 RARE = 1e-3  # a word of frequency p weighs RARE / (RARE + p)
 TRAIN_PER_CLASS = 8000
 HIDDEN, EPOCHS, RATE, DECAY = 32, 60, 3e-3, 1e-4
@@ -76,6 +77,11 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sign = _index_vectors()
+
+        def counted(held, signs):
+            return np.bincount(np.concatenate(held), weights=np.concatenate(signs),
+                               minlength=2 * BUCKETS * DIMS).astype(np.int64)
+
         cells = np.zeros(2 * BUCKETS * DIMS, np.int64)
         seen = np.zeros(2 * BUCKETS, np.int64)
         for b in batches:
@@ -83,14 +89,22 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 word, shape, _, counts, _ = buckets(b.column(0).slice(lo, 250))
                 seen += np.bincount(word, minlength=2 * BUCKETS) + np.bincount(shape, minlength=2 * BUCKETS)
                 owner = np.repeat(np.arange(len(counts)), counts)
+                # counted once for many words: a count costs a pass over all cells
+                held, signs, entries = [], [], 0
                 for gap in range(1, WINDOW + 1):
                     same = np.flatnonzero(owner[gap:] == owner[:-gap])
                     for x in (word, shape):  # a word meets words, a shape meets shapes, in both directions
                         left, right = x[same], x[same + gap]
                         for row, near in ((left, right), (right, left)):
                             for j in range(NONZERO):
-                                cells += np.bincount(row * DIMS + at[near, j], weights=sign[near, j],
-                                                     minlength=len(cells)).astype(np.int64)
+                                held.append(row * DIMS + at[near, j])
+                                signs.append(sign[near, j])
+                                entries += len(row)
+                                if entries >= COUNT_ENTRIES:
+                                    cells += counted(held, signs)
+                                    held, signs, entries = [], [], 0
+                if entries:
+                    cells += counted(held, signs)
         table = cells.reshape(-1, DIMS)
         keep = np.flatnonzero(seen)
         if len(keep):
@@ -180,9 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, table: np.ndarray, label: str = "q
           text_col: str = "text", per_class: int = TRAIN_PER_CLASS) -> dict[str, np.ndarray]:
     """The network, fitted on the pooled features of the bounded sample."""
     sample = labelled_sample(labels, label, HELD_MOD, HELD_VALUE, per_class, id_col)
-    rows = (docs.join(F.broadcast(sample), docs[id_col] == sample["_id"])
-            .select(F.col("_id").cast("string"), F.col("_y").cast("int"), F.col(text_col).cast("string").alias("_t"))
-            .dropDuplicates(["_id"]))
+    # private names first (other columns may have any name); of a repeated id the least text
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
+    rows = (own.join(F.broadcast(sample), "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
+            .select(F.col("_id").cast("string"), F.col("_y").cast("int"), "_t"))
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,9 +87,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
           per_class: int = TRAIN_PER_CLASS) -> DataFrame:
     """The model: (index long, weight double) of the weights that are not zero; index -1 is the bias."""
     sample = labelled_sample(labels, label, HELD_MOD, HELD_VALUE, per_class, id_col)
-    rows = (docs.join(F.broadcast(sample), docs[id_col] == sample["_id"])
-            .select(F.col("_id"), F.col("_y"), F.col(text_col).cast("string").alias("_t"))
-            .dropDuplicates(["_id"]))
+    # private names first (other columns may have any name); of a repeated id the least text
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
+    rows = own.join(F.broadcast(sample), "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
