@@ -259,3 +259,98 @@ def test_pipeline_stages(spark, sf_small):
     pieces = corpus_pipeline.run(spark, sf_small).toPandas()
     per = pieces.groupby("sequence_id")["length"].sum()
     assert per.max() <= 2048 and len(pieces)
+
+
+def test_special_tokens_become_their_ids_on_request():
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(packing.default_vocabulary())
+    encoder = packing.ChunkEncoder(packing.default_vocabulary(), special_tokens=True)
+    for t, ids in zip(ODD, encoder.encode(pa.array(ODD, pa.string()))):
+        assert ids.tolist() == [*model.encode(t or "", add_special_tokens=False).ids, packing.END_ID], repr(t)
+
+
+def test_remainders_go_to_the_cheapest_sequence_with_room():
+    rng = np.random.default_rng(3)
+    # many long remainders leave little room each, so the cheapest sequences have none for the next
+    lengths = [*rng.integers(1500, 2048, 300).tolist(), *rng.integers(1, 500, 900).tolist(), 5000, 0]
+    got = [p for p in packing.pack(lengths) if p[2] < packing.CAPACITY]
+    first = sum(n // packing.CAPACITY for n in lengths)
+    tails = sorted(((n % packing.CAPACITY, d, n - n % packing.CAPACITY) for d, n in enumerate(lengths)
+                    if n % packing.CAPACITY), key=lambda t: (-t[0], t[1]))
+    room = packing.capacities(sum(t[0] for t in tails))
+    spent, free, want = [0.0] * len(room), list(room), []
+    for length, d, start in tails:
+        while length:
+            fit = [i for i in range(len(room)) if free[i] >= length] or [i for i in range(len(room)) if free[i]]
+            i = min(fit, key=lambda i: (spent[i], free[i], i))
+            part = min(length, free[i])
+            want.append((d, start, part, first + i, room[i] - free[i]))
+            free[i] -= part
+            spent[i] += packing.cost(part)
+            start, length = start + part, length - part
+    assert got == want
+
+
+def test_no_text_is_lost_where_ids_repeat(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in ("alpha", "beta", "gamma"))
+    rows = [(3, a), (7, a), (7, b), (9, b), (7, c), (7, c), (1, b + " end"), (None, a), (20, "lonely words only here")]
+    df = spark.createDataFrame([(i, t, "x", 5) for i, t in rows], "doc_id long, text string, root string, fp int")
+    kept = sorted(((r["doc_id"] or 0, r["text"]) for r in simhash.drop_near_duplicates(df).collect()))
+    fp = {t: plain_fingerprint(t) for _, t in rows}
+    least_b = (1, b + " end") if int(np.bitwise_count(np.uint64(fp[b] ^ fp[b + " end"]))) <= 4 else None
+    want = [(0, a), (3, a), (7, c), (20, "lonely words only here")] + ([least_b] if least_b else [(1, b + " end"), (7, b)])
+    assert kept == sorted(want)
+    assert simhash.drop_near_duplicates(df).columns == df.columns
+
+
+@pytest.mark.parametrize("module", [toxicity, quality_net])
+def test_classifiers_ignore_other_columns_and_repeated_ids(spark, module):
+    docs, labels = corpus(spark, 240)
+    odd = docs.selectExpr("*", "1 as _id", "2 as _y", "3 as _t", "4 as score")
+    twice = odd.union(odd.where("doc_id < 50").withColumn("text", odd.text.substr(1, 40)))
+    # up to the last digits: a matrix product's rounding depends on the batch's rows
+    one, two = (sorted((repr(r["doc_id"]), round(r["score"], 9), r["predicted"]) for r in
+                       module.classify(twice.repartition(k), labels).collect()) for k in (1, 7))
+    assert one == two and len(one) == 292
+
+
+def test_ftrl_equals_the_plain_per_coordinate_form():
+    rng = np.random.default_rng(11)
+    bits, rows = 6, [np.unique(rng.integers(0, 64, rng.integers(0, 12))) for _ in range(80)]
+    y = (rng.random(80) < 0.4).astype(float)
+    weights, bias = toxicity.fit_ftrl(rows, y, bits=bits, epochs=3)
+    l1 = min(toxicity.L1_MOST, toxicity.L1_PER_ROW * min(y.sum(), 80 - y.sum()))
+    z, n = [0.0] * 65, [0.0] * 65
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * l1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+    order = np.random.default_rng(0)
+    for _ in range(3):
+        for k in order.permutation(80):
+            on = [*rows[k].tolist(), 64]
+            w = {i: weight(i) for i in on}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y[k]
+            for i in on:
+                s = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                z[i] += g - s * w[i]
+                n[i] += g * g
+    assert np.allclose([*weights, bias], [weight(i) for i in range(65)], atol=1e-9) and (weights != 0).any()
+
+
+def test_word_vectors_equal_plain_random_indexing(spark, monkeypatch):
+    monkeypatch.setattr(quality_net, "COUNT_ENTRIES", 500)
+    docs, _ = corpus(spark, 30)
+    at, sign = quality_net._index_vectors()
+    want = {}
+    for r in docs.collect():
+        word, shape, _, _, _ = quality_net.buckets(pa.array([r["text"]], pa.string()))
+        for x in (word, shape):
+            for i, b in enumerate(x):
+                v = want.setdefault(int(b), np.zeros(quality_net.DIMS, int))
+                for j in range(max(0, i - 2), min(len(x), i + 3)):
+                    if j != i:
+                        v[at[x[j]]] += sign[x[j]]
+    got = {r["bucket"]: np.array(r[2:]) for r in quality_net.word_vectors(docs).collect()}
+    assert got.keys() == want.keys() and all((got[k] == want[k]).all() for k in want)
