@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from rxlens.llm.common import arrow_conf, crc_mod, encoded_words, labelled_sample, land
 
 BUCKETS, DIMS, NONZERO, WINDOW = 8192, 32, 4, 2
-COUNT_ENTRIES = 1 << 22  # cells counted at once
+CACHE_FORMS = 300_000
+COUNT_WORDS = 1 << 18  # words whose neighbours are counted at once
 RARE = 1e-3  # a word of frequency p weighs RARE / (RARE + p)
 TRAIN_PER_CLASS = 8000
 HIDDEN, EPOCHS, RATE, DECAY = 32, 60, 3e-3, 1e-4
@@ -56,6 +57,18 @@ def _shape(word: bytes) -> bytes:
     return word[:24]
 
 
+# letters and digits reduced to classes: words of one reduced form share a shape
+CLASSES = bytes(97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
+_SEEN: dict[bytes, int] = {}  # a worker's shape buckets of reduced forms met before
+
+
+def _shape_bucket(form: bytes) -> int:
+    bucket = xxhash.xxh32_intdigest(_shape(form), 1) % BUCKETS + BUCKETS
+    if len(form) <= 64:
+        _SEEN[form] = bucket
+    return bucket
+
+
 def buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word bucket, shape bucket, bytes) of each word, words per text, distinct words per text."""
     codes, words, counts = encoded_words(texts, lower=False)
@@ -63,8 +76,12 @@ def buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         none = np.zeros(0, np.int64)
         return none, none, none, counts, np.zeros(len(counts), np.int64)
     digest = xxhash.xxh32_intdigest
-    word = np.fromiter((digest(w) for w in words), np.int64, len(words)) % BUCKETS
-    shape = np.fromiter((digest(_shape(w), 1) for w in words), np.int64, len(words)) % BUCKETS + BUCKETS
+    word = np.fromiter(map(digest, words), np.int64, len(words)) % BUCKETS
+    if len(_SEEN) > CACHE_FORMS:
+        _SEEN.clear()
+    get = _SEEN.get
+    forms = [w.translate(CLASSES) for w in words]
+    shape = np.fromiter((s if (s := get(x)) is not None else _shape_bucket(x) for x in forms), np.int64, len(words))
     size = np.fromiter(map(len, words), np.int64, len(words))
     owner = np.repeat(np.arange(len(counts)), counts)
     distinct = np.bincount(np.unique(owner * len(words) + codes) // len(words), minlength=len(counts))
@@ -77,34 +94,24 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sign = _index_vectors()
-
-        def counted(held, signs):
-            return np.bincount(np.concatenate(held), weights=np.concatenate(signs),
-                               minlength=2 * BUCKETS * DIMS).astype(np.int64)
-
-        cells = np.zeros(2 * BUCKETS * DIMS, np.int64)
-        seen = np.zeros(2 * BUCKETS, np.int64)
+        entry = 2 * at + (sign < 0)  # a cell's additions and subtractions are counted side by side
+        size = 2 * BUCKETS * DIMS
+        seen, cells = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * size, np.int64)
         for b in batches:
             for lo in range(0, b.num_rows, 250):
                 word, shape, _, counts, _ = buckets(b.column(0).slice(lo, 250))
-                seen += np.bincount(word, minlength=2 * BUCKETS) + np.bincount(shape, minlength=2 * BUCKETS)
                 owner = np.repeat(np.arange(len(counts)), counts)
-                # counted once for many words: a count costs a pass over all cells
-                held, signs, entries = [], [], 0
-                for gap in range(1, WINDOW + 1):
-                    same = np.flatnonzero(owner[gap:] == owner[:-gap])
-                    for x in (word, shape):  # a word meets words, a shape meets shapes, in both directions
-                        left, right = x[same], x[same + gap]
-                        for row, near in ((left, right), (right, left)):
-                            for j in range(NONZERO):
-                                held.append(row * DIMS + at[near, j])
-                                signs.append(sign[near, j])
-                                entries += len(row)
-                                if entries >= COUNT_ENTRIES:
-                                    cells += counted(held, signs)
-                                    held, signs, entries = [], [], 0
-                if entries:
-                    cells += counted(held, signs)
+                for x in (word, shape):  # a word meets words, a shape meets shapes, in both directions
+                    seen += np.bincount(x, minlength=2 * BUCKETS)
+                    for first in range(0, len(x), COUNT_WORDS):
+                        held = []
+                        for gap in range(1, WINDOW + 1):
+                            left = np.arange(first, min(first + COUNT_WORDS, len(x) - gap))
+                            left = left[owner[left] == owner[left + gap]]
+                            a, z = x[left], x[left + gap]
+                            held += [(row[:, None] * (2 * DIMS) + entry[near]).ravel() for row, near in ((a, z), (z, a))]
+                        cells += np.bincount(np.concatenate(held), minlength=2 * size)
+        cells = cells[::2] - cells[1::2]
         table = cells.reshape(-1, DIMS)
         keep = np.flatnonzero(seen)
         if len(keep):

@@ -340,7 +340,7 @@ def test_ftrl_equals_the_plain_per_coordinate_form():
 
 
 def test_word_vectors_equal_plain_random_indexing(spark, monkeypatch):
-    monkeypatch.setattr(quality_net, "COUNT_ENTRIES", 500)
+    monkeypatch.setattr(quality_net, "COUNT_WORDS", 70)
     docs, _ = corpus(spark, 30)
     at, sign = quality_net._index_vectors()
     want = {}
