@@ -47,6 +47,7 @@ BOILER_WORDS = ("ad ads adv advert advertisement advertising aside banner breadc
 LAYOUT_WORDS = "no not without has with"
 TEXT_WORDS = "entry post article story content"
 HEAD_WORDS = "header banner"
+HEADINGS = ("h1", "h2", "h3", "h4")
 (RAW, SKIPPED, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS, BOILER_WORDS, LAYOUT_WORDS, TEXT_WORDS,
  HEAD_WORDS) = (frozenset(x.split()) for x in (RAW, SKIPPED, INLINE, VOID, PARAGRAPH, BOILER_TAGS, CONTENT_TAGS,
                                                BOILER_WORDS, LAYOUT_WORDS, TEXT_WORDS, HEAD_WORDS))
@@ -58,26 +59,32 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 SKIP_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
-HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 HINT_SPLIT = re.compile(r"[^a-z]+")
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+# headings over reader comments
+COMMENT_HEAD = re.compile(r"(?:\d+ )?(?:(?:reader|user|your|all|latest) )?(?:comments?|replies|responses)(?: \(?\d+\)?)?:?"
+                          r"|(?:leave|post|add|write) a (?:comment|reply)|join the (?:discussion|conversation)", re.I)
 SPACE = re.compile(r"\s+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 # classifier weights (positive: content) and smoothness strengths
-W_BOILER, W_WEAK, W_CONTENT, W_HEADING = -8.0, -4.0, 4.0, 1.0
+W_BOILER, W_WEAK, W_CONTENT, W_HEADING, W_TITLE = -4.0, -1.2, 2.5, 1.0, 4.0
 W_LINKS, W_SHORT, W_LONG, W_SENTENCE, W_BIAS = -2.5, -0.6, 1.0, 0.6, 0.1
-S_ADJACENT, S_CONTAINER = 0.9, 0.5
+S_ADJACENT, S_CONTAINER, S_APART = 0.9, 0.5, 0.15
+# an element around this share of the page's text is a frame of the page, whatever its name
+FRAME_SHARE = 0.6
 # evidence of furniture: weak, a class word, a tag or hidden
 WEAK, WORD, TAG = 1, 2, 3
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "depth", "evidence")
+    __slots__ = ("tag", "parent", "depth", "own", "chars", "holds", "evidence")
 
-    def __init__(self, tag, parent, evidence):
-        self.tag, self.parent, self.evidence = tag, parent, evidence
+    def __init__(self, tag, parent, own):
+        self.tag, self.parent, self.own = tag, parent, own
         self.depth = parent.depth + 1 if parent else 0
+        self.chars, self.holds, self.evidence = 0, False, (0, False)
 
 
 def _word_level(name: str) -> int:
@@ -89,30 +96,51 @@ def _word_level(name: str) -> int:
     return WEAK if found <= HEAD_WORDS and words & TEXT_WORDS else WORD
 
 
-def _evidence(tag: str, attrs: str, inherited: tuple[int, bool]) -> tuple[int, bool]:
-    """(evidence of page furniture, inside article) of an element's children.
+def _own_evidence(tag: str, attrs: str) -> int:
+    """Evidence of page furniture in an element's name and attributes."""
+    found = TAG if tag in BOILER_TAGS else 0
+    if not attrs or tag in ("body", "html"):
+        return found
+    for m in ATTRIBUTE.finditer(attrs):
+        name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if (name == "hidden" or name == "style" and NO_DISPLAY.search(value)
+                or name == "aria-hidden" and value.strip().lower() == "true"):
+            return TAG
+        if name in ("class", "id", "role"):
+            found = max([found, *map(_word_level, CAMEL.sub("-", value).lower().split())])
+    return found
 
-    Class words of containers that hold an article are weak evidence against it.
+
+def _judge(nodes: list[_Node], found: list[tuple[str, _Node, int]]) -> None:
+    """``evidence`` of every element: (evidence of page furniture, inside article), its containers' included.
+
+    An element around an article, or around most of the page's text, is weak
+    evidence against what it holds, a form around most of the page none.  A heading such as "Comments" is a class
+    word of the container it opens.
     """
-    boiler, content = inherited
-    if tag in BOILER_TAGS:
-        boiler = TAG
-    if tag in CONTENT_TAGS:
-        content = True
-        if boiler == WORD:
-            boiler = WEAK
-    if attrs and tag not in ("body", "html"):
-        if HIDDEN.search(attrs):
-            boiler = TAG
-        for m in HINT.finditer(attrs):
-            value = CAMEL.sub("-", m.group(1) or m.group(2) or m.group(3) or "").lower()
-            boiler = max([boiler, *map(_word_level, value.split())])
-    return boiler, content
+    first = {}
+    for text, node, _ in found:
+        node.chars += len(text)
+        if node.parent is not None and first.setdefault(id(node.parent), node) is node and node.tag in HEADINGS \
+                and COMMENT_HEAD.fullmatch(text) and node.parent.tag not in ("body", "html", "") \
+                and node.parent.tag not in CONTENT_TAGS:
+            node.parent.own = max(node.parent.own, WORD)
+    for n in reversed(nodes):  # children come after their parents
+        if n.parent is not None:
+            n.parent.chars += n.chars
+            n.parent.holds |= n.holds or n.tag in CONTENT_TAGS and n.chars > 0
+    total = nodes[0].chars
+    for n in nodes[1:]:
+        boiler, content = n.parent.evidence
+        frame = n.chars > FRAME_SHARE * total
+        own = 0 if frame and n.tag == "form" else min(n.own, WEAK) if n.holds or frame else n.own
+        n.evidence = max(boiler, own), content or n.tag in CONTENT_TAGS
 
 
 def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
     """Text blocks in page order: (text, container element, characters inside links)."""
-    node = _Node("", None, (0, False))
+    node = _Node("", None, 0)
+    nodes = [node]
     out, buf, links, in_link, pos = [], [], 0, 0, 0
     unclosed = set()
 
@@ -178,26 +206,29 @@ def blocks_of(page: str) -> list[tuple[str, _Node, int]]:
         elif node.tag == "p":
             node = node.parent
         if tag not in VOID and not m.group("attrs").endswith("/"):
-            node = _Node(tag, node, _evidence(tag, m.group("attrs"), node.evidence))
+            node = _Node(tag, node, _own_evidence(tag, m.group("attrs")))
+            nodes.append(node)
     buf.append(page[pos:])
     flush()
+    _judge(nodes, out)
     return out
 
 
 def _cost(text: str, node: _Node, links: int) -> float:
     boiler, content = node.evidence
-    w = W_BIAS + (W_CONTENT if content else 0.0)
+    w = W_BIAS + (W_CONTENT if content and boiler <= WEAK else 0.0)
     if boiler == WEAK:
         w += W_WEAK
     elif boiler:
-        w += W_BOILER + (W_CONTENT + 2 if content and node.tag in ("h1", "h2") and _header_only(node) else 0.0)
+        title = content and (node.tag == "h1" and boiler == WORD or node.tag in ("h1", "h2") and _header_only(node))
+        w += W_BOILER + (W_TITLE if title else 0.0)
     density = min(1.0, links / len(text))
     w += W_LINKS * density
     n = len(text)
     w += W_SHORT if n < 30 else W_LONG if n >= 120 else 0.0
     if text[-1] in ".!?…\"'»”":
         w += W_SENTENCE
-    if node.tag in ("h1", "h2", "h3"):
+    if node.tag in HEADINGS:
         w += W_HEADING
     return w
 
@@ -216,7 +247,7 @@ def _header_only(node: _Node) -> bool:
 def _proximity(a: _Node, b: _Node) -> float:
     """Share of the DOM path two containers have in common (1: the same container or its paragraphs)."""
     if a.evidence != b.evidence:
-        return 0.15
+        return S_APART
     depth = max(a.depth, b.depth) or 1
     while a.depth > b.depth:
         a = a.parent

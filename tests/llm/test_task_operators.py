@@ -354,3 +354,48 @@ def test_word_vectors_equal_plain_random_indexing(spark, monkeypatch):
                         v[at[x[j]]] += sign[x[j]]
     got = {r["bucket"]: np.array(r[2:]) for r in quality_net.word_vectors(docs).collect()}
     assert got.keys() == want.keys() and all((got[k] == want[k]).all() for k in want)
+
+
+LINE = "The article goes on with a sentence that is long enough to be read as text."
+AROUND = '<nav><a href="/x">Home</a></nav>', "<footer>Copyright us</footer>"
+
+
+@pytest.mark.parametrize("frame", [
+    '<div style="overflow:hidden">{}</div>', '<div aria-hidden="false">{}</div>', '<div class="page-hidden-nav">{}</div>',
+    '<form id="aspnetForm">{}</form>', '<div class="search share">{}</div>', '<form><div data-hidden="1">{}</div></form>'])
+def test_frames_around_an_article_do_not_hide_it(frame):
+    article = f"<article><h1>A title</h1><p>{LINE}</p><p>Short one</p><p>{LINE}</p></article>"
+    want = f"A title\n{LINE}\nShort one\n{LINE}"
+    page = AROUND[0] + frame.format(article) + AROUND[1]
+    assert html_mincut.extract(page)[0] == want
+    styled = f'<article style="overflow: hidden"><div class="share-title"><h1>A title</h1></div><p>{LINE}</p></article>'
+    assert html_mincut.extract(AROUND[0] + styled + AROUND[1])[0] == f"A title\n{LINE}"
+
+
+def test_hidden_parts_and_unmarked_comments_go():
+    for attrs in ("hidden", 'style="color:red; display : none"', 'aria-hidden="true"'):
+        assert html_mincut.extract(f"<div {attrs}><p>{LINE}</p></div><article><p>{LINE}</p></article>")[0] == LINE, attrs
+    for head in ("Comments", "3 comments", "Leave a reply", "Reader comments (12)"):
+        page = f"<article><p>{LINE}</p></article><section><h3>{head}</h3><p>{LINE} {LINE} {LINE}</p></section>"
+        assert html_mincut.extract(page)[0] == LINE, head
+    inside = f'<article><p>{LINE}</p><aside><p>{LINE}</p></aside><div class="comments"><p>{LINE} {LINE}</p></div></article>'
+    assert html_mincut.extract(inside)[0] == LINE
+
+
+def test_a_form_around_the_whole_page_is_no_furniture():
+    body = f"<div><p>{LINE} {LINE}</p><p>{LINE} {LINE}</p></div>"
+    assert html_mincut.extract(f'<form id="f">{AROUND[0]}{body}</form>')[0] == "\n".join([f"{LINE} {LINE}"] * 2)
+
+
+def test_the_cut_decides_where_costs_alone_do_not():
+    """Unmarked blocks whose own cost has the wrong sign follow their neighbours."""
+    long = f"<p>{LINE} {LINE}</p>"
+    page = f"<div>{long}<p>But then</p>{long}</div>"
+    found = html_mincut.blocks_of(page)
+    assert [html_mincut._cost(*b) > 0 for b in found] == [True, False, True]
+    assert html_mincut.extract(page)[2] == 3
+    links = "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(6))
+    page = f"<div>{long}{long}</div><div><ul>{links}<li>More of it to be read here, quite a long one.</li>{links}</ul></div>"
+    found = html_mincut.blocks_of(page)
+    assert [html_mincut._cost(*b) > 0 for b in found].count(True) == 3
+    assert html_mincut.extract(page)[0] == "\n".join([f"{LINE} {LINE}"] * 2)
