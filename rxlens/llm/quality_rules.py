@@ -19,8 +19,7 @@ certified language; they are broadcast up to a counted ``BROADCAST_LANGS``
 rows, beyond that joined by a shuffle, the documents of a language salted.
 
 All of it runs as DataFrame expressions.  Repeated words are found per text by
-sorting (hash of three words, position) packed into one long: the position
-takes the low bits the text needs, the hash the rest.
+sorting (64-bit hash of three words, position) pairs.
 
 Defined results: a null or empty text has no words and fails the base rules
 (n_words < 50); a null language is a stratum of its own; labels with a null
@@ -86,20 +85,12 @@ def _let(value: Column, body) -> Column:
 
 def _repeat_words(words: Column, n: Column) -> Column:
     """Words that lie in a three-word window found twice or more in the text."""
-    bits = F.ceil(F.log2(n + F.lit(1))).cast("int")
 
-    def packed(b):
-        return F.sort_array(F.transform(
-            F.slice(words, 1, n - 2),
-            lambda x, i: F.expr("0L") + F.call_function("shiftleft", F.call_function(
-                "shiftright", F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)), b), b).bitwiseOR(i)))
-
-    def starts(s, b):
-        high = lambda v: F.call_function("shiftright", v, b)
-        flagged = F.filter(s, lambda v, i: (high(v) == high(F.get(s, i + 1))) | (
-            (i > 0) & (high(v) == high(F.get(s, F.greatest(i - 1, F.lit(0)))))))
-        mask = F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1
-        return F.sort_array(F.transform(flagged, lambda v: v.bitwiseAND(mask)))
+    def starts(s):
+        """Positions of the windows whose hash has a neighbour in the sorted list."""
+        flagged = F.filter(s, lambda v, i: (v["h"] == F.get(s, i + 1)["h"]) | (
+            (i > 0) & (v["h"] == F.get(s, F.greatest(i - 1, F.lit(0)))["h"])))
+        return F.sort_array(F.transform(flagged, lambda v: v["at"]))
 
     def covered(p):
         return F.aggregate(p, F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-3).cast("long").alias("last")),
@@ -109,9 +100,13 @@ def _repeat_words(words: Column, n: Column) -> Column:
     # most texts repeat no window: count the distinct ones first, sort only where some repeat
     windows = F.transform(F.slice(words, 1, n - 2),
                           lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
-    body = _let(bits, lambda b: _let(packed(b), lambda s: covered(starts(s, b))))
-    return (F.when(n < 4, F.lit(0).cast("long"))
-            .when(F.size(F.array_distinct(windows)) == n - 2, F.lit(0).cast("long")).otherwise(body))
+
+    def judged(h):
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("at"))))
+        return F.when(F.size(F.array_distinct(h)) == n - 2, F.lit(0).cast("long")).otherwise(
+            _let(placed, lambda s: covered(starts(s))))
+
+    return F.when(n < 4, F.lit(0).cast("long")).otherwise(_let(windows, judged))
 
 
 def _dup_lines(text: Column) -> Column:
