@@ -33,12 +33,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rxlens.llm.common import arrow_conf, land
 
@@ -110,12 +110,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, into: str) -> DataFrame:
     """``docs`` with a column ``into`` of fingerprints (signed longs)."""
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series(fingerprints_of(pa.array(texts, pa.string(), from_pandas=True), shingle).view(np.int64))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = fingerprints_of(b.column(b.num_columns - 1), shingle).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp)], names=b.schema.names)
 
     arrow_conf(docs.sparkSession)
-    return docs.withColumn(into, fp(F.col(text_col).cast("string")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    texts = docs.select(*columns, F.col(text_col).cast("string").alias(into))
+    return texts.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, LongType())]))
 
 
 # --------------------------------------------------------------- covering code
