@@ -43,7 +43,7 @@ CAPACITY = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 22
 LINEAR_COST, QUADRATIC_COST = 1.0, 1.0 / 1024
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 150_000
 
 
 def default_vocabulary() -> str:
