@@ -29,7 +29,9 @@ are first compared on parity bitmaps of about two bits a token (their distance
 never exceeds the symmetric difference, so no link is lost), then on the whole
 sets.  What is linked becomes one component.  After that all pairs of members of
 different components, in groups that hold several, are compared by their
-bitmaps inside the tasks, and by their whole sets where these leave a doubt.
+bitmaps inside the tasks, and by their whole sets where these leave a doubt:
+first each member and its nearest partner only, so that most of a large group
+is one component before the rest of its pairs is written.
 
 Defined results: a null, empty or white text is the empty set and links with
 nothing, not even its copies; fewer words than a shingle are one shingle; a row
@@ -61,6 +63,7 @@ ROUNDS = 4
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 2048
+NEAREST_ROUNDS = (True, False)    # whether only nearest partners are checked; the last round leaves none out
 
 Classes = dict[int, np.ndarray]   # k -> sorted token hashes
 
@@ -556,16 +559,18 @@ def _folded(bits: list[bytes], words: int) -> np.ndarray:
 
 
 def close_pairs(group: np.ndarray, n: np.ndarray, key: np.ndarray, label: np.ndarray, bits: list[bytes],
-                percent: int = PERCENT) -> np.ndarray:
+                percent: int = PERCENT, nearest: bool = False) -> np.ndarray:
     """Pairs (least key, greatest key) of different labels inside the groups that sizes and bitmaps don't rule out.
 
     Bitmaps are as long as the band of the set's size demands; each band is
-    compared with itself and with the next one, folded to its length.
+    compared with itself and with the next one, folded to its length.  With
+    ``nearest`` only the nearest such partner of each row is returned.
     """
     order = np.lexsort((n, group))
     group, n, key, label = group[order], n[order], key[order], label[order]
     words = np.array([len(bits[i]) for i in order]) // 8
     found = [np.zeros((0, 2), np.int64)]
+    best, partner = np.full(len(key), np.inf), np.arange(len(key))
     for w in np.unique(words):
         here = np.flatnonzero((words == w) | (words == 2 * w))
         rows = _folded([bits[order[i]] for i in here], int(w))
@@ -583,29 +588,42 @@ def close_pairs(group: np.ndarray, n: np.ndarray, key: np.ndarray, label: np.nda
                 u = x[lo:lo + max(1, (1 << 20) // int(w))]
                 total = m[u] + m[u + d]
                 apart = np.bitwise_count(rows[u] ^ rows[u + d]).sum(axis=1, dtype=np.int64)
-                u = u[apart <= total - 2 * -(-percent * total // (100 + percent))]
-                found.append(np.stack([np.minimum(k[u], k[u + d]), np.maximum(k[u], k[u + d])], axis=1))
+                close = apart <= total - 2 * -(-percent * total // (100 + percent))
+                u, share = u[close], apart[close] / total[close]
+                if not nearest:
+                    found.append(np.stack([np.minimum(k[u], k[u + d]), np.maximum(k[u], k[u + d])], axis=1))
+                    continue
+                for one, other in ((here[u], here[u + d]), (here[u + d], here[u])):
+                    better = share < best[one]
+                    best[one[better]], partner[one[better]] = share[better], other[better]
+    if nearest:
+        i = np.flatnonzero(partner != np.arange(len(key)))
+        j = partner[i]
+        found.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], axis=1))
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _other_pairs(met: DataFrame, labels: DataFrame, bits_of, percent: int) -> DataFrame:
-    """Pairs of different components that share a signature and that sizes and bitmaps don't rule out.
-
-    Only signatures met by several components take part, and of signatures
-    with the same members one.  Their members are compared inside the tasks,
-    by vectorised bitmap distances; large groups are cut to hash blocks that
-    are compared block against block.
-    """
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, n, key, label, blocks): signatures met by several components, of those with the same members one."""
     label = F.coalesce("root", "key").alias("label")
-    rows = land(met.join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "n", "key", label)
+    rows = land(rows.join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "n", "key", label)
                 .distinct(), "jaccard-labelled")
     whole = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("a"), F.max("label").alias("b"),
                                      F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("members"))
              .where("a <> b"))
     one = land(whole.groupBy("rows", "members").agg(F.min("sig").alias("sig"))
                .select("sig", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks")), "jaccard-mixed")
-    mixed = land(lookup(rows, one, ["sig"], "key"), "jaccard-mixed-rows")
-    bits = land(bits_of(mixed.select("key").distinct()), "jaccard-bits")
+    return land(lookup(rows, one, ["sig"], "key"), "jaccard-mixed-rows")
+
+
+def _close(mixed: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of different components that share a signature and that sizes and bitmaps don't rule out.
+
+    The members of a signature are compared inside the tasks, by vectorised
+    bitmap distances; large groups are cut to hash blocks that are compared
+    block against block.  With ``nearest`` a task returns at most one pair for
+    each of its rows.
+    """
     dealt = (lookup(mixed, bits.select("key", "bits"), ["key"], "sig")
              .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -617,7 +635,8 @@ def _other_pairs(met: DataFrame, labels: DataFrame, bits_of, percent: int) -> Da
 
         def judge(t: pa.Table):
             sig, lo, hi, n, key, label = (t.column(i).to_numpy().astype(np.int64) for i in range(6))
-            pairs = close_pairs(_starts(sig, lo, hi), n, key, label, t.column(6).to_pylist(), percent)
+            pairs = close_pairs(_starts(sig, lo, hi), n, key, label, t.column(6).to_pylist(), percent,
+                                nearest)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
@@ -655,8 +674,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     verify = Verifier(texts, own.where("id IS NOT NULL"), shingle, percent)
     pairs = land(_first_pairs(met), "jaccard-pairs")
     edges = verify.links(verify.near(pairs))
-    others = _other_pairs(met, components(edges), verify.bits, percent).join(pairs, ["a", "b"], "left_anti")
-    edges = edges.union(verify.links(land(others, "jaccard-others")))
+    mixed, bits, checked = met.select("sig", "n", "key"), None, pairs
+    for nearest in NEAREST_ROUNDS:
+        mixed = _mixed(mixed, components(edges))
+        bits = bits or land(verify.bits(mixed.select("key").distinct()), "jaccard-bits")
+        others = land(_close(mixed, bits, percent, nearest).join(checked, ["a", "b"], "left_anti"), "jaccard-others")
+        edges, checked = edges.union(verify.links(others)), checked.union(others)
     rooted = land(own.join(components(edges).withColumnRenamed("node", "key"), "key", "left")
                   .select("key", "id", F.coalesce("root", "key").alias("root")), "jaccard-rooted")
     least = rooted.groupBy("root").agg(F.min("id").alias("component"))

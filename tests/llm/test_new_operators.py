@@ -158,6 +158,49 @@ def test_components_equal_brute_force(spark, classes):
     assert got == components_by_hand(rows)
 
 
+def test_nearest_partners_are_some_of_the_close_pairs():
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if rng.random() > 0.02 else f"x{rng.random()}" for w in base) for _ in range(40)]
+    sets, by_hand = jaccard_join.shingle_sets(pa.array(texts)), sets_by_hand(texts)
+    n = len(texts)
+    label = np.arange(n) // 2
+    args = (np.zeros(n, np.int64), sets.sizes, np.arange(n), label, jaccard_join.bitmaps(sets))
+    every = {tuple(p) for p in jaccard_join.close_pairs(*args).tolist()}
+    near = {tuple(p) for p in jaccard_join.close_pairs(*args, nearest=True).tolist()}
+    links = {(i, j) for i in range(n) for j in range(i + 1, n) if label[i] != label[j]
+             and 5 * len(by_hand[i] & by_hand[j]) >= 4 * len(by_hand[i] | by_hand[j])}
+    assert links and links <= every                      # nothing that links is left out
+    assert near <= every and len(near) <= n              # at most one pair for each row
+    assert {i for p in near for i in p} == {i for p in every for i in p}
+
+
+def test_a_group_of_near_copies_writes_few_pairs(spark, monkeypatch):
+    rng, copies = random.Random(9), 60
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(w if rng.random() > 0.02 else f"x{rng.random()}" for w in base) for _ in range(copies)]
+    written = {}
+
+    def counted(df, name):
+        out = jaccard_join_land(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    jaccard_join_land = jaccard_join.land
+    monkeypatch.setattr(jaccard_join, "land", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_join.near_duplicates(df).collect())
+    by_hand = sets_by_hand(texts)
+    root = list(range(copies))
+    for i in range(copies):
+        for j in range(i):
+            if 5 * len(by_hand[i] & by_hand[j]) >= 4 * len(by_hand[i] | by_hand[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert got == [(i, len(by_hand[i]), root[i]) for i in range(copies)]
+    assert written["jaccard-others"] < copies * (copies - 1) / 4
+
+
 def test_join_of_an_empty_table(spark):
     assert jaccard_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
