@@ -59,7 +59,7 @@ PERCENT = 80                      # Jaccard threshold
 CLASS_ROWS = ((2, 64), (3, 4096))  # (k, sets a token must exceed)
 CLASS_TOKENS = 1 << 18
 GROUP_TOKENS = {2: 3, 3: 8}       # tokens a group has if the whole set is in the class
-ROUNDS = 4
+ROUNDS = 3
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 2048
