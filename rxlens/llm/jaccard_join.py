@@ -25,7 +25,7 @@ steer the cost: a frequent token left out is indexed like any other.
 Candidates.  Postings of a hot combination collapse inside each map task to one
 row per size band before they are shuffled.  A group is never emitted as pairs:
 each member is paired with a hub, and with its neighbour in size.  Candidates
-are first compared on parity bitmaps of about two bits a token (their distance
+are first compared on parity bitmaps of two to four bits a token (their distance
 never exceeds the symmetric difference, so no link is lost), then on the whole
 sets.  What is linked becomes one component.  After that all pairs of members of
 different components, in groups that hold several, are compared by their
@@ -63,7 +63,7 @@ ROUNDS = 3
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 GROUP_ROWS = 2048
-NEAREST_ROUNDS = (True, False)    # whether only nearest partners are checked; the last round leaves none out
+NEAREST_ROUNDS = (True, True, False)    # whether only nearest partners are checked; the last round leaves none out
 
 Classes = dict[int, np.ndarray]   # k -> sorted token hashes
 
@@ -441,8 +441,8 @@ def members(posted: DataFrame, percent: int = PERCENT) -> DataFrame:
 # ----------------------------------------------------------------- verification
 
 def bitmaps(sets: Sets) -> list[bytes]:
-    """Parity bitmaps: bit (token mod m) counts tokens modulo 2, m the power of two above 2n (64 at least)."""
-    bits = np.maximum(2 << np.frexp(np.maximum(sets.sizes, 1).astype(float))[1] - 1, 64).astype(np.int64)
+    """Parity bitmaps: bit (token mod m) counts tokens modulo 2, m the power of two above 2n and up to 4n (64 at least)."""
+    bits = np.maximum(4 << np.frexp(np.maximum(sets.sizes, 1).astype(float))[1] - 1, 64).astype(np.int64)
     base = np.cumsum(bits) - bits
     at = base[sets.row] + (sets.tokens & (bits[sets.row] - 1).astype(np.uint64)).astype(np.int64)
     packed = np.packbits(np.bincount(at, minlength=int(bits.sum())) & 1, bitorder="little").tobytes()
