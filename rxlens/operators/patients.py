@@ -39,6 +39,7 @@ from rxlens.plans.strategy import fits, small_side
 RARITY = {c: i for i, c in enumerate("QXZJVKWFYPBGUDMCHTOLSINREA ", start=1)}
 HEAD = 3           # characters that decide between the two cases
 MAX_COMBINATION = 6
+DATE_PART = 512    # left names of a birth date in one join key
 
 
 def rare_first(name: str) -> list[tuple]:
@@ -142,6 +143,78 @@ def _keyed(side: DataFrame, threshold: float, block: int, tag: str) -> DataFrame
     return made.select(*[F.col(c).alias(f"_{c}_{tag}") for c in made.columns])
 
 
+def patient_names(df: DataFrame, dob: str, name: str, **flags: Column) -> DataFrame:
+    """(_dob, _name, _rows) and whether any row has each flag, one row per patient; landed, since it has several readers.
+
+    Rows without a birth date or a name match nothing and are left out.
+    """
+    from rxlens.session import land
+    rows = df.filter(F.col(dob).isNotNull() & F.col(name).isNotNull())
+    named = rows.groupBy(F.col(dob).alias("_dob"), F.col(name).alias("_name")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(F.coalesce(v, F.lit(False))).alias(f"_{k}") for k, v in flags.items()])
+    return land(named, "patient-names")
+
+
+def shared_dates(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(_dob, _names_a, _rows_a, _names_b, _rows_b) of the birth dates on both sides of ``patient_names``."""
+    def counted(side: DataFrame, tag: str) -> DataFrame:
+        return side.groupBy("_dob").agg(F.count(F.lit(1)).alias(f"_names_{tag}"), F.sum("_rows").alias(f"_rows_{tag}"))
+
+    return counted(a, "a").join(counted(b, "b"), "_dob")
+
+
+def name_pairs(a: DataFrame, b: DataFrame, threshold: float, dates: DataFrame, block: int | None = None) -> DataFrame:
+    """Pairs of names with one birth date that score ``threshold``: ``_dob``, ``_left_name``, ``_right_name``, ``ratio``.
+
+    ``a`` and ``b`` come from ``patient_names`` with a ``live`` flag (pairs without a live patient are left out),
+    ``dates`` from ``shared_dates``; other birth dates are left out.  Names of a date are compared with each other,
+    at most ``DATE_PART`` of the left ones in a join key.  Given ``block``, dates with more names than that on a
+    side go through the index instead (where the threshold allows one).
+    """
+    from rxlens.session import land
+    hot = None
+    if block is not None and indexable(threshold):
+        names = F.greatest("_names_a", "_names_b")
+        hot = land(dates.where(names > block).select("_dob", names.alias("_rows")), "hot-dates")
+        dates = dates.where(names <= block)
+    met = _met_by_date(a, b, dates)
+    if hot is not None and not hot.isEmpty():
+        def of_hot(side: DataFrame) -> DataFrame:
+            return side.where(F.length("_name") > 0).drop("_rows").join(hot, "_dob").select("_dob", "_name", "_live", "_rows")
+        met = met.unionByName(_signed(_met_by_key(of_hot(a), of_hot(b), threshold, block)))
+    return _scored_names(met, threshold)
+
+
+def _met_by_date(a: DataFrame, b: DataFrame, dates: DataFrame) -> DataFrame:
+    """(_dob_a, _name_a, _name_b) of one birth date, of which one is live, and their signatures (made once a name)."""
+    parts = dates.select("_dob", F.ceil(F.col("_names_a") / F.lit(DATE_PART)).cast("int").alias("_parts"))
+    mine = F.pmod(F.xxhash64("_name"), F.col("_parts")).cast("int")
+    # an own number of partitions: few names in bytes may be many pairs, so they are not coalesced by their size
+    n = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = (a.join(parts, "_dob").select(F.col("_dob").alias("_dob_a"), F.col("_name").alias("_name_a"),
+                                         F.col("_live").alias("_live_a"), mine.alias("_part_a"),
+                                         name_signature(F.col("_name")).alias("_sig_a"))
+            .repartition(n, "_dob_a", "_part_a"))
+    right = (b.join(parts, "_dob").select(F.col("_dob").alias("_dob_b"), F.col("_name").alias("_name_b"),
+                                          F.col("_live").alias("_live_b"), name_signature(F.col("_name")).alias("_sig_b"),
+                                          F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part_b"))
+             .repartition(n, "_dob_b", "_part_b"))
+    met = left.join(right.hint("merge"), (F.col("_dob_a") == F.col("_dob_b")) & (F.col("_part_a") == F.col("_part_b"))
+                    & (F.col("_live_a") | F.col("_live_b")))
+    return met.select("_dob_a", "_name_a", "_name_b", "_sig_a", "_sig_b")
+
+
+def _signed(met: DataFrame) -> DataFrame:
+    return met.withColumns({"_sig_a": name_signature(F.col("_name_a")), "_sig_b": name_signature(F.col("_name_b"))})
+
+
+def _scored_names(met: DataFrame, threshold: float) -> DataFrame:
+    scored = score_candidates(met, "_name_a", "_name_b", F.lit(float(threshold)), keep=["_dob_a"],
+                              sigs=("_sig_a", "_sig_b"))
+    return scored.select(F.col("_dob_a").alias("_dob"), F.col("_name_a").alias("_left_name"),
+                         F.col("_name_b").alias("_right_name"), "ratio")
+
+
 def matched_names(left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str],
                   threshold: float, hot: DataFrame, block: int, live: tuple[Column, Column] | None = None) -> DataFrame:
     """Pairs of names with one of the ``hot`` birth dates that score ``threshold`` or more.
@@ -153,11 +226,7 @@ def matched_names(left: DataFrame, right: DataFrame, left_on: tuple[str, str], r
     match nothing; an empty side gives no pairs.
     """
     met = index_candidates(left, right, left_on, right_on, threshold, hot, block, live)
-    signed = met.withColumns({"_sig_a": name_signature(F.col("_name_a")), "_sig_b": name_signature(F.col("_name_b"))})
-    scored = score_candidates(signed, "_name_a", "_name_b", F.lit(float(threshold)), keep=["_dob_a"],
-                              sigs=("_sig_a", "_sig_b"))
-    return scored.select(F.col("_dob_a").alias("_dob"), F.col("_name_a").alias("_left_name"),
-                         F.col("_name_b").alias("_right_name"), "ratio")
+    return _scored_names(_signed(met), threshold)
 
 
 def index_candidates(left: DataFrame, right: DataFrame, left_on: tuple[str, str], right_on: tuple[str, str],
@@ -165,8 +234,11 @@ def index_candidates(left: DataFrame, right: DataFrame, left_on: tuple[str, str]
                      live: tuple[Column, Column] | None = None) -> DataFrame:
     """Distinct (_dob_a, _name_a, _name_b) that share an index key."""
     l_live, r_live = live or (None, None)
-    a = _keyed(_distinct(left, *left_on, l_live, hot), threshold, block, "a")
-    b = _keyed(_distinct(right, *right_on, r_live, hot), threshold, block, "b")
+    return _met_by_key(_distinct(left, *left_on, l_live, hot), _distinct(right, *right_on, r_live, hot), threshold, block)
+
+
+def _met_by_key(left: DataFrame, right: DataFrame, threshold: float, block: int) -> DataFrame:
+    a, b = _keyed(left, threshold, block, "a"), _keyed(right, threshold, block, "b")
     met = a.join(b, (F.col("_dob_a") == F.col("_dob_b")) & (F.col("_key_a") == F.col("_key_b"))
                  & (F.col("_live_a") | F.col("_live_b")), "inner")
     return met.select("_dob_a", "_name_a", "_name_b").distinct()
