@@ -13,6 +13,8 @@ placeholder, say) take another way: their names meet through a similarity
 index (``rxlens.operators.patients``) and are scored once per pair of patients,
 and prescriptions meet on (dob, matched name, time bucket).
 ``both`` runs ONE pass with the union interval and flags each pair for either rule.
+
+The credits per prescriber are counted without the pairs (``overlap_counts``).
 """
 
 from __future__ import annotations
@@ -23,9 +25,12 @@ from pyspark.sql import functions as F
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
 from rxlens.functions.similarity import name_signature
+from rxlens.operators.daily import day_rows, interval_days, sums_at
 from rxlens.operators.intervals import point_in_interval_join
 from rxlens.operators.match import score_candidates
-from rxlens.operators.patients import hot_dates, indexable, matched_names, split_hot
+from rxlens.operators.patients import (hot_dates, indexable, matched_names, name_pairs, patient_names, shared_dates,
+                                       split_hot)
+from rxlens.session import land
 
 SIDE_COLUMNS = ("final_id", "dea", "ahfs", "dob", "patient_name", "written_date", "filled_date",
                 "create_date", "rx_end")
@@ -133,45 +138,114 @@ def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
             .unionByName(_scored_before(hot_o, hot_b, cfg, kind, columns, live, live_sides, hot)))
 
 
-def _credits(pairs: DataFrame, cfg: ReportConfig, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """Explode each pair into its benzo side and opioid side, each with a
-    credit flag per rule; count per prescriber in one aggregation."""
-    sides = F.array(
-        F.struct(F.col("final_id").alias("fid"), *[v[0].alias(k) for k, v in rules.items()]),
-        F.struct(F.col("final_id_opi").alias("fid"), *[v[1].alias(k) for k, v in rules.items()]))
-    any_credit = F.lit(False)
-    for k in rules:
-        any_credit = any_credit | F.coalesce(F.col(k), F.lit(False))
-    # stated over the pairs too, so that it reaches the joins
-    credited = F.lit(False)
-    for side_b, side_o in rules.values():
-        credited = credited | F.coalesce(side_b, F.lit(False)) | F.coalesce(side_o, F.lit(False))
-    exploded = pairs.filter(credited).select(F.inline(sides)).filter(any_credit)
-    return exploded.groupBy(F.col("fid").alias("final_id")).agg(
-        *[F.count_if(F.col(k)).alias(k) for k in rules])
+RULE_COLUMNS = {"part": "overlapping_rx_part", "last": "overlapping_rx_last"}
 
 
-def _rule_flags(cfg: ReportConfig, kind: str) -> tuple[Column, Column]:
+def overlap_counts(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
+    """Per prescriber ``overlapping_rx_part`` and/or ``overlapping_rx_last``: the pairs of ``overlap_pairs``
+    credited to a side that wrote in the period, counted without meeting each other.
+
+    Names of a birth date meet first, once per pair of patients.  For a credited prescription x the pairs are those
+    prescriptions y of matching patients written inside the interval of x, plus those whose interval holds the
+    written date of x, less those that do both.  The first two are running sums over the days of a patient
+    (``operators.daily``).  Both hold only on one day, where intervals begin no earlier than the written date; those
+    that begin before it are met in pairs over the days between (``_twice``).
+    """
     first, last = lit_date(cfg.first_date), lit_date(cfg.last_date)
-    benzo_in = F.col("written_date").between(first, last)
-    opi_in = F.col("written_date_opi").between(first, last)
-    if kind == "part":
-        return benzo_in, opi_in
-    return (benzo_in & (F.col("written_date") > F.col("written_date_opi")),
-            opi_in & (F.col("written_date") < F.col("written_date_opi")))
-
-
-def overlap_counts(pairs: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
-    """Per prescriber ``overlapping_rx_part`` and/or ``overlapping_rx_last``."""
-    rules = {}
-    if kind in ("part", "both"):
-        b, o = _rule_flags(cfg, "part")
-        if kind == "both":
-            b, o = b & F.col("is_part"), o & F.col("is_part")
-        rules["overlapping_rx_part"] = (b, o)
-    if kind in ("last", "both"):
-        b, o = _rule_flags(cfg, "last")
-        if kind == "both":
-            b, o = b & F.col("is_last"), o & F.col("is_last")
-        rules["overlapping_rx_last"] = (b, o)
-    return _credits(pairs, cfg, rules)
+    rules = [k for k in RULE_COLUMNS if kind in (k, "both")]
+
+    def side(df: DataFrame) -> DataFrame:
+        rows = df.select("final_id", "dob", F.col("patient_name").alias("name"), "written_date",
+                         F.col("rx_end").alias("end"), *[_starts(cfg, k).alias(f"start_{k}") for k in rules])
+        return (rows.filter(F.col("dob").isNotNull() & F.col("name").isNotNull())
+                .withColumn("live", F.coalesce(F.col("written_date").between(first, last), F.lit(False))))
+
+    sides = [side(benzo), side(opioid)]
+    named = [patient_names(x, "dob", "name", live=F.col("live"), **{f"early_{k}": _early(k) for k in rules})
+             for x in sides]
+    names = land(name_pairs(*named, cfg.overlap_ratio, shared_dates(*named), cfg.name_block)
+                 .select("_dob", "_left_name", "_right_name"), "name-pairs")
+    back = names.select("_dob", F.col("_right_name").alias("_left_name"), F.col("_left_name").alias("_right_name"))
+    early = {k: not named[0].where(f"_early_{k}").unionAll(named[1].where(f"_early_{k}")).isEmpty() for k in rules}
+    counted = None
+    for x, y, pairs in ((*sides, names), (*sides[::-1], back)):
+        parts = [_credits(x, y, pairs, rules)] + [_twice(x, y, pairs, cfg, k, rules) for k in rules if early[k]]
+        for part in parts:
+            counted = part if counted is None else counted.unionByName(part)
+    columns = [RULE_COLUMNS[k] for k in rules]
+    total = counted.groupBy("final_id").agg(*[F.sum(c).alias(c) for c in columns])
+    return total.where(" OR ".join(f"{c} > 0" for c in columns))
+
+
+def _early(rule: str) -> Column:
+    return F.col(f"start_{rule}") < F.col("written_date")
+
+
+def _inside(rule: str) -> tuple[Column, Column]:
+    """The days on which a prescription counts for x if y is written on them: ``last`` credits the later writer."""
+    end, before = F.col("end"), F.date_sub("written_date", 1)
+    return F.col(f"start_{rule}"), end if rule == "part" else F.when(end < before, end).when(end >= before, before)
+
+
+def _active(rule: str) -> tuple[Column, Column]:
+    """The days on which y counts for x if x is written on them."""
+    start, after = F.col(f"start_{rule}"), F.date_add("written_date", 1)
+    return start if rule == "part" else F.when(start > after, start).when(start <= after, after), F.col("end")
+
+
+def _credits(x: DataFrame, y: DataFrame, names: DataFrame, rules: list[str]) -> DataFrame:
+    """(final_id, count per rule) of x: written inside, plus active when written, less both on one day (``part``)."""
+    day, one, minus = F.col("written_date"), F.lit(1), F.lit(-1)
+    # prescriptions that are written, begin and are active on one day
+    same = F.coalesce((F.col("start_part") <= day) & (F.col("end") >= day), F.lit(False)) if "part" in rules else None
+    events = [(day, {"written": one, **({"both": same.cast("long")} if same is not None else {})})]
+    sums = ["written"] + (["both"] if same is not None else [])
+    at_day: dict[str, Column] = {}
+    found = []
+    for k in rules:
+        events += interval_days(*_active(k), f"active_{k}")
+        sums.append(f"active_{k}")
+        at_day[f"active_{k}"] = one
+        lo, hi = _inside(k)
+        there = lo <= hi
+        before = {f"written_{k}": minus}
+        if k == "part":
+            on_day = F.coalesce(there & (lo == day), F.lit(False)).cast("long")
+            before["both"], at_day["both"] = on_day, -on_day
+        found += [(F.when(there, hi), {f"written_{k}": one}), (F.when(there, F.date_sub(lo, 1)), before)]
+    weights = [f"written_{k}" for k in rules] + [f"active_{k}" for k in rules] + (["both"] if same is not None else [])
+    found.append((day, at_day))
+    lookups = day_rows(x.filter("live"), ["dob", "name", "final_id"], found, weights)
+    lookups = lookups.withColumnsRenamed({w: f"times_{w}" for w in weights})
+    at = sums_at(lookups, day_rows(y, ["dob", "name"], events, sums), names, sums)
+    counts = []
+    for k in rules:
+        n = (F.col(f"times_written_{k}") * F.col("written") + F.col(f"times_active_{k}") * F.col(f"active_{k}"))
+        counts.append((n + F.col("times_both") * F.col("both") if k == "part" else n).alias(RULE_COLUMNS[k]))
+    return at.select("final_id", *counts)
+
+
+def _twice(x: DataFrame, y: DataFrame, names: DataFrame, cfg: ReportConfig, rule: str, rules: list[str]) -> DataFrame:
+    """-1 for each pair that ``_credits`` counts twice because an interval begins before its written date."""
+    (lo, hi), (start, end) = _inside(rule), _active(rule)
+    x = x.filter("live").select("final_id", "dob", "name", F.col("written_date").alias("x_day"), lo.alias("x_lo"),
+                                hi.alias("x_hi"), _early(rule).alias("x_early"))
+    y = y.select(F.col("dob").alias("y_dob"), F.col("name").alias("y_name"), F.col("written_date").alias("y_day"),
+                 start.alias("y_lo"), end.alias("y_hi"), _early(rule).alias("y_early"))
+    common = dict(bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
+    both = F.col("x_day").between(F.col("y_lo"), F.col("y_hi")) & F.col("y_day").between(F.col("x_lo"), F.col("x_hi"))
+    # y written from the beginning of x up to the day x is written
+    mine = (x.filter("x_early").join(names, (F.col("dob") == F.col("_dob")) & (F.col("name") == F.col("_left_name")))
+            .drop("_dob", "_left_name"))
+    upto = F.when(F.col("x_hi") < F.col("x_day"), F.col("x_hi")).otherwise(F.col("x_day"))
+    pairs = point_in_interval_join(y, mine, on=[("y_dob", "dob"), ("y_name", "_right_name")], point="y_day",
+                                   start=F.col("x_lo"), end=upto, **common).filter(both).select("final_id")
+    if rule == "part":  # for ``last``, y is written before x: none is left
+        theirs = (y.filter("y_early")
+                  .join(names, (F.col("y_dob") == F.col("_dob")) & (F.col("y_name") == F.col("_right_name")))
+                  .drop("_dob", "_right_name"))
+        upto = F.when(F.col("y_hi") < F.date_sub("y_day", 1), F.col("y_hi")).otherwise(F.date_sub("y_day", 1))
+        pairs = pairs.unionAll(
+            point_in_interval_join(x, theirs, on=[("dob", "y_dob"), ("name", "_left_name")], point="x_day",
+                                   start=F.col("y_lo"), end=upto, **common).filter(both).select("final_id"))
+    return pairs.select("final_id", *[F.lit(-1 if k == rule else 0).cast("long").alias(RULE_COLUMNS[k]) for k in rules])

@@ -135,8 +135,8 @@ class ReportPlan:
         return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep, credited_only)
 
     def overlap_counts(self, kind: str) -> DataFrame:
-        pairs = self.pairs(kind, keep=list(overlaps.CREDIT_COLUMNS), credited_only=True)
-        return overlaps.overlap_counts(pairs, self.cfg, kind)
+        benzo, opi = prepare.split_classes(self.active, self.cfg)
+        return overlaps.overlap_counts(benzo, opi, self.cfg, kind)
 
     def naive_matches(self, final: DataFrame | None = None) -> DataFrame:
         # counted before it is joined, so landed

@@ -151,3 +151,107 @@ def test_large_naive_groups_are_cut(spark, sf_small):
     hot = _large_groups(*bucketed, [("d", "e")], 40).collect()
     assert [(r["_k0"], r["_rows"], r["_cols"]) for r in hot] == [(D1, 5, 5)]
     assert _large_groups(*bucketed, [("d", "e")], 1000) is None
+
+
+DAY = dt.date(2024, 4, 10)
+JOHNS = [("JOHN", "SMITH"), ("JON", "SMITH"), ("MARY", "JONES"), ("JOHN", "SMYTH")]
+
+
+def odd_prescriptions(n, seed):
+    """Few patients and days; intervals that begin before, on and after the written date, empty ones, nulls, copies."""
+    import builders as B
+    rng = random.Random(seed)
+    day = lambda lo, hi: DAY + dt.timedelta(days=rng.randint(lo, hi))
+    rows = []
+    for _ in range(n):
+        written = day(-35, 35)
+        first, last = rng.choice(JOHNS)
+        row = list(B.active(dea=rng.choice(["AB1234567", "CD1234567"]), ahfs=rng.choice([B.OPI, B.BZD]), first=first,
+                            last=last, dob=rng.choice([D1, D1, D2]), written=written,
+                            filled=written + dt.timedelta(days=rng.choice([-6, -1, 0, 0, 1, 4])),
+                            create=written + dt.timedelta(days=rng.choice([-7, -1, 0, 1, 3])),
+                            days=rng.choice([-3, 0, 1, 8, 30])))
+        if rng.random() < 0.15:
+            row[rng.choice([3, 4, 6, 7, 8, 9])] = None
+        rows += [tuple(row)] * rng.choice([1, 1, 1, 2])
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["part", "last", "both"])
+@pytest.mark.parametrize("block", [1, ReportConfig.name_block])
+def test_counted_overlaps_are_those_of_the_pairs(spark, kind, block):
+    import builders as B
+    from rxlens.plans.report import ReportPlan
+    p = ReportPlan(B.inputs(spark, users=[B.user(1)], actives=odd_prescriptions(160, 5)),
+                   ReportConfig(name_block=block), land_stages=False)
+    pairs = p.pairs("both").where("is_part OR is_last").collect()
+    first, last = p.cfg.first_date, p.cfg.last_date
+    inside = lambda d: d is not None and first <= d <= last
+    want = {}
+    for r in pairs:
+        b, o = r["written_date"], r["written_date_opi"]
+        for rule in ("part", "last"):
+            if not r[f"is_{rule}"]:
+                continue
+            later = b is not None and o is not None
+            for who, mine, other in (("final_id", b, o), ("final_id_opi", o, b)):
+                if inside(mine) and (rule == "part" or (later and mine > other)):
+                    want[r[who], rule] = want.get((r[who], rule), 0) + 1
+    got = {(r["final_id"], k): r[f"overlapping_rx_{k}"] for r in p.overlap_counts(kind).collect()
+           for k in ("part", "last") if kind in (k, "both") and r[f"overlapping_rx_{k}"]}
+    assert got == {k: v for k, v in want.items() if kind in (k[1], "both")} and len(got) > 1
+
+
+def grown(spark, n, kind):
+    """One patient with ``n`` prescriptions that all meet: rows that the joins and windows put out."""
+    import builders as B
+    from rxlens.plans.report import ReportPlan
+    actives = [B.active(ahfs=(B.OPI, B.BZD)[i % 2], written=DAY + dt.timedelta(days=i % 7)) for i in range(n)]
+    disps = [B.disp(rx=i, written=DAY + dt.timedelta(days=i % 7)) for i in range(n)]
+    naives = [B.naive(filled=DAY - dt.timedelta(days=i % 60)) for i in range(n)]
+    p = ReportPlan(B.inputs(spark, users=[B.user(1)], actives=actives, disps=disps, naives=naives), ReportConfig())
+    return p.naive_matches() if kind == "naive" else p.overlap_counts("part")
+
+
+@pytest.mark.parametrize("kind", ["naive", "overlap"])
+def test_prescriptions_do_not_meet_in_pairs(spark, kind):
+    """No join of prescriptions by time is left in the naive match and the overlap counts."""
+    df = grown(spark, 60, kind)
+    plan_text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_point_bucket" not in plan_text and "_interval_bucket" not in plan_text
+    rows = df.collect()
+    assert len(rows) == 60 if kind == "naive" else rows[0]["overlapping_rx_part"] == 2 * 30 * 30
+
+
+def test_naive_match_is_the_same_both_ways(spark):
+    """Names first (the usual way) and times first give what a plain comparison gives; nulls and empty windows too."""
+    import builders as B
+    from rxlens.functions.similarity import jaro_winkler_scalar
+    from rxlens.operators import naive
+    from rxlens.plans.report import ReportPlan
+    rng = random.Random(9)
+    day = lambda lo, hi: DAY + dt.timedelta(days=rng.randint(lo, hi))
+    words = ["JOHN", "JON", "MARY", "MARIA", "X", ""]
+    name = lambda: (rng.choice(words), rng.choice(["SMITH", "SMYTH", "JONES", None]))
+    disps, naives = [], []
+    for i in range(120):
+        a, b = name(), name()
+        disps.append(B.disp(rx=i, first=a[0], last=a[1], dob=rng.choice([D1, D2, None]), written=day(-9, 19)))
+        start = day(-40, 19)
+        naives.append(B.naive(first=b[0], last=b[1], dob=rng.choice([D1, D2, None]), filled=start,
+                              end=start + dt.timedelta(days=rng.randint(-2, 4))))
+    cfg = ReportConfig()
+    text = lambda x: None if None in x else " ".join(x).upper()
+    want = sorted(d[2] for d in disps if d[11] is not None and text(d[4:6]) is not None and any(
+        n[1] == d[11] and text(n[2:4]) is not None and n[4] <= d[8] <= n[5]
+        and round(jaro_winkler_scalar(text(n[2:4]), text(d[4:6])), 9) >= cfg.naive_ratio for n in naives))
+    inputs = B.inputs(spark, users=[B.user(1)], disps=disps, naives=naives)
+    assert sorted(r["rx_number"] for r in ReportPlan(inputs, cfg).naive_matches().collect()) == want and want
+    slow = ReportPlan(inputs, cfg.with_(name_block=1)).naive_matches()
+    assert sorted(r["rx_number"] for r in slow.collect()) == want
+    pay = naive.names_pay
+    old, naive.names_pay = pay, lambda block: F.lit(False)
+    try:
+        assert sorted(r["rx_number"] for r in ReportPlan(inputs, cfg).naive_matches().collect()) == want
+    finally:
+        naive.names_pay = old
