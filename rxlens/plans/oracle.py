@@ -380,9 +380,10 @@ def period_statements(cfg: ReportConfig | None = None, with_nulls: bool = False,
             "SELECT DISTINCT prescriber_dea AS raw_dea, n AS prescriber_dea, regexp_full_match(n, "
             f"{DEA_RE}) AS valid FROM (SELECT prescriber_dea, regexp_replace(upper(prescriber_dea), {WS}, '', 'g') "
             "AS n FROM disp_extract)"),
-        "search_window": (f"SELECT * FROM search_extract WHERE created_date BETWEEN "
-                          f"{_d(MONTH['first_date'] - dt.timedelta(days=cfg.days_before))} "
-                          f"AND {_d(MONTH['last_date'] + dt.timedelta(days=1))}"),
+        "search_window": "SELECT * FROM cand",
+        "search_scan_month": (f"SELECT * FROM search_extract WHERE created_date BETWEEN "
+                              f"{_d(MONTH['first_date'] - dt.timedelta(days=cfg.days_before))} "
+                              f"AND {_d(MONTH['last_date'] + dt.timedelta(days=1))}"),
         "search_match": "SELECT * FROM matched",
         "final_dispensations": "SELECT * FROM final",
         "prescriber_rates": f"SELECT {RATE_SELECT} FROM rates",

@@ -101,3 +101,23 @@ def test_single_extract_queries_start_no_job(spark, sf_small):
     for key in ("users", "users_explode", "dispensations", "active_rx", "naive_rx"):
         Q.QUERIES[key](spark, sf_small)
     assert set(fixtures._LANDED) == before
+
+
+def test_search_window_pairs_every_search_with_its_dispensations(spark, tmp_path):
+    """Pairs over the whole range, also outside the report month, and names that will not match; not a scan of searches."""
+    import datetime as dt
+    from rxlens.plans.queries import CANDIDATE_COLUMNS, QUERIES
+    days = [dt.datetime(1996, 3, 1), dt.datetime(1996, 3, 3), dt.datetime(1998, 4, 10)]
+    tables = {
+        "lineitem": ([(k, 12, 3, 2 if k == 1 else 1, 10.0, "R") for k in (1, 2, 5)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string"),
+        "orders": ([(k, 7, d) for k, d in zip((1, 2, 5), days)], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "part": ([(7, "JOHN SMITH")], "p_partkey long, p_name string"),
+        "supplier": ([(3, "S3", 1)], "s_suppkey long, s_name string, s_nationkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = QUERIES["search_window"](spark, str(tmp_path))
+    assert got.columns == list(CANDIDATE_COLUMNS)
+    # searches of orders 1, 2 and 5, two days after each: within [written - 7, written + 1] of orders 2 (from 1) alone
+    assert sorted((r["rx_number"], r["created_date"].isoformat()) for r in got.collect()) == [(21, "1996-03-03")]
