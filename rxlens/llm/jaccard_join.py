@@ -43,16 +43,19 @@ matter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlens.llm.common import arrow_conf, land, lookup
 from rxlens.llm.simhash import components
+from rxlens.session import ENGINE_CONF
 
 SHINGLE_WORDS = 5
 PERCENT = 80                      # Jaccard threshold
@@ -62,6 +65,7 @@ GROUP_TOKENS = {2: 3, 3: 8}       # tokens a group has if the whole set is in th
 ROUNDS = 3
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = "4MB"           # of a finished shuffle; bitmaps and whole sets are larger and stay in theirs
 GROUP_ROWS = 2048
 NEAREST_ROUNDS = (True, True, False)    # whether only nearest partners are checked; the last round leaves none out
 
@@ -276,6 +280,25 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+@contextmanager
+def bounded_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Small run-time broadcasts while the block runs its jobs, unless the session has a bound of its own.
+
+    The driver gathers, builds and serves each broadcast, several at a time;
+    both sides are shuffled when one is chosen, so little is saved by it.
+    """
+    name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name, None)
+    if before not in (None, ENGINE_CONF[name]):
+        yield
+        return
+    spark.conf.set(name, BROADCAST_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
@@ -664,26 +687,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = PERCENT, class_rows=CLASS_ROWS) -> DataFrame:
     """(id_col, n long, component_id): every row with the size of its set and its component's smallest id."""
     arrow_conf(docs.sparkSession)
-    texts = _texts(docs, id_col, text_col)
-    marked = land(keyed(texts, shingle), "jaccard-keyed")
-    own = land(marked.where("n > 0").groupBy("key").agg(F.min("id").alias("id")), "jaccard-distinct")
-    distinct = _only(texts, land(own.where("id IS NOT NULL").select("id").distinct(), "jaccard-first-ids"))
-
-    classes = token_classes(distinct, shingle, percent, class_rows)
-    met = land(members(postings(distinct, classes, shingle, percent), percent), "jaccard-members")
-    verify = Verifier(texts, own.where("id IS NOT NULL"), shingle, percent)
-    pairs = land(_first_pairs(met), "jaccard-pairs")
-    edges = verify.links(verify.near(pairs))
-    mixed, bits, checked = met.select("sig", "n", "key"), None, pairs
-    for nearest in NEAREST_ROUNDS:
-        mixed = _mixed(mixed, components(edges))
-        bits = bits or land(verify.bits(mixed.select("key").distinct()), "jaccard-bits")
-        others = land(_close(mixed, bits, percent, nearest).join(checked, ["a", "b"], "left_anti"), "jaccard-others")
-        edges, checked = edges.union(verify.links(others)), checked.union(others)
-    rooted = land(own.join(components(edges).withColumnRenamed("node", "key"), "key", "left")
-                  .select("key", "id", F.coalesce("root", "key").alias("root")), "jaccard-rooted")
-    least = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    by_key = land(lookup(rooted, least, ["root"], "key").select("key", "component"), "jaccard-components")
-    some = lookup(marked.where("n > 0"), by_key, ["key"], "id").select("id", "n", "component")
+    with bounded_broadcasts(docs.sparkSession):
+        texts = _texts(docs, id_col, text_col)
+        marked = land(keyed(texts, shingle), "jaccard-keyed")
+        own = land(marked.where("n > 0").groupBy("key").agg(F.min("id").alias("id")), "jaccard-distinct")
+        distinct = _only(texts, land(own.where("id IS NOT NULL").select("id").distinct(), "jaccard-first-ids"))
+
+        classes = token_classes(distinct, shingle, percent, class_rows)
+        met = land(members(postings(distinct, classes, shingle, percent), percent), "jaccard-members")
+        verify = Verifier(texts, own.where("id IS NOT NULL"), shingle, percent)
+        pairs = land(_first_pairs(met), "jaccard-pairs")
+        edges = verify.links(verify.near(pairs))
+        mixed, bits, checked = met.select("sig", "n", "key"), None, pairs
+        for nearest in NEAREST_ROUNDS:
+            mixed = _mixed(mixed, components(edges))
+            bits = bits or land(verify.bits(mixed.select("key").distinct()), "jaccard-bits")
+            others = land(_close(mixed, bits, percent, nearest).join(checked, ["a", "b"], "left_anti"), "jaccard-others")
+            edges, checked = edges.union(verify.links(others)), checked.union(others)
+        rooted = land(own.join(components(edges).withColumnRenamed("node", "key"), "key", "left")
+                      .select("key", "id", F.coalesce("root", "key").alias("root")), "jaccard-rooted")
+        least = rooted.groupBy("root").agg(F.min("id").alias("component"))
+        by_key = land(lookup(rooted, least, ["root"], "key").select("key", "component"), "jaccard-components")
+    # runs when the caller's session does: by its hint never as a broadcast of a row for each set
+    some = lookup(marked.where("n > 0"), by_key.hint("merge"), ["key"], "id").select("id", "n", "component")
     none = marked.where("n = 0").select("id", "n", F.col("id").alias("component"))
     return some.union(none).toDF(id_col, "n", "component_id")

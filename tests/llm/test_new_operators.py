@@ -12,6 +12,7 @@ import pytest
 pytest.importorskip("rxlens.llm")
 
 from rxlens.llm import fill_middle, jaccard_join, whitening  # noqa: E402
+from rxlens.session import ENGINE_CONF  # noqa: E402
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -205,6 +206,49 @@ def test_join_of_an_empty_table(spark):
     assert jaccard_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_join_broadcasts_stay_small(spark, monkeypatch):
+    bound, static = "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"
+    before = {k: spark.conf.get(k, None) for k in (bound, static)}
+    plans, kept = [], jaccard_join.land
+
+    def seen(df, name):
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))
+        return kept(df, name)
+
+    monkeypatch.setattr(jaccard_join, "land", seen)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", "-1", raising=False)
+    df = spark.createDataFrame(list(enumerate(near_texts(random.Random(6), 80))), "doc_id long, text string")
+    try:
+        spark.conf.set(static, "-1")
+        spark.conf.set(bound, ENGINE_CONF[bound])
+        out = jaccard_join.near_duplicates(df)
+        assert spark.conf.get(bound) == ENGINE_CONF[bound]
+        assert len(out.collect()) == 80
+        plans.append(("result", out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))
+        # ids of texts that are read again are broadcast by their count, which is bounded
+        assert [(n, x) for n, p in plans for x in re.findall(r"BroadcastHashJoin (?!\[(?:doc_)?id#).*", p)] == []
+        assert any("SortMergeJoin" in p for _, p in plans)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_sessions_own_broadcast_bound_holds(spark):
+    name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, "-1")
+        with jaccard_join.bounded_broadcasts(spark):
+            assert spark.conf.get(name) == "-1"
+        spark.conf.unset(name)
+        with jaccard_join.bounded_broadcasts(spark):
+            assert spark.conf.get(name) == jaccard_join.BROADCAST_BYTES
+        assert spark.conf.get(name, None) is None
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_hot_groups_collapse_before_the_shuffle():
     n = 10_000
     sig, size = np.zeros(n, np.int64), np.full(n, 100)
