@@ -18,7 +18,8 @@ that may meet partners of the band below is indexed for both.
 
 Classes are counted, not sampled: every round counts the tokens that the
 current prefixes bring into the index, over all distinct sets, and tokens of
-more than ``CLASS_ROWS`` sets change class; rounds end when none does, or after ROUNDS.  A class
+more than ``CLASS_ROWS`` sets change class; rounds end when none does, when those that
+did are a small share of the index, or after ROUNDS.  A class
 holds at most ``CLASS_TOKENS`` tokens, so it can be broadcast.  Classes only
 steer the cost: a frequent token left out is indexed like any other.
 
@@ -63,6 +64,7 @@ CLASS_ROWS = ((2, 64), (3, 4096))  # (k, sets a token must exceed)
 CLASS_TOKENS = 1 << 18
 GROUP_TOKENS = {2: 3, 3: 8}       # tokens a group has if the whole set is in the class
 ROUNDS = 3
+WORTH_A_ROUND = 0.01              # share of all postings that a round must move to classes for another pass over the texts
 FLUSH_POSTINGS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = "4MB"           # of a finished shuffle; bitmaps and whole sets are larger and stay in theirs
@@ -322,8 +324,8 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def token_classes(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: int = PERCENT,
-                  class_rows=CLASS_ROWS) -> Classes:
-    """The frequent classes among the tokens that prefixes bring into the index."""
+                  class_rows=CLASS_ROWS, posted: float = 0) -> Classes:
+    """The frequent classes among the (about ``posted``) tokens that prefixes bring into the index."""
     classes: Classes = {k: np.zeros(0, np.uint64) for k, _ in class_rows}
     before: Classes | None = None
     for _ in range(ROUNDS):
@@ -354,7 +356,7 @@ def token_classes(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: int =
         bounds = [*class_rows, (0, np.inf)]
         for (k, rows), (_, beyond) in zip(bounds, bounds[1:]):
             classes[k] = np.union1d(classes[k], token[(sets_of > rows) & (sets_of <= beyond)])
-        if sum(map(len, classes.values())) >= CLASS_TOKENS:
+        if sum(map(len, classes.values())) >= CLASS_TOKENS or sets_of.sum() < WORTH_A_ROUND * posted:
             break
     return classes
 
@@ -690,10 +692,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with bounded_broadcasts(docs.sparkSession):
         texts = _texts(docs, id_col, text_col)
         marked = land(keyed(texts, shingle), "jaccard-keyed")
-        own = land(marked.where("n > 0").groupBy("key").agg(F.min("id").alias("id")), "jaccard-distinct")
+        own = land(marked.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("n").alias("n")),
+                   "jaccard-distinct")
         distinct = _only(texts, land(own.where("id IS NOT NULL").select("id").distinct(), "jaccard-first-ids"))
 
-        classes = token_classes(distinct, shingle, percent, class_rows)
+        posted = (own.agg(F.sum("n")).first()[0] or 0) * (100 - percent) / 100  # a prefix has that share of a set
+        classes = token_classes(distinct, shingle, percent, class_rows, posted)
         met = land(members(postings(distinct, classes, shingle, percent), percent), "jaccard-members")
         verify = Verifier(texts, own.where("id IS NOT NULL"), shingle, percent)
         pairs = land(_first_pairs(met), "jaccard-pairs")
