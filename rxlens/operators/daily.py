@@ -14,6 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxlens.plans.strategy import fits, small_side
+
+MAX_BROADCAST_NAMES = 200_000  # pairs of names
+
 
 def day_rows(df: DataFrame, keep: Sequence[str], days: Sequence[tuple[Column, dict[str, Column]]],
              sums: Sequence[str]) -> DataFrame:
@@ -41,17 +45,29 @@ def merged(events: DataFrame, column: str) -> DataFrame:
     return turns.select("dob", "name", "day", turn.alias(column)).where(F.col(column) != 0)
 
 
-def sums_at(lookups: DataFrame, events: DataFrame, names: DataFrame, sums: Sequence[str]) -> DataFrame:
-    """``lookups`` with the ``sums`` of all events up to their day, of patients that match by ``names``.
+def of_matching(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` (with ``dob`` and ``name``) once for each name that they match, which becomes their ``name``.
+
+    ``names`` (``_dob``, ``_left_name``, ``_right_name``, landed) says which right names belong to a left one.
+    """
+    small = small_side(names.select("_dob", "_left_name", "_right_name"), fits(names, MAX_BROADCAST_NAMES))
+    moved = rows.join(small, (F.col("dob") == F.col("_dob")) & (F.col("name") == F.col("_right_name")))
+    return moved.drop("name", "_dob", "_right_name").withColumnRenamed("_left_name", "name")
+
+
+def by_patient(rows: DataFrame) -> DataFrame:
+    """Rows of a patient in one place, before they are written out day by day: the shuffle carries each of them once."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "dob", "name")
+
+
+def sums_at(lookups: DataFrame, events: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """``lookups`` with the ``sums`` of all events of their patient up to their day.
 
-    Both sides have ``dob``, ``name`` and ``day``; ``names`` (``_dob``, ``_left_name``, ``_right_name``) says which
-    names of the events belong to a name of the lookups.
+    Both sides have ``dob``, ``name`` and ``day`` and come from rows dealt ``by_patient``, so nothing is shuffled here.
     """
     own = [c for c in lookups.columns if c not in ("dob", "name", "day")]
-    summed = _by_day(events, sums)
-    moved = summed.join(names, (F.col("dob") == F.col("_dob")) & (F.col("name") == F.col("_right_name")))
-    rows = (moved.select("dob", F.col("_left_name").alias("name"), "day", F.lit(False).alias("_lookup"), *sums,
-                         *[F.lit(None).cast(lookups.schema[c].dataType).alias(c) for c in own])
+    rows = (_by_day(events, sums).select("dob", "name", "day", F.lit(False).alias("_lookup"), *sums,
+                                         *[F.lit(None).cast(lookups.schema[c].dataType).alias(c) for c in own])
             .unionByName(lookups.select("dob", "name", "day", F.lit(True).alias("_lookup"),
                                         *[F.lit(0).cast("long").alias(c) for c in sums], *own)))
     # the events of a day come before its lookups

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rxlens.config import ReportConfig
 from rxlens.functions.similarity import name_signature
-from rxlens.operators.daily import day_rows, interval_days, merged, sums_at
+from rxlens.operators.daily import by_patient, day_rows, interval_days, merged, of_matching, sums_at
 from rxlens.operators.intervals import point_in_interval_join
 from rxlens.operators.match import score_candidates
 from rxlens.operators.patients import name_pairs, patient_names, shared_dates
@@ -39,7 +39,7 @@ def naive_match(final: DataFrame, naive: DataFrame, cfg: ReportConfig) -> DataFr
     a = patient_names(opi, "disp_dob", "patient_name", live=F.lit(True))
     b = patient_names(n, "n_dob", "naive_patient_name", live=F.lit(True))
     dates = land(shared_dates(a, b).withColumn("_pay", names_pay(cfg.name_block)), "naive-dates")
-    names = name_pairs(a, b, cfg.naive_ratio, dates.where("_pay"))
+    names = land(name_pairs(a, b, cfg.naive_ratio, dates.where("_pay")), "name-pairs")
     covered = _covered(opi, n, names)
     slow = dates.where("NOT _pay").select("_dob")
     if slow.isEmpty():
@@ -66,7 +66,7 @@ def _covered(opi: DataFrame, n: DataFrame, names: DataFrame) -> DataFrame:
     points = (opi.filter(F.col("disp_dob").isNotNull() & F.col("patient_name").isNotNull())
               .select(F.col("disp_dob").alias("dob"), F.col("patient_name").alias("name"),
                       F.col("written_date").alias("day"), *NAIVE_KEY))
-    at = sums_at(points, merged(events, "windows"), names, ["windows"])
+    at = sums_at(by_patient(points), by_patient(of_matching(merged(events, "windows"), names)), ["windows"])
     return at.where(F.col("windows") > 0).select(*NAIVE_KEY)
 
 

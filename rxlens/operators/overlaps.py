@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
 from rxlens.functions.similarity import name_signature
-from rxlens.operators.daily import day_rows, interval_days, sums_at
+from rxlens.operators.daily import by_patient, day_rows, interval_days, of_matching, sums_at
 from rxlens.operators.intervals import point_in_interval_join
 from rxlens.operators.match import score_candidates
 from rxlens.operators.patients import (hot_dates, indexable, matched_names, name_pairs, patient_names, shared_dates,
@@ -167,12 +167,14 @@ def overlap_counts(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind:
                  .select("_dob", "_left_name", "_right_name"), "name-pairs")
     back = names.select("_dob", F.col("_right_name").alias("_left_name"), F.col("_left_name").alias("_right_name"))
     early = {k: not named[0].where(f"_early_{k}").unionAll(named[1].where(f"_early_{k}")).isEmpty() for k in rules}
+    columns = [RULE_COLUMNS[k] for k in rules]
     counted = None
     for x, y, pairs in ((*sides, names), (*sides[::-1], back)):
         parts = [_credits(x, y, pairs, rules)] + [_twice(x, y, pairs, cfg, k, rules) for k in rules if early[k]]
         for part in parts:
+            # landed one by one, so that the disk holds the shuffles of one
+            part = land(part.groupBy("final_id").agg(*[F.sum(c).alias(c) for c in columns]), "credits")
             counted = part if counted is None else counted.unionByName(part)
-    columns = [RULE_COLUMNS[k] for k in rules]
     total = counted.groupBy("final_id").agg(*[F.sum(c).alias(c) for c in columns])
     return total.where(" OR ".join(f"{c} > 0" for c in columns))
 
@@ -215,9 +217,12 @@ def _credits(x: DataFrame, y: DataFrame, names: DataFrame, rules: list[str]) ->
         found += [(F.when(there, hi), {f"written_{k}": one}), (F.when(there, F.date_sub(lo, 1)), before)]
     weights = [f"written_{k}" for k in rules] + [f"active_{k}" for k in rules] + (["both"] if same is not None else [])
     found.append((day, at_day))
-    lookups = day_rows(x.filter("live"), ["dob", "name", "final_id"], found, weights)
+    days = ["written_date", "end", *[f"start_{k}" for k in rules]]
+    lookups = day_rows(by_patient(x.filter("live").select("dob", "name", "final_id", *days)), ["dob", "name", "final_id"],
+                       found, weights)
     lookups = lookups.withColumnsRenamed({w: f"times_{w}" for w in weights})
-    at = sums_at(lookups, day_rows(y, ["dob", "name"], events, sums), names, sums)
+    matching = by_patient(of_matching(y.select("dob", "name", *days), names))
+    at = sums_at(lookups, day_rows(matching, ["dob", "name"], events, sums), sums)
     counts = []
     for k in rules:
         n = (F.col(f"times_written_{k}") * F.col("written") + F.col(f"times_active_{k}") * F.col(f"active_{k}"))

@@ -62,7 +62,7 @@ class ReportPlan:
     def _landed(self, df: DataFrame, name: str) -> DataFrame:
         if not self.land_stages:
             return df
-        return land(df, name)
+        return land(df, name, "zstd")
 
     @cached_property
     def dispensations(self) -> DataFrame:
@@ -99,10 +99,12 @@ class ReportPlan:
 
     @cached_property
     def final_shared(self) -> DataFrame:
-        """``final_core`` landed once for plans with several consumers of it."""
+        """``final_core`` landed once for plans with several consumers of it; the marks land before it, so that the
+        shuffles of the search match are gone when the rows are de-duplicated."""
         if self.final_override is not None:
             return self.final_override
-        return self._landed(self.final_core, "final")
+        marks = self._landed(self.matched, "matched")
+        return self._landed(match.finalize_dispensations(self.dispensations, marks, match.REPORT_COLUMNS), "final")
 
     @cached_property
     def names(self) -> DataFrame:
@@ -154,9 +156,10 @@ class ReportPlan:
         if full:
             # the final dispensations feed the naive match and the counts
             final = self.final_shared
-            out = self.base(final, naive_matched=self.naive_matches(final))
+            overlaps_of = self.overlap_counts(kind)
+            out = self.base(final, naive_matched=self._landed(self.naive_matches(final), "naive-matches"))
             ocols = OVERLAP_COLUMNS[kind]
-            out = out.join(self.overlap_counts(kind), "final_id", "left")
+            out = out.join(overlaps_of, "final_id", "left")
             out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in ocols})
             extra = list(ocols) + ["opi_to_opi_naive"]
         else:

@@ -81,16 +81,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+# Shuffle files of a query are deleted when it ends (if it should run again, its stages are run again).
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def land(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used for stages with several consumers: they read files (with column
     pruning and pushed filters) instead of each re-running the upstream plan,
     and lineage is cut, so a lost executor re-reads instead of recomputing.
+    The shuffles that wrote the stage are deleted with its end, so the disk
+    holds those of one stage at a time.  ``codec`` is the parquet compression.
     """
     import uuid
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/rxlens-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (writer.option("compression", codec) if codec else writer).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.parquet(path)
