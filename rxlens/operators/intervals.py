@@ -31,7 +31,7 @@ _IS = "_interval_salt"
 MAX_BROADCAST_GROUPS = 200_000
 
 
-def _bucket(c: Column, days: int) -> Column:
+def time_bucket(c: Column, days: int) -> Column:
     return F.floor(F.unix_date(c) / F.lit(float(days))).cast("long")
 
 
@@ -101,11 +101,11 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame,
     so many points and so many intervals, each pair of parts a join key of its
     own.  Other groups are not touched or copied.
     """
-    pts = points.withColumn(_PB, _bucket(F.col(point), bucket_days))
-    lo, hi = _bucket(start, bucket_days), _bucket(end, bucket_days)
+    pts = points.withColumn(_PB, time_bucket(F.col(point), bucket_days))
+    lo, hi = time_bucket(start, bucket_days), time_bucket(end, bucket_days)
     if point_range is not None:
-        lo = F.greatest(lo, _bucket(F.lit(point_range[0]), bucket_days))
-        hi = F.least(hi, _bucket(F.lit(point_range[1]), bucket_days))
+        lo = F.greatest(lo, time_bucket(F.lit(point_range[0]), bucket_days))
+        hi = F.least(hi, time_bucket(F.lit(point_range[1]), bucket_days))
     ivs = intervals.withColumns({"_lo": lo, "_hi": hi})
     exploded = (ivs.filter(F.col("_hi") >= F.col("_lo"))
                 .withColumn(_IB, F.explode(F.sequence(F.col("_lo"), F.col("_hi")))))

@@ -5,13 +5,15 @@ date falls inside the other's active interval, and the patient names score
 at least ``overlap_ratio``.  ``part`` uses ``[filled, rx_end]``; ``last``
 uses ``[create + lag, rx_end]`` and credits only the later writer.
 
-The OR of two interval conditions is split into two disjoint point-in-interval
+Names of a birth date with few names for its rows are compared first, once per
+pair of patients, as are those of a birth date with very many rows (a
+placeholder, say), which meet through a similarity index
+(``rxlens.operators.patients``).  Prescriptions then meet on (dob, matched name,
+time bucket) in one join, each side shuffled once.  For the other birth dates the
+OR of two interval conditions is split into two disjoint point-in-interval
 joins (opioid written inside benzo interval; else benzo written inside opioid
 interval), each an equi-join on (dob, time bucket), never a nested loop; names
-are scored on the pairs that meet.  Birth dates that hold very many rows (a
-placeholder, say) take another way: their names meet through a similarity
-index (``rxlens.operators.patients``) and are scored once per pair of patients,
-and prescriptions meet on (dob, matched name, time bucket).
+are scored on the pairs that meet.
 ``both`` runs ONE pass with the union interval and flags each pair for either rule.
 
 The credits per prescriber are counted without the pairs (``overlap_counts``).
@@ -25,15 +27,17 @@ from pyspark.sql import functions as F
 from rxlens.config import ReportConfig
 from rxlens.functions.dates import lit_date, shift_days
 from rxlens.functions.similarity import name_signature
-from rxlens.operators.daily import by_patient, day_rows, interval_days, of_matching, sums_at
-from rxlens.operators.intervals import point_in_interval_join
+from rxlens.operators.daily import MAX_BROADCAST_NAMES, by_patient, day_rows, interval_days, of_matching, sums_at
+from rxlens.operators.intervals import point_in_interval_join, time_bucket
 from rxlens.operators.match import score_candidates
-from rxlens.operators.patients import (hot_dates, indexable, matched_names, name_pairs, patient_names, shared_dates,
-                                       split_hot)
+from rxlens.operators.patients import indexable, indexed_pairs, name_pairs, patient_names, shared_dates, split_hot
+from rxlens.plans.strategy import fits, small_side
 from rxlens.session import land
 
 SIDE_COLUMNS = ("final_id", "dea", "ahfs", "dob", "patient_name", "written_date", "filled_date",
                 "create_date", "rx_end")
+NAMES_PAY = 16    # pairs of rows of a birth date, for each pair of its names, from which names are met first
+PAIR_BUCKETS = 4  # buckets of the configured length in one bucket of the pairs whose names match
 
 
 def _opi(c: str) -> str:
@@ -67,16 +71,16 @@ def last_rule(cfg: ReportConfig) -> Column:
 CREDIT_COLUMNS = ("final_id", "final_id_opi", "written_date", "written_date_opi")
 
 
-def _in_time(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, extra: list[tuple[str, str]]) -> DataFrame:
-    """Pairs with one birth date (and the ``extra`` equal columns) whose times meet, each once."""
+def _in_time(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
+    """Pairs with one birth date whose times meet, each once."""
     common = dict(bucket_days=cfg.bucket_days, salt=cfg.salt_buckets)
     start_b = _starts(cfg, kind)
     start_o = _starts(cfg, kind, "_opi")
     # branch 1: opioid written inside the benzo interval
-    one = point_in_interval_join(o, b, on=[("dob_opi", "dob"), *extra], point="written_date_opi",
+    one = point_in_interval_join(o, b, on=[("dob_opi", "dob")], point="written_date_opi",
                                  start=start_b, end=F.col("rx_end"), **common)
     # branch 2: benzo written inside the opioid interval, and not already branch 1
-    two = point_in_interval_join(b, o, on=[("dob", "dob_opi"), *[(y, x) for x, y in extra]], point="written_date",
+    two = point_in_interval_join(b, o, on=[("dob", "dob_opi")], point="written_date",
                                  start=start_o, end=F.col("rx_end_opi"), **common)
     two = two.filter(~F.coalesce(_within("written_date_opi", start_b, "rx_end"), F.lit(False)))
     return one.unionByName(two)
@@ -94,48 +98,112 @@ def _scored_after(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, colu
     """Times meet first, names are scored on what is left: few names share a birth date."""
     o = o.withColumn("_sig_opi", name_signature(F.col("patient_name_opi")))
     b = b.withColumn("_sig", name_signature(F.col("patient_name")))
-    cands = _flagged(_in_time(o, b, cfg, kind, []).filter(live), cfg, kind)
+    cands = _flagged(_in_time(o, b, cfg, kind).filter(live), cfg, kind)
     return score_candidates(cands, "patient_name_opi", "patient_name", F.lit(float(cfg.overlap_ratio)),
                             keep=columns, sigs=("_sig_opi", "_sig")).select(*columns, "ratio")
 
 
 def _scored_before(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str, columns: list[str], live: Column,
-                   live_sides: tuple[Column, Column] | None, hot: DataFrame) -> DataFrame:
-    """Names of hot birth dates meet through the index, once per pair of patients, and times afterwards."""
-    names = matched_names(o, b, ("dob_opi", "patient_name_opi"), ("dob", "patient_name"), cfg.overlap_ratio, hot,
-                          cfg.name_block, live_sides)
-    b = (b.join(names, (F.col("dob") == F.col("_dob")) & (F.col("patient_name") == F.col("_right_name")))
-         .drop("_dob", "_right_name"))
-    pairs = _in_time(o, b, cfg, kind, [("patient_name_opi", "_left_name")]).filter(live)
-    return _flagged(pairs, cfg, kind).select(*columns, "ratio")
+                   names: list[DataFrame]) -> DataFrame:
+    """Names meet first, once per pair of patients, and times afterwards; ``names`` as from ``name_pairs``."""
+    matching = None
+    for pairs in names:
+        one = (b.join(pairs, (F.col("dob") == F.col("_dob")) & (F.col("patient_name") == F.col("_right_name")))
+               .drop("_dob", "_right_name"))
+        matching = one if matching is None else matching.unionByName(one)
+    return _flagged(_met_once(o, matching, cfg, kind).filter(live), cfg, kind).select(*columns, "ratio")
+
+
+def _met_once(o: DataFrame, b: DataFrame, cfg: ReportConfig, kind: str) -> DataFrame:
+    """Pairs with one birth date and matched name whose times meet, each once, by one join of both sides.
+
+    Both sides are dealt to the time buckets of their interval and their written date; a pair belongs to the bucket
+    of the written date that lies in the other's interval (the opioid's, if both do).  Most pairs that meet in a
+    bucket are put out or nearly are, so buckets are ``PAIR_BUCKETS`` times as long as those of a join that has yet
+    to compare names, and rows are seldom copied.
+    """
+    days = cfg.bucket_days * PAIR_BUCKETS
+    start_b, start_o = _starts(cfg, kind), _starts(cfg, kind, "_opi")
+
+    def dealt(df: DataFrame, start: Column, end: str, written: str, bucket: str) -> DataFrame:
+        none = F.array().cast("array<bigint>")
+        over = F.when(start <= F.col(end), F.sequence(time_bucket(start, days), time_bucket(F.col(end), days)))
+        at = F.when(F.col(written).isNotNull(), F.array(time_bucket(F.col(written), days)))
+        return df.withColumn(bucket, F.explode(F.array_union(F.coalesce(over, none), F.coalesce(at, none))))
+
+    left = dealt(o, start_o, "rx_end_opi", "written_date_opi", "_bucket_opi")
+    right = dealt(b, start_b, "rx_end", "written_date", "_bucket")
+    inside_b = F.coalesce(_within("written_date_opi", start_b, "rx_end"), F.lit(False))
+    inside_o = F.coalesce(_within("written_date", start_o, "rx_end_opi"), F.lit(False))
+    cond = ((F.col("dob_opi") == F.col("dob")) & (F.col("patient_name_opi") == F.col("_left_name"))
+            & (F.col("_bucket_opi") == F.col("_bucket"))
+            & ((inside_b & (time_bucket(F.col("written_date_opi"), days) == F.col("_bucket")))
+               | (~inside_b & inside_o & (time_bucket(F.col("written_date"), days) == F.col("_bucket")))))
+    if cfg.salt_buckets > 1:
+        left = left.withColumn("_salt_opi", F.pmod(F.xxhash64(*o.columns), F.lit(cfg.salt_buckets)).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(cfg.salt_buckets - 1))))
+        cond = cond & (F.col("_salt_opi") == F.col("_salt"))
+    # estimates know neither the names nor the buckets: never broadcast on them
+    return left.join(right.hint("merge"), cond)
+
+
+def _ways(a: DataFrame, b: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """(_dob, _way, and counts) of the birth dates on both sides of ``patient_names``, landed.
+
+    ``names``: few pairs of names for the pairs of rows, all names of the date are compared; ``index``: many rows,
+    names meet through the index; ``times``: neither, prescriptions meet in time before their names are compared.
+    """
+    few = (F.col("_names_a").cast("double") * F.col("_names_b") * NAMES_PAY
+           <= F.col("_rows_a").cast("double") * F.col("_rows_b"))
+    index = F.lit(indexable(cfg.overlap_ratio))
+    many_names, many_rows = (index & (F.greatest(f"_{c}_a", f"_{c}_b") >= F.lit(cfg.name_block + more))
+                             for c, more in (("names", 0), ("rows", 1)))
+    way = F.when(few & ~many_names, "names").when(many_rows, "index").otherwise("times")
+    return land(shared_dates(a, b).withColumn("_way", way), "overlap-dates")
 
 
 def overlap_pairs(benzo: DataFrame, opioid: DataFrame, cfg: ReportConfig, kind: str,
-                  keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
+                  keep: list[str] | None = None, credited_only: bool = False, digits: int | None = None) -> DataFrame:
     """J9/J10 (+ both): scored overlap pairs, columns of the opioid side
     suffixed ``_opi``, with ``ratio`` and, for ``both``, ``is_part``/``is_last``.
     ``keep`` limits the carried columns (the credit counts need four);
-    ``credited_only`` skips pairs of which neither side wrote in the period.
+    ``credited_only`` skips pairs of which neither side wrote in the period;
+    ``digits`` rounds ``ratio``, once per pair of names where these meet first.
 
-    Birth dates with more than ``cfg.name_block`` rows on a side are counted
-    first; only their names go through the index of ``operators.patients``.
+    The rows and names of each birth date are counted first, which decides
+    whether its names or its times meet first (``_ways``).
     """
     o = opioid.select(*[F.col(c).alias(_opi(c)) for c in SIDE_COLUMNS])
     b = benzo.select(*SIDE_COLUMNS)
     columns = list(keep) if keep is not None else [*SIDE_COLUMNS, *(_opi(c) for c in SIDE_COLUMNS if c != "dob")]
     columns += ["is_part", "is_last"] if kind == "both" else []
-    live, live_sides = F.lit(True), None
+    live, live_sides = F.lit(True), (F.lit(True), F.lit(True))
     if credited_only:
         first, last = lit_date(cfg.first_date), lit_date(cfg.last_date)
         live_sides = (F.col("written_date_opi").between(first, last), F.col("written_date").between(first, last))
         live = live_sides[0] | live_sides[1]
-    hot = hot_dates([(o, "dob_opi"), (b, "dob")], cfg.name_block) if indexable(cfg.overlap_ratio) else None
-    if hot is None:
-        return _scored_after(o, b, cfg, kind, columns, live)
-    (hot_o, rest_o), (hot_b, rest_b) = (split_hot(d, dob, hot, cfg.max_broadcast_rows)
-                                        for d, dob in ((o, "dob_opi"), (b, "dob")))
-    return (_scored_after(rest_o, rest_b, cfg, kind, columns, live)
-            .unionByName(_scored_before(hot_o, hot_b, cfg, kind, columns, live, live_sides, hot)))
+    named = (patient_names(o, "dob_opi", "patient_name_opi", live=live_sides[0]),
+             patient_names(b, "dob", "patient_name", live=live_sides[1]))
+    dates = _ways(*named, cfg)
+    rounded = {"ratio": F.col("ratio") if digits is None else F.round("ratio", digits)}
+    found = {r["_way"] for r in dates.select("_way").distinct().collect()}  # three at most
+    names = []
+    if "names" in found:
+        pairs = land(name_pairs(*named, cfg.overlap_ratio, dates.where("_way = 'names'").drop("_way"))
+                     .withColumns(rounded), "name-pairs")
+        names.append(small_side(pairs, fits(pairs, MAX_BROADCAST_NAMES)))
+    if "index" in found:
+        hot = dates.where("_way = 'index'").select("_dob", F.greatest("_rows_a", "_rows_b").alias("_rows"))
+        names.append(indexed_pairs(*named, cfg.overlap_ratio, hot, cfg.name_block).withColumns(rounded))
+    if not names:
+        return _scored_after(o, b, cfg, kind, columns, live).withColumns(rounded)
+    if "times" not in found:
+        return _scored_before(o, b, cfg, kind, columns, live, names)
+    by_time = dates.where("_way = 'times'").select("_dob")
+    (slow_o, rest_o), (slow_b, rest_b) = (split_hot(d, dob, by_time, cfg.max_broadcast_rows)
+                                          for d, dob in ((o, "dob_opi"), (b, "dob")))
+    return (_scored_after(slow_o, slow_b, cfg, kind, columns, live).withColumns(rounded)
+            .unionByName(_scored_before(rest_o, rest_b, cfg, kind, columns, live, names)))
 
 
 RULE_COLUMNS = {"part": "overlapping_rx_part", "last": "overlapping_rx_last"}

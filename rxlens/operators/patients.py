@@ -179,12 +179,19 @@ def name_pairs(a: DataFrame, b: DataFrame, threshold: float, dates: DataFrame, b
         dates = dates.where(names <= block)
     met = _met_by_date(a, b, dates)
     if hot is not None and not hot.isEmpty():
-        def of_hot(side: DataFrame) -> DataFrame:
-            return side.where(F.length("_name") > 0).drop("_rows").join(hot, "_dob").select("_dob", "_name", "_live", "_rows")
-        met = met.unionByName(_signed(_met_by_key(of_hot(a), of_hot(b), threshold, block)))
+        met = met.unionByName(_signed(_met_by_key(_of_hot(a, hot), _of_hot(b, hot), threshold, block)))
     return _scored_names(met, threshold)
 
 
+def _of_hot(side: DataFrame, hot: DataFrame) -> DataFrame:
+    return side.where(F.length("_name") > 0).drop("_rows").join(hot, "_dob").select("_dob", "_name", "_live", "_rows")
+
+
+def indexed_pairs(a: DataFrame, b: DataFrame, threshold: float, hot: DataFrame, block: int) -> DataFrame:
+    """``name_pairs`` of the birth dates of ``hot`` (``_dob``, ``_rows``), all through the index; lazy."""
+    return _scored_names(_signed(_met_by_key(_of_hot(a, hot), _of_hot(b, hot), threshold, block)), threshold)
+
+
 def _met_by_date(a: DataFrame, b: DataFrame, dates: DataFrame) -> DataFrame:
     """(_dob_a, _name_a, _name_b) of one birth date, of which one is live, and their signatures (made once a name)."""
     parts = dates.select("_dob", F.ceil(F.col("_names_a") / F.lit(DATE_PART)).cast("int").alias("_parts"))

@@ -150,8 +150,7 @@ def q_report_base(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir, kind):
-    pairs = plan(spark, sf_dir).pairs(kind)
-    return pairs.select(*PAIR_COLUMNS, F.round("ratio", 6).alias("ratio"))
+    return plan(spark, sf_dir).pairs(kind, digits=6).select(*PAIR_COLUMNS, "ratio")
 
 
 def q_overlap_pairs_part(spark, sf_dir):

@@ -132,9 +132,10 @@ class ReportPlan:
                                            with_drugs=True, naive_matched=naive_matched)
         return metrics.describe_prescribers(counts, self.users, self.names)
 
-    def pairs(self, kind: str, keep: list[str] | None = None, credited_only: bool = False) -> DataFrame:
+    def pairs(self, kind: str, keep: list[str] | None = None, credited_only: bool = False,
+              digits: int | None = None) -> DataFrame:
         benzo, opi = prepare.split_classes(self.active, self.cfg)
-        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep, credited_only)
+        return overlaps.overlap_pairs(benzo, opi, self.cfg, kind, keep, credited_only, digits)
 
     def overlap_counts(self, kind: str) -> DataFrame:
         benzo, opi = prepare.split_classes(self.active, self.cfg)

@@ -1,10 +1,11 @@
-"""What the report shuffles and keeps on disk."""
+"""What the report and the pairs shuffle and keep on disk; the ways in which names and times meet give the same pairs."""
 
 import time
 
 import builders as B
+import pytest
 from pyspark.sql import functions as F
-from test_patients import odd_prescriptions
+from test_patients import DAY, dt, odd_prescriptions
 
 from rxlens.config import ReportConfig
 from rxlens.operators import overlaps
@@ -78,3 +79,43 @@ def test_credits_shuffle_each_prescription_once(spark):
     assert len(dealt) == 2
     assert all("inline" not in ln for i in dealt for ln in below(lines, i))
     assert any("inline" in ln for ln in lines)
+
+
+def repeats(n):
+    """One patient with ``n`` prescriptions: few names for many rows."""
+    return [B.active(ahfs=(B.OPI, B.BZD)[i % 2], written=DAY + dt.timedelta(days=i % 7)) for i in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["part", "last", "both"])
+def test_prescriptions_of_few_names_meet_in_one_join(spark, kind):
+    """Names are compared once per pair of patients, both sides are shuffled once, and not for each of two joins."""
+    p = ReportPlan(B.inputs(spark, users=[B.user(1)], actives=repeats(40)), ReportConfig())
+    pairs = p.pairs(kind)
+    lines = optimized(pairs)
+    assert not any("_point_bucket" in ln or "ArrowEvalPython" in ln for ln in lines)
+    assert sum("Join" in ln and "_bucket_opi" in ln for ln in lines) == 1
+    assert pairs.count() == 20 * 20 if kind != "last" else 0 < pairs.count() <= 20 * 20
+
+
+@pytest.mark.parametrize("kind", ["part", "last", "both"])
+def test_all_ways_give_the_same_pairs(spark, monkeypatch, kind):
+    """Names first (compared or through the index), times first and a mix: the same pairs, nulls and copies too."""
+    actives = odd_prescriptions(120, 8) + [B.active(ahfs=a, dob=dt.date(1999, 1, 1), first=f, last="LEE", written=DAY)
+                                           for a in (B.OPI, B.BZD) for f in ("ANN", "ANNE")]
+    inputs = B.inputs(spark, users=[B.user(1)], actives=actives)
+
+    def found(ways, **options):
+        p = ReportPlan(inputs, ReportConfig(**options))
+        pairs = p.pairs(kind, digits=6)
+        dates = [r["_way"] for r in seen[-1].select("_way").distinct().collect()]
+        assert sorted(dates) == ways
+        return sorted(map(str, pairs.collect()))
+
+    seen, made = [], overlaps._ways
+    monkeypatch.setattr(overlaps, "_ways", lambda *a: seen.append(made(*a)) or seen[-1])
+    want = found(["names", "times"])
+    assert want == found(["index"], name_block=1) == found(["names", "times"], salt_buckets=3)
+    monkeypatch.setattr(overlaps, "NAMES_PAY", 10 ** 9)
+    assert want == found(["times"]) and len(want) > 50
+    monkeypatch.setattr(overlaps, "NAMES_PAY", 0)
+    assert want == found(["names"])
