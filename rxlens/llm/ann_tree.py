@@ -13,7 +13,8 @@ ids (no more can ever be among a query's k nearest), so a vector that fills a
 third of the table costs as much as any other.  Leaves are gathered into
 groups of about ``GROUP_ROWS`` rows, large leaves are dealt by hash over several groups, and
 queries over blocks; each group multiplies its queries with the leaves they
-visit and keeps the best, and a partial rank limit precedes the last shuffle.
+visit, a batch of queries at a time, and keeps the best of each, so a task holds
+one group and one batch; a partial rank limit precedes the last shuffle.
 
 Scores are double precision inner products of the original vectors, summed in
 one fixed way.  Ties go to the smaller id.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,10 @@ SAMPLE = 20_000
 MAX_LEAVES = 4096
 LEAF_ROWS = 256
 GROUP_ROWS = 16_384
+GROUP_BYTES = 16 << 20  # of the vectors of a group
+WALK_BYTES = 4 << 20  # of an Arrow batch of walks
 QUERY_BLOCK = 50_000
+CELLS = 2_000_000  # numbers compared or multiplied at once
 CALIBRATION = 64
 TARGET_RECALL = 0.96
 
@@ -139,9 +144,17 @@ def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndar
     rough = q @ x.T
     # a product summed in any order is off by less than this; twice it between two products, twice again for the k-th
     slack = 4 * (x.shape[1] + 1) * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
-    least = np.partition(rough, n - keep, axis=1)[:, n - keep] - slack
-    at, score = np.empty((len(q), keep), np.int64), np.empty((len(q), keep))
-    for i in range(len(q)):  # every row that may tie with the k-th, however many
+    top = np.argpartition(rough, (n - keep - 1, n - keep), axis=1)[:, n - keep - 1:]
+    beyond, least = (np.take_along_axis(rough, top[:, i:i + 1], 1)[:, 0] for i in (0, 1))
+    least = least - slack
+    at, score = top[:, 1:].astype(np.int64), np.empty((len(q), keep))
+    step = max(1, CELLS // (keep * x.shape[1]))
+    for lo in range(0, len(q), step):
+        part = slice(lo, lo + step)
+        mine = _exact(x, q[part], at[part])
+        order = np.lexsort((ids[at[part]], -mine), axis=1)
+        at[part], score[part] = np.take_along_axis(at[part], order, 1), np.take_along_axis(mine, order, 1)
+    for i in np.flatnonzero(~(beyond < least)):  # more may tie with the k-th: every row that may, however many
         rows = np.flatnonzero(~(rough[i] < least[i]))
         mine = _exact(x, q[i:i + 1], rows[None, :])[0]
         order = np.lexsort((ids[rows], -mine))[:keep]
@@ -160,11 +173,14 @@ def usable(vec: Column) -> Column:
     return F.coalesce(vec.isNotNull() & ok & F.exists(vec, lambda v: v != 0), F.lit(False))
 
 
-def _packed(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, h1, h2, vec): usable rows, vectors as little-endian doubles with a 128-bit identity."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(
+def _usable_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v) of the rows that take part."""
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & usable(F.col("v")))
 
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """(id, h1, h2, vec) of ``_usable_rows``, vectors as little-endian doubles with a 128-bit identity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             vec = pa.array([np.array(v, "<f8").tobytes() for v in (
@@ -190,12 +206,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     arrow_conf(spark)
-    packed = land(_packed(vectors, id_col, vec_col), "ann-rows")
-    width = (packed.groupBy(F.length("vec").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect())
+    rows = _usable_rows(vectors, id_col, vec_col)
+    width = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect()
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    packed = packed.where(F.length("vec") == width[0]["w"])
-    classes = land(_classes(packed, k), "ann-classes")
+    rows = rows.where(F.size("v") == width[0]["w"])
+    classes = land(_classes(_packed(rows), k), "ann-classes", "zstd")
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("cid", F.lit(7)), "cid").limit(SAMPLE).select("cid", "vec").collect()
     x = np.stack([np.frombuffer(bytes(r["vec"]), "<f8") for r in sorted(sample, key=lambda r: r["cid"])])
@@ -210,9 +226,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
                                                  names=["cid", "leaf", "vec", "ids"])
 
     placed = land(classes.select("cid", "vec", "ids").mapInArrow(
-        place, "cid long, leaf long, vec binary, ids array<long>"), "ann-leaves")
-    asked = packed.where(F.col("id") % every == 0)
-    queries = land(asked.groupBy("h1", "h2").agg(F.first("vec").alias("vec"), F.min("id").alias("qid")), "ann-queries")
+        place, "cid long, leaf long, vec binary, ids array<long>"), "ann-leaves", "zstd")
+    asked = land(_packed(rows.where(F.col("id") % every == 0)), "ann-asked", "zstd")
+    queries = land(asked.groupBy("h1", "h2").agg(F.first("vec").alias("vec"), F.min("id").alias("qid")), "ann-queries",
+                   "zstd")
     visits = _calibrated(placed, queries, tree, k, target)
     return _answers(placed, queries, asked, tree, shared, visits, k)
 
@@ -247,16 +264,62 @@ def _calibrated(placed: DataFrame, queries: DataFrame, tree: Tree, k: int, targe
     return int(np.searchsorted(np.cumsum(share), min(target, 1.0) - 1e-9)) + 1 if leaves else 1
 
 
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The k + 1 best of each query within its group, of rows ordered by group, block, asking, leaves and id."""
+    cell, held = None, []
+    for b in batches:
+        grp, block, asks = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        turns = np.flatnonzero((grp[1:] != grp[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+        for lo, hi in zip([0, *turns], [*turns, b.num_rows]) if b.num_rows else ():
+            if (grp[lo], block[lo]) != cell:
+                cell, held = (grp[lo], block[lo]), []
+            part = b.slice(lo, hi - lo)
+            lists = part.column(3)
+            leaves = lists.flatten().to_numpy()
+            ids, vec = part.column(4).to_numpy(), _matrix(part.column(5))
+            if not asks[lo]:
+                held.append((leaves, ids, vec))
+            elif held:
+                if len(held) > 1:
+                    held = [tuple(np.concatenate(c) for c in zip(*held))]
+                query = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+                yield _best_of_leaves(ids, vec, query, leaves, *held[0], k)
+
+
+def _best_of_leaves(qid: np.ndarray, q: np.ndarray, query: np.ndarray, wanted: np.ndarray, leaf: np.ndarray,
+                    ids: np.ndarray, x: np.ndarray, k: int) -> pa.RecordBatch:
+    """(qid, cid, score): the k + 1 best of each query among the rows of its leaves (``query`` wants leaf ``wanted``)."""
+    order = np.argsort(wanted, kind="stable")
+    query, wanted = query[order], wanted[order]
+    which, cid, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for each, begin, end in zip(*np.unique(wanted, return_index=True), [*np.flatnonzero(np.diff(wanted)) + 1, len(wanted)]):
+        a, z = np.searchsorted(leaf, [each, each + 1])
+        step = max(16, CELLS // max(1, z - a))
+        for lo in range(begin, end, step) if a < z else ():
+            i = query[lo:min(lo + step, end)]
+            at, mine = best(q[i], x[a:z], ids[a:z], k + 1)
+            which.append(np.repeat(i, at.shape[1]))
+            cid.append(ids[a:z][at].ravel())
+            score.append(mine.ravel())
+    which, cid, score = np.concatenate(which), np.concatenate(cid), np.concatenate(score)
+    order = np.lexsort((cid, -score, which))
+    sorted_ = which[order]
+    keep = order[np.arange(len(order)) - np.searchsorted(sorted_, sorted_) <= k]
+    return pa.RecordBatch.from_arrays([pa.array(qid[which[keep]]), pa.array(cid[keep]), pa.array(score[keep])],
+                                      names=["qid", "cid", "score"])
+
+
 def _answers(placed: DataFrame, queries: DataFrame, asked: DataFrame, tree: Tree, shared, visits: int,
              k: int) -> DataFrame:
     # groups of neighbouring leaves; a large leaf takes several groups, its rows dealt by hash
+    group_rows = max(1, min(GROUP_ROWS, GROUP_BYTES // (8 * tree.centres.shape[1])))
     sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # MAX_LEAVES rows at most
     first, parts, group, held = [0] * tree.n_leaves, [1] * tree.n_leaves, 0, 0
     for leaf in range(tree.n_leaves):
         size = sizes.get(leaf, 0)
-        if held and held + size > GROUP_ROWS:
+        if held and held + size > group_rows:
             group, held = group + 1, 0
-        first[leaf], parts[leaf] = group, max(1, -(-size // GROUP_ROWS))
+        first[leaf], parts[leaf] = group, max(1, -(-size // group_rows))
         if parts[leaf] > 1:
             group, held = group + parts[leaf], 0
         else:
@@ -270,8 +333,13 @@ def _answers(placed: DataFrame, queries: DataFrame, asked: DataFrame, tree: Tree
                .select("grp", "block", "leaf", "cid", "vec"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(qids, grps, leaves, vecs):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(qids, pa.int64()), pa.array(grps, pa.int64()), pa.array(leaves, pa.list_(pa.int64())),
+                 pa.array(vecs, pa.binary())], names=["qid", "grp", "leaves", "vec"])
+
         for b in batches:
-            qids, grps, leaves, vecs = [], [], [], []
+            qids, grps, leaves, vecs, size = [], [], [], [], 0
             for qid, vec in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by: dict[int, list[int]] = {}
                 for leaf in shared.value.visits(np.frombuffer(vec, "<f8"), visits):
@@ -279,39 +347,23 @@ def _answers(placed: DataFrame, queries: DataFrame, asked: DataFrame, tree: Tree
                         by.setdefault(first[leaf] + part, []).append(leaf)
                 for g, ls in by.items():
                     qids.append(qid); grps.append(g); leaves.append(ls); vecs.append(vec)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qids, pa.int64()), pa.array(grps, pa.int64()), pa.array(leaves, pa.list_(pa.int64())),
-                 pa.array(vecs, pa.binary())], names=["qid", "grp", "leaves", "vec"])
+                    size += len(vec) + 8 * len(ls)
+                    if size > WALK_BYTES:  # a query's vector goes to every group it visits
+                        yield made(qids, grps, leaves, vecs)
+                        qids, grps, leaves, vecs, size = [], [], [], [], 0
+            yield made(qids, grps, leaves, vecs)
 
     walks = (queries.select("qid", "vec").mapInArrow(walk, "qid long, grp long, leaves array<long>, vec binary")
              .withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")))
 
-    def search(_, rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        out = {"qid": [], "cid": [], "score": []}
-        if len(rows) and len(asks):
-            rows = rows.sort_values(["leaf", "cid"])
-            x, ids, leaf = _matrix(rows["vec"]), rows["cid"].to_numpy(), rows["leaf"].to_numpy()
-            q, qid = _matrix(asks["vec"]), asks["qid"].to_numpy()
-            wanted = pd.DataFrame({"q": np.repeat(np.arange(len(asks)), asks["leaves"].map(len)),
-                                   "leaf": np.concatenate(asks["leaves"].to_list())})
-            for l_, who in wanted.groupby("leaf")["q"]:
-                a, b = np.searchsorted(leaf, [l_, l_ + 1])
-                if a == b:
-                    continue
-                for lo in range(0, len(who), 512):
-                    i = who.to_numpy()[lo:lo + 512]
-                    at, score = best(q[i], x[a:b], ids[a:b], k + 1)
-                    out["qid"].append(np.repeat(qid[i], at.shape[1]))
-                    out["cid"].append(ids[a:b][at].ravel())
-                    out["score"].append(score.ravel())
-        if not out["qid"]:
-            return pd.DataFrame({"qid": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "score": np.zeros(0)})
-        found = pd.DataFrame({c: np.concatenate(v) for c, v in out.items()})
-        found = found.sort_values(["qid", "score", "cid"], ascending=[True, False, True])
-        return found[found.groupby("qid").cumcount() <= k]
-
-    found = members.groupBy("grp", "block").cogroup(walks.groupBy("grp", "block")).applyInPandas(
-        search, "qid long, cid long, score double")
+    # a group's vectors come first, then its queries, a batch at a time: a task holds one group and one batch
+    cells = (members.select("grp", "block", F.lit(False).alias("asks"), F.array("leaf").alias("leaves"),
+                            F.col("cid").alias("id"), "vec")
+             .unionByName(walks.select("grp", "block", F.lit(True).alias("asks"), "leaves", F.col("qid").alias("id"), "vec")))
+    # more tasks than cells, as few cells share a task then
+    tasks = min(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8 * (group + 1) * blocks)
+    dealt = cells.repartition(tasks, "grp", "block").sortWithinPartitions("grp", "block", "asks", "leaves", "id")
+    found = dealt.mapInArrow(partial(_search, k=k), "qid long, cid long, score double")
     w = W.partitionBy("qid").orderBy(F.desc("score"), "cid")
     top = found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k + 1)
     # classes to ids: at most (k + 1) ** 2 per distinct query vector

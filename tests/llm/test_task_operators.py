@@ -209,6 +209,35 @@ def test_ties_go_to_the_smaller_id_however_many():
     assert at.shape == (len(q), 5)
 
 
+def test_queries_pass_through_a_group_in_batches(spark, monkeypatch):
+    """A task of the search holds one group and a batch of its queries: no cogroup; any cut gives the same answers."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    x = rng.integers(-3, 4, (300, 8)).astype("<f8")
+    rows = [(g, 0, False, [i % 6 + 6 * g], i + 300 * g, v.tobytes()) for g in (0, 1) for i, v in enumerate(x)]
+    asks = [(g, 0, True, [6 * g, 6 * g + 4], 1000 + i, x[i].tobytes()) for g in (0, 1) for i in range(40)]
+    rows = sorted(rows + asks + [(2, 0, True, [12], 1000, x[0].tobytes())], key=lambda r: r[:5])
+    names = ["grp", "block", "asks", "leaves", "id", "vec"]
+    whole = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows]) for i in range(6)], names=names)
+    found = []
+    for size in (7, 64, len(rows)):
+        out = list(ann_tree._search((whole.slice(i, size) for i in range(0, len(rows), size)), 5))
+        assert all(b.num_rows <= 6 * size for b in out)
+        found.append(sorted(zip(*(c for c in pa.Table.from_batches(out).to_pydict().values()))))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 2 * 40 * 6
+    for i in (0, 17):
+        score = x @ x[i]
+        want = sorted((j for j in range(300) if j % 6 in (0, 4)), key=lambda j: (-score[j], j))[:6]
+        assert {c for q, c, _ in found[0] if q == 1000 + i and c < 300} == set(want)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    made = ann_tree.nearest(df, k=5, every=3)
+    assert "CoGroup" not in made._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted(map(tuple, made.collect()))
+    for name, value in (("WALK_BYTES", 100), ("GROUP_BYTES", 64 * 40), ("CELLS", 50), ("QUERY_BLOCK", 30)):
+        monkeypatch.setattr(ann_tree, name, value)
+    assert sorted(map(tuple, ann_tree.nearest(df, k=5, every=3).collect())) == want and len(want) == 500
+
+
 def corpus(spark, n=900):
     rng = np.random.default_rng(6)
     words = ["".join(rng.choice(list("abcdeiou"), 5)) for _ in range(300)]
